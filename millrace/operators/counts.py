@@ -9,10 +9,12 @@ combining first, so a gene present in all cells is no hot spot.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from millrace.operators.sequences import running_sums
+from millrace.sources.storage import bounded_rows, small_copy
 
 MAX_KEPT_GENES = 20_000  # dense steps hold one value per kept gene and cell
 
@@ -108,32 +110,39 @@ def keep_genes(long: DataFrame, genes: DataFrame) -> DataFrame:
     return long.join(genes.select("gene"), "gene", "left_semi")
 
 
-def _one_list(rows: DataFrame, item: Column) -> Column:
-    """All kept genes as one array constant; refuses more than MAX_KEPT_GENES."""
-    listed = F.array_sort(F.collect_list(item))
-    checked = F.when(F.count("*") <= MAX_KEPT_GENES, listed).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_KEPT_GENES} kept genes")).cast("void")
-    )
-    return rows.agg(checked).scalar()
+def kept_names(genes: DataFrame) -> list[str]:
+    """Kept genes in name order; refuses more than MAX_KEPT_GENES."""
+    rows = bounded_rows(genes.select("gene").distinct(), MAX_KEPT_GENES, "kept genes")
+    return sorted(r["gene"] for r in rows)
+
+
+def _numbered(spark: SparkSession, names: list[str]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(list(enumerate(names)), "position int, gene string"))
+
+
+def _scatter(width: int):
+    """(positions, values) to a dense array; a cell without entries is all zeros."""
 
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def dense(positions: pd.Series, values: pd.Series) -> pd.Series:
+        out = np.zeros((len(positions), width))
+        for row, (at, v) in enumerate(zip(positions, values)):
+            if at is not None:
+                out[row, at] = v
+        return pd.Series(list(out))
 
-def cell_maps(long: DataFrame) -> DataFrame:
-    """One row per cell with its entries as a map, at most one entry per kept gene."""
-    entries = F.map_from_entries(F.collect_list(F.struct("gene", "value")))
-    return long.groupBy("cell").agg(entries.alias("entries"))
+    return dense
 
 
-def dense_vectors(long: DataFrame, cells: DataFrame, genes: DataFrame) -> DataFrame:
-    """Per listed cell an array with one value per listed gene in name order, zeros filled in."""
-    names = _one_list(genes.select("gene").distinct(), F.col("gene"))
-    vector = F.transform("_names", lambda g: F.coalesce(F.try_element_at("entries", g), F.lit(0.0)))
-    return (
-        cells.join(cell_maps(keep_genes(long, genes)), "cell", "left")
-        .withColumn("_names", names)
-        .withColumn("entries", F.coalesce("entries", F.create_map().cast("map<string,double>")))
-        .withColumn("vector", vector)
-        .drop("entries", "_names")
+def dense_vectors(long: DataFrame, cells: DataFrame, names: list[str]) -> DataFrame:
+    """Per listed cell an array with one value per listed gene, zeros filled in."""
+    entries = (
+        long.join(_numbered(long.sparkSession, names), "gene")
+        .groupBy("cell")
+        .agg(F.collect_list(F.struct("position", "value")).alias("_e"))
     )
+    vector = _scatter(len(names))(F.col("_e.position"), F.col("_e.value"))
+    return cells.join(entries, "cell", "left").withColumn("vector", vector).drop("_e")
 
 
 def regression_slopes(long: DataFrame, cells: DataFrame, covariates: tuple[str, str]) -> DataFrame:
@@ -177,26 +186,38 @@ def regress_out(long: DataFrame, cells: DataFrame, covariates: tuple[str, str])
     """Residuals of every listed cell and every gene in `long`, which are dense.
 
     `long` must already be cut to the kept genes: the result has one row per
-    cell and kept gene.  The fit travels as one array constant, so cells are
-    filled in where they lie.
+    cell and kept gene.  The fit, four numbers per kept gene, goes to the tasks
+    as arrays, so cells are filled in where they lie.
     """
     a, b = covariates
-    slopes = regression_slopes(long, cells, covariates)
-    fit = _one_list(slopes, F.struct("gene", "mean", "slope_a", "slope_b", "centre_a", "centre_b"))
-    fitted = (
-        F.col("f.mean")
-        + F.col("f.slope_a") * (F.col(a) - F.col("f.centre_a"))
-        + F.col("f.slope_b") * (F.col(b) - F.col("f.centre_b"))
+    fit = sorted(
+        bounded_rows(regression_slopes(long, cells, covariates), MAX_KEPT_GENES, "kept genes"),
+        key=lambda r: r["gene"],
     )
-    observed = F.coalesce(F.try_element_at("entries", F.col("f.gene")), F.lit(0.0))
-    return (
-        cells.join(cell_maps(long), "cell", "left")
-        .withColumn("_fit", fit)
-        .withColumn("entries", F.coalesce("entries", F.create_map().cast("map<string,double>")))
-        .withColumn("f", F.explode("_fit"))
-        .select("cell", F.col("f.gene").alias("gene"), (observed - fitted).alias("value"))
+    names = [r["gene"] for r in fit]
+    mean, slope_a, slope_b, centre_a, centre_b = (
+        np.array([r[c] for r in fit]) for c in ("mean", "slope_a", "slope_b", "centre_a", "centre_b")
     )
 
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def residual(vector: pd.Series, first: pd.Series, second: pd.Series) -> pd.Series:
+        observed = np.stack(vector.to_list()).reshape(len(vector), len(names))
+        fitted = (
+            mean
+            + slope_a * (first.to_numpy(float)[:, None] - centre_a)
+            + slope_b * (second.to_numpy(float)[:, None] - centre_b)
+        )
+        return pd.Series(list(observed - fitted))
+
+    vectors = dense_vectors(long, cells, names).withColumn("vector", residual("vector", a, b))
+    return long_form(vectors, names)
+
+
+def long_form(vectors: DataFrame, names: list[str]) -> DataFrame:
+    """Dense cell vectors back to (cell, gene, value)."""
+    entries = vectors.select("cell", F.posexplode("vector").alias("position", "value"))
+    return entries.join(_numbered(vectors.sparkSession, names), "position").select("cell", "gene", "value")
+
 
 def scale_clip(dense: DataFrame, limit: float = 10.0, lower: float | None = None) -> DataFrame:
     """Each gene to mean 0 and variance 1 (n - 1), cut at `limit` and, if given, at `lower`.
@@ -208,7 +229,8 @@ def scale_clip(dense: DataFrame, limit: float = 10.0, lower: float | None = None
     z = F.least((F.col("value") - F.col("_m")) / spread, F.lit(float(limit)))
     if lower is not None:
         z = F.greatest(z, F.lit(float(lower)))
-    return dense.join(stats, "gene").select("cell", "gene", z.alias("value"))
+    scaled = dense.join(small_copy(stats, MAX_KEPT_GENES, "kept genes"), "gene")
+    return scaled.select("cell", "gene", z.alias("value"))
 
 
 def group_expression(long: DataFrame, groups: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """All bound queries; importing a plan module registers its queries."""
 
-from millrace.plans import counting, joining, ordering, scalars, selection, summaries  # noqa: F401
+from millrace.plans import counting, joining, ordering, scalars, selection, summaries, vectors  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -47,3 +47,16 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
+    """All rows on the driver, for data with a stated bound; more rows are refused, never cut."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows of {what}")
+    return rows
+
+
+def small_copy(df: DataFrame, limit: int, what: str) -> DataFrame:
+    """`df` as a broadcast side whose size has been checked."""
+    return F.broadcast(df.sparkSession.createDataFrame(bounded_rows(df, limit, what), df.schema))
