@@ -1,6 +1,16 @@
 """All bound queries; importing a plan module registers its queries."""
 
-from millrace.plans import counting, joining, ordering, scalars, scans, selection, summaries, vectors  # noqa: F401
+from millrace.plans import (  # noqa: F401
+    counting,
+    joining,
+    learning,
+    ordering,
+    scalars,
+    scans,
+    selection,
+    summaries,
+    vectors,
+)
 from millrace.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
