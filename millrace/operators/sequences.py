@@ -25,8 +25,8 @@ from pyspark.sql.window import Window
 
 from millrace.sources.storage import materialize
 
-SLICE = "_slice"
-POSITION = "_position"
+SLICE = "__slice"
+POSITION = "__position"
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -34,14 +34,14 @@ def slice_layout(df: DataFrame, order: Sequence[str], slices: int | None = None)
     """`df` written in range slices, with slice number and position in the slice."""
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tag = F.monotonically_increasing_id()
-    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_tag", tag)
+    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__seq", tag)
     pinned = materialize(laid, "slices")
     return pinned.withColumns(
         {
-            SLICE: F.shiftright("_tag", _POSITION_BITS),
-            POSITION: F.col("_tag").bitwiseAND((1 << _POSITION_BITS) - 1),
+            SLICE: F.shiftright("__seq", _POSITION_BITS),
+            POSITION: F.col("__seq").bitwiseAND((1 << _POSITION_BITS) - 1),
         }
-    ).drop("_tag")
+    ).drop("__seq")
 
 
 def _slice_prefix(laid: DataFrame, totals: Mapping[str, Column], schema: str) -> DataFrame:
@@ -61,11 +61,11 @@ def with_ordinal(
 ) -> DataFrame:
     """Global zero-based row number over a total order, without a global window."""
     laid = slice_layout(df, order, slices)
-    offsets = _slice_prefix(laid, {"_offset": F.count("*")}, "_offset bigint")
+    offsets = _slice_prefix(laid, {"__offset": F.count("*")}, "__offset bigint")
     return (
         laid.join(F.broadcast(offsets), SLICE)
-        .withColumn(name, F.col("_offset") + F.col(POSITION))
-        .drop(SLICE, POSITION, "_offset")
+        .withColumn(name, F.col("__offset") + F.col(POSITION))
+        .drop(SLICE, POSITION, "__offset")
     )
 
 
@@ -81,7 +81,7 @@ def running_sums(
     slices: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums per key `by`, in `order`; NULL terms count as zero."""
-    terms = {f"_term{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(sums.values())}
+    terms = {f"__term{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(sums.values())}
     laid = slice_layout(df.withColumns(terms), [*by, *order], slices)
     inside = (
         Window.partitionBy(SLICE, *by)
@@ -89,24 +89,24 @@ def running_sums(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = laid.withColumns({n: F.sum(t).over(inside) for n, t in zip(sums, terms)})
-    carry_names = [f"_carry{i}" for i in range(len(terms))]
+    carry_names = [f"__carry{i}" for i in range(len(terms))]
     if by:
         before = (
             Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         )
-        keys = {f"_key{i}": F.col(k) for i, k in enumerate(by)}
+        keys = {f"__key{i}": F.col(k) for i, k in enumerate(by)}
         totals = laid.groupBy(SLICE, *by).agg(*[F.sum(t).alias(t) for t in terms])
         carried = (
             totals.withColumns(
                 {c: F.sum(t).over(before) for c, t in zip(carry_names, terms)}
             )
             .where(F.col(carry_names[0]).isNotNull())
-            .select(F.col(SLICE).alias("_at"), *[c.alias(k) for k, c in keys.items()], *carry_names)
+            .select(F.col(SLICE).alias("__at"), *[c.alias(k) for k, c in keys.items()], *carry_names)
         )
-        matches = _same(F.col(SLICE), F.col("_at"))
+        matches = _same(F.col(SLICE), F.col("__at"))
         for i, k in enumerate(by):
-            matches = matches & _same(F.col(k), F.col(f"_key{i}"))
-        joined = local.join(F.broadcast(carried), matches, "left").drop("_at", *keys)
+            matches = matches & _same(F.col(k), F.col(f"__key{i}"))
+        joined = local.join(F.broadcast(carried), matches, "left").drop("__at", *keys)
     else:
         types = dict(laid.dtypes)
         wide = {"int": "bigint", "bigint": "bigint", "double": "double"}
@@ -142,19 +142,19 @@ def with_neighbour(
     )
     shift = F.lag if step == -1 else F.lead
     edge = F.max_by if step == -1 else F.min_by
-    edges = laid.groupBy(SLICE).agg(edge(packed, F.col(POSITION)).alias("_edge"))
+    edges = laid.groupBy(SLICE).agg(edge(packed, F.col(POSITION)).alias("__edge"))
     numbers = sorted(r[0] for r in laid.select(SLICE).distinct().collect())
     pairs = list(zip(numbers[1:], numbers)) if step == -1 else list(zip(numbers, numbers[1:]))
-    hops = df.sparkSession.createDataFrame(pairs, f"{SLICE} bigint, _from bigint")
-    beyond = edges.withColumnRenamed(SLICE, "_from").join(F.broadcast(hops), "_from").drop("_from")
+    hops = df.sparkSession.createDataFrame(pairs, f"{SLICE} bigint, __from bigint")
+    beyond = edges.withColumnRenamed(SLICE, "__from").join(F.broadcast(hops), "__from").drop("__from")
     joined = (
-        laid.withColumn("_inside", shift(packed).over(inside))
+        laid.withColumn("__inside", shift(packed).over(inside))
         .join(F.broadcast(beyond), SLICE, "left")
-        .withColumn("_near", F.coalesce("_inside", "_edge"))
+        .withColumn("__near", F.coalesce("__inside", "__edge"))
     )
     same = F.lit(True)
     for i, k in enumerate(by):
-        same = same & _same(F.col(k), F.col("_near")[f"k{i}"])
+        same = same & _same(F.col(k), F.col("__near")[f"k{i}"])
     return joined.withColumns(
-        {n: F.when(same, F.col("_near")[f"v{i}"]) for i, n in enumerate(columns)}
-    ).drop(SLICE, POSITION, "_inside", "_edge", "_near")
+        {n: F.when(same, F.col("__near")[f"v{i}"]) for i, n in enumerate(columns)}
+    ).drop(SLICE, POSITION, "__inside", "__edge", "__near")

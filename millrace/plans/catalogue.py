@@ -8,6 +8,7 @@ from millrace.plans import (  # noqa: F401
     scalars,
     scans,
     selection,
+    stateful,
     summaries,
     vectors,
 )
