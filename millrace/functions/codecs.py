@@ -55,7 +55,7 @@ def typed_udf(function: Callable) -> Callable[..., Column]:
     def batched(*columns: pd.Series) -> pd.Series:
         return pd.Series([function(*values) for values in zip(*columns)])
 
-    arrow = F.pandas_udf(batched, _SPARK_TYPES[hints["return"]], F.PandasUDFType.SCALAR)
+    arrow = F.pandas_udf(batched, _SPARK_TYPES[hints["return"]])
 
     def apply(*columns: Column) -> Column:
         if len(columns) != len(names):

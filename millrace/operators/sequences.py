@@ -49,10 +49,10 @@ def _slice_prefix(laid: DataFrame, totals: Mapping[str, Column], schema: str) ->
     names = list(totals)
     aggregated = laid.groupBy(SLICE).agg(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in totals.items()])
     rows = sorted(aggregated.collect(), key=lambda r: r[SLICE])
-    columns = [
-        list(accumulate((r[name] for r in rows), initial=0))[: len(rows)] for name in names
-    ]
-    data = [(r[SLICE], *values) for r, values in zip(rows, zip(*columns))] if rows else []
+    data = []
+    if rows:
+        sums = [list(accumulate([r[n] for r in rows], initial=type(rows[0][n])(0))) for n in names]
+        data = [(r[SLICE], *before) for r, before in zip(rows, zip(*sums))]
     return laid.sparkSession.createDataFrame(data, f"{SLICE} bigint, {schema}")
 
 
