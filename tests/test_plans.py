@@ -4,6 +4,8 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 import __spark_entry__ as contract
 from millrace.plans import selection, summaries
@@ -19,17 +21,39 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def global_windows(plan):
+    """Window specifications whose first part is an ordering or a frame, so without keys."""
+    starts = re.findall(r"windowspecdefinition\(([^,]*),", plan)
+    return [s for s in starts if re.search(r" (ASC|DESC) |specifiedwindowframe", s)]
+
+
+def single_task_inputs(plan):
+    """Operators that feed an exchange to one partition."""
+    lines = [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in plan.splitlines()]
+    return [b.split(" ")[0] for a, b in zip(lines, lines[1:]) if a.startswith("Exchange SinglePartition")]
+
+
+# What may feed one task: partial aggregates and limits, which are one or a few rows per task.
+BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "LocalLimit")
+
+
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - SKIPPED))
-def test_no_product_and_no_global_window(spark, key):
+def test_nothing_whole_in_one_task(spark, key):
     plan = plan_of(QUERIES[key](spark, SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    for line in plan.splitlines():
-        window = re.search(r"\bWindow(?:GroupLimit)? .*\), \[([^\[]*)\], \[", line)
-        if window:
-            assert window.group(1) != "", line
+    assert global_windows(plan) == []
+    assert [s for s in single_task_inputs(plan) if not s.startswith(BOUNDED)] == []
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python
 
 
+def test_the_checks_see_what_they_forbid(spark):
+    ids = spark.range(10)
+    assert global_windows(plan_of(ids.select(F.row_number().over(Window.orderBy("id")))))
+    assert not global_windows(plan_of(ids.select(F.row_number().over(Window.partitionBy("id").orderBy("id")))))
+    assert single_task_inputs(plan_of(ids.select(F.row_number().over(Window.orderBy("id"))))) == ["Range"]
+    assert single_task_inputs(plan_of(ids.agg(F.sum("id")))) == ["HashAggregate"]
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(summaries.daily_quantity(spark, SMALL))
     assert re.search(r"ReadSchema: struct<l_quantity:double,l_shipdate:timestamp_ntz>", plan)
