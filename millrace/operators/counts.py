@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 from millrace.operators.sequences import running_sums
 from millrace.sources.storage import bounded_rows, small_copy
 
-MAX_KEPT_GENES = 20_000  # dense steps hold one value per kept gene and cell
+MAX_GROUPS = 10_000
+MAX_KEPT_GENES = 4096  # dense steps hold one value per kept gene and cell
 
 
 def cell_totals(long: DataFrame) -> Column:
@@ -233,15 +234,34 @@ def scale_clip(dense: DataFrame, limit: float = 10.0, lower: float | None = None
     return scaled.select("cell", "gene", z.alias("value"))
 
 
+def gene_by_group(long: DataFrame, groups: DataFrame) -> DataFrame:
+    """All genes with all groups, group sizes (n_group) and the number of cells (n_cells).
+
+    Groups are few: at most MAX_GROUPS, more are refused.  They reach the genes
+    as one constant list.
+    """
+    sizes = bounded_rows(
+        groups.groupBy("group").agg(F.count("*").alias("n_group")), MAX_GROUPS, "groups"
+    )
+    kind = groups.schema["group"].dataType.simpleString()
+    listed = long.sparkSession.createDataFrame(
+        [([tuple(r) for r in sizes],)], f"l array<struct<`group`:{kind},n_group:bigint>>"
+    ).scalar()
+    everyone = sum(r["n_group"] for r in sizes)
+    return (
+        long.select("gene")
+        .distinct()
+        .withColumn("s", F.explode(listed))
+        .select("gene", "s.group", "s.n_group", F.lit(everyone).cast("bigint").alias("n_cells"))
+    )
+
+
 def group_expression(long: DataFrame, groups: DataFrame) -> DataFrame:
     """Mean and fraction of expressing cells per gene and group; absent entries count as zero.
 
     `groups` has columns cell and group.
     """
-    sizes = groups.groupBy("group").agg(F.count("*").alias("cells"))
-    genes = long.select("gene").distinct()
-    listed = F.explode(sizes.agg(F.collect_list(F.struct("group", "cells"))).scalar())
-    frame = genes.withColumn("s", listed).select("gene", "s.group", "s.cells")
+    frame = gene_by_group(long, groups).select("gene", "group", F.col("n_group").alias("cells"))
     sums = (
         long.join(groups, "cell")
         .groupBy("gene", "group")

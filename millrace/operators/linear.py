@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.sources.storage import bounded_rows
+from millrace.sources.storage import bounded_columns
 
 MAX_FEATURES = 4096
 MAX_LABELS = 10_000
@@ -100,7 +100,7 @@ class Moments:
 
     def __init__(self, table: DataFrame):
         limit = MAX_FEATURES * (MAX_FEATURES + 3) // 2 + MAX_LABELS * (MAX_FEATURES + 1) + 1
-        rows = pd.DataFrame(bounded_rows(table, limit, "moments"), columns=["kind", "i", "j", "value"])
+        rows = pd.DataFrame(bounded_columns(table, limit, "moments"))
         parts = {kind: part for kind, part in rows.groupby("kind")}
         if "n" not in parts:
             raise ValueError("no rows with a vector")
@@ -164,12 +164,12 @@ def group_means(df: DataFrame, by: Sequence[str], vector: str, name: str = "mean
 
 def model_arrays(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Model table (label, feature, weight) to its labels and a label-by-feature matrix."""
-    rows = bounded_rows(model.select("label", "feature", "weight"), MAX_LABELS * MAX_FEATURES, "model weights")
-    labels = np.array(sorted({r["label"] for r in rows}))
-    place = {label: at for at, label in enumerate(labels)}
-    beta = np.zeros((len(labels), max(r["feature"] for r in rows) + 1))
-    for r in rows:
-        beta[place[r["label"]], r["feature"]] = r["weight"]
+    table = bounded_columns(
+        model.select("label", "feature", "weight"), MAX_LABELS * MAX_FEATURES, "model weights"
+    )
+    labels, at = np.unique(table["label"], return_inverse=True)
+    beta = np.zeros((len(labels), int(table["feature"].max()) + 1))
+    beta[at, table["feature"]] = table["weight"]
     return labels, beta
 
 

@@ -15,23 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.aggregates import top_per_group
+from millrace.operators.counts import gene_by_group
 from millrace.operators.sequences import running_sums
 
 
-def _gene_by_group(long: DataFrame, groups: DataFrame) -> DataFrame:
-    """All genes with all groups, group size and number of cells; groups are few."""
-    sizes = groups.groupBy("group").agg(F.count("*").alias("n_group"))
-    listed = sizes.agg(F.collect_list(F.struct("group", "n_group"))).scalar()
-    everyone = sizes.agg(F.sum("n_group")).scalar()
-    return (
-        long.select("gene")
-        .distinct()
-        .withColumn("s", F.explode(listed))
-        .select("gene", "s.group", "s.n_group")
-        .withColumn("n_cells", everyone)
-    )
-
-
 def welch_scores(long: DataFrame, groups: DataFrame) -> DataFrame:
     """Welch t of each gene in each group against all other cells, with degrees of freedom."""
     value = F.col("value")
@@ -43,7 +30,7 @@ def welch_scores(long: DataFrame, groups: DataFrame) -> DataFrame:
     per_gene = sums.groupBy("gene").agg(F.sum("_s").alias("_st"), F.sum("_q").alias("_qt"))
     zero = F.lit(0.0)
     table = (
-        _gene_by_group(long, groups)
+        gene_by_group(long, groups)
         .join(sums, ["gene", "group"], "left")
         .join(per_gene, "gene")
         .withColumns({"_s": F.coalesce("_s", zero), "_q": F.coalesce("_q", zero)})
@@ -100,7 +87,7 @@ def rank_sums(long: DataFrame, groups: DataFrame) -> DataFrame:
         + (F.col("n_group") - k) * (zeros + 1) / F.lit(2.0)
     )
     return (
-        _gene_by_group(long, groups)
+        gene_by_group(long, groups)
         .join(per_group, ["gene", "group"], "left")
         .join(seen, "gene", "left")
         .select("gene", "group", "n_group", "n_cells", total.alias("rank_sum"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from millrace.sources.storage import materialize
+
 # The averaging windows, in rows.
 WINDOWS = (1, 5, 10, 15)
 
@@ -34,6 +36,8 @@ def lagged_averages(
     A window that is not full gives NULL.  The first month of the series has no
     history and is skipped; months before `start` (YYYYMMDD) are left out.
     """
+    # At most one row per day: worth writing before the first month is looked up.
+    daily = materialize(daily.select("day", "value"), "daily")
     first = daily.agg(F.min(F.trunc("day", "MM"))).scalar()
     by_day = Window.partitionBy("month").orderBy("day")
     averages = {}

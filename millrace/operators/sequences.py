@@ -31,10 +31,14 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row number in the l
 
 
 def slice_layout(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """`df` written in range slices, with slice number and position in the slice."""
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tag = F.monotonically_increasing_id()
-    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__seq", tag)
+    """`df` written in range slices, with slice number and position in the slice.
+
+    Without `slices` there are as many as the session's shuffle partitions, and
+    adaptive execution joins small neighbouring ones, so little data makes few
+    slices.
+    """
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    laid = ranged.sortWithinPartitions(*order).withColumn("__seq", F.monotonically_increasing_id())
     pinned = materialize(laid, "slices")
     return pinned.withColumns(
         {
@@ -56,17 +60,27 @@ def _slice_prefix(laid: DataFrame, totals: Mapping[str, Column], schema: str) ->
     return laid.sparkSession.createDataFrame(data, f"{SLICE} bigint, {schema}")
 
 
-def with_ordinal(
+def number_rows(
     df: DataFrame, order: Sequence[str], name: str = "ordinal", slices: int | None = None
-) -> DataFrame:
-    """Global zero-based row number over a total order, without a global window."""
+) -> tuple[DataFrame, int]:
+    """Rows with their global zero-based number over a total order, and how many there are."""
     laid = slice_layout(df, order, slices)
-    offsets = _slice_prefix(laid, {"__offset": F.count("*")}, "__offset bigint")
-    return (
+    sizes = {r[SLICE]: r["count"] for r in laid.groupBy(SLICE).count().collect()}
+    before = dict(zip(sorted(sizes), accumulate((sizes[s] for s in sorted(sizes)), initial=0)))
+    offsets = df.sparkSession.createDataFrame(list(before.items()), f"{SLICE} bigint, __offset bigint")
+    numbered = (
         laid.join(F.broadcast(offsets), SLICE)
         .withColumn(name, F.col("__offset") + F.col(POSITION))
         .drop(SLICE, POSITION, "__offset")
     )
+    return numbered, sum(sizes.values())
+
+
+def with_ordinal(
+    df: DataFrame, order: Sequence[str], name: str = "ordinal", slices: int | None = None
+) -> DataFrame:
+    """Global zero-based row number over a total order, without a global window."""
+    return number_rows(df, order, name, slices)[0]
 
 
 def _same(left: Column, right: Column) -> Column:

@@ -7,27 +7,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.sequences import running_sums, with_ordinal
+from millrace.operators.sequences import number_rows, running_sums
 
 
 def ordered_split(df: DataFrame, order: Sequence[str], test_share: float = 0.2) -> DataFrame:
     """Last ceil(share * n) rows of a stated order are 'test', the rest 'train'; no shuffle of rows."""
-    n = df.count()
+    numbered, n = number_rows(df, order, "_at")
     first_test = n - math.ceil(test_share * n)
     part = F.when(F.col("_at") >= first_test, "test").otherwise("train")
-    return with_ordinal(df, order, "_at").withColumn("part", part).drop("_at")
+    return numbered.withColumn("part", part).drop("_at")
 
 
 def shuffled_split(
-    df: DataFrame, key: str, seed: int, train: int, validate: int, test: int
+    df: DataFrame, key: str, seed: int, train: float, validate: float, test: float
 ) -> DataFrame:
     """Seeded shuffle, then fixed counts: the first for training, the next for validation, the last for test.
 
-    The order is that of md5(seed:key), so every run and every retry shuffles
-    alike.  Where the counts overlap, the earlier part wins.
+    Whole numbers are row counts, fractions are shares of all rows rounded
+    down.  The order is that of md5(seed:key), so every run and every retry
+    shuffles alike.  Where the counts overlap, the earlier part wins.
     """
-    n = df.count()
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    numbered, n = number_rows(df.withColumn("_digest", digest), ["_digest", key], "_at")
+    train, validate, test = (v if isinstance(v, int) else math.floor(v * n) for v in (train, validate, test))
     at = F.col("_at")
     part = (
         F.when(at < train, "train")
@@ -35,8 +37,7 @@ def shuffled_split(
         .when(at >= n - test, "test")
         .otherwise("unused")
     )
-    shuffled = with_ordinal(df.withColumn("_digest", digest), ["_digest", key], "_at")
-    return shuffled.withColumn("part", part).drop("_at", "_digest")
+    return numbered.withColumn("part", part).drop("_at", "_digest")
 
 
 def unique_names(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ AVERAGES = [f"avg_{w}" for w in moving.WINDOWS]
 
 
 def volume_rows(spark: SparkSession, root: str) -> DataFrame:
-    return materialize(moving.training_rows(daily_quantity(spark, root)), "volume")
+    return moving.training_rows(daily_quantity(spark, root))
 
 
 def _volume_backtest(spark: SparkSession, root: str, kind: str) -> DataFrame:
@@ -88,7 +88,8 @@ def churn_customers(spark: SparkSession, root: str) -> DataFrame:
 
 def churn_features(spark: SparkSession, root: str) -> DataFrame:
     """Scaled, ratio and signed one-hot features per customer; missing ratios become 0."""
-    scaled = aggregates.minmax_scale(churn_customers(spark, root), CONTINUOUS)
+    customers = materialize(churn_customers(spark, root), "customers")
+    scaled = aggregates.minmax_scale(customers, CONTINUOUS)
     return signed_one_hot(scaled.na.fill(0.0, CONTINUOUS), ["c_mktsegment", "r_name"])
 
 
@@ -121,8 +122,7 @@ def churn_rows(spark: SparkSession, root: str) -> DataFrame:
     inputs = [c for c in features.columns if c not in ("c_custkey", "exited")]
     vectors = models.feature_vector(features, inputs)
     rows = vectors.select("c_custkey", F.col("exited").cast("double").alias("label"), "features")
-    n = rows.count()
-    return materialize(splits.shuffled_split(rows, "c_custkey", 7, int(0.8 * n), 0, n), "churn")
+    return splits.shuffled_split(rows, "c_custkey", 7, 0.8, 0, 1.0)
 
 
 def _churn(spark: SparkSession, root: str, kind: str, draws: int) -> tuple[DataFrame, float]:

@@ -133,8 +133,7 @@ def ordered_split(spark: SparkSession, root: str) -> DataFrame:
 )
 def hash_shuffle_split(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents").select("doc_id")
-    n = documents.count()
-    return splits.shuffled_split(documents, "doc_id", 42, int(n * 0.8), n // 10, n // 10)
+    return splits.shuffled_split(documents, "doc_id", 42, 0.8, 0.1, 0.1)
 
 
 @bound(

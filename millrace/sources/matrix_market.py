@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.sequences import with_ordinal
+from millrace.sources.storage import materialize
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,19 +40,27 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    # The sizes line is the first one after the comments of the file with the banner.
     banner = lines.where(F.col("value").startswith("%%MatrixMarket")).select("_file").first()
     if banner is None:
         raise ValueError("no MatrixMarket banner")
-    data = lines.where(~F.col("value").startswith("%") & (F.col("value") != ""))
-    sizes = data.where(F.col("_file") == banner["_file"]).orderBy("_block", "_row").select("_block", "_row").first()
-    is_sizes = (F.col("_file") == banner["_file"]) & (F.col("_block") == sizes["_block"]) & (F.col("_row") == sizes["_row"])
+    headed = F.col("_file") == banner["_file"]
     parts = F.split(F.trim("value"), r"\s+")
-    entries = data.where(~is_sizes).select(
-        F.get(parts, F.lit(0)).cast("bigint").alias("_g"),
-        F.get(parts, F.lit(1)).cast("bigint").alias("_c"),
-        F.get(parts, F.lit(2)).cast("double").alias("value"),
+    # Row tags depend on how the scan was cut, so the parsed lines are written once.
+    data = materialize(
+        lines.where(~F.col("value").startswith("%") & (F.col("value") != "")).select(
+            F.get(parts, F.lit(0)).cast("bigint").alias("_g"),
+            F.get(parts, F.lit(1)).cast("bigint").alias("_c"),
+            F.get(parts, F.lit(2)).cast("double").alias("value"),
+            headed.alias("_headed"),
+            "_block",
+            "_row",
+        ),
+        "coordinates",
     )
+    # The sizes line is the first one after the comments of the file with the banner.
+    sizes = data.where("_headed").orderBy("_block", "_row").select("_block", "_row").first()
+    is_sizes = F.col("_headed") & (F.col("_block") == sizes["_block"]) & (F.col("_row") == sizes["_row"])
+    entries = data.where(~is_sizes).select("_g", "_c", "value")
     return entries.join(genes, "_g").join(cells, "_c").select("cell", "gene", "value")
 
 

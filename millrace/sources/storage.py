@@ -57,6 +57,21 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+def bounded_columns(df: DataFrame, limit: int, what: str) -> dict:
+    """As `bounded_rows`, by Arrow: column names to numpy arrays, for large numeric tables."""
+    table = df.limit(limit + 1).toArrow()
+    if table.num_rows > limit:
+        raise ValueError(f"more than {limit} rows of {what}")
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
 def small_copy(df: DataFrame, limit: int, what: str) -> DataFrame:
     """`df` as a broadcast side whose size has been checked."""
     return F.broadcast(df.sparkSession.createDataFrame(bounded_rows(df, limit, what), df.schema))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediates; call when its results have been stored elsewhere."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/millrace/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(conf).delete(folder, True)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.sources.storage import small_copy
 from millrace.streaming.statelog import BatchSink, run_available
 
+MAX_RECIPIENTS = 10_000
+
 
 def alert_rows(status: DataFrame, recipients: DataFrame, failed: Column, finished: Column) -> DataFrame:
     """One row per raised condition and recipient subscribed to it.
@@ -15,7 +18,7 @@ def alert_rows(status: DataFrame, recipients: DataFrame, failed: Column, finishe
     """
     condition = F.when(failed, "error").when(finished, "done")
     raised = status.withColumn("condition", condition).where(F.col("condition").isNotNull())
-    return raised.join(recipients, "condition")
+    return raised.join(small_copy(recipients, MAX_RECIPIENTS, "recipients"), "condition")
 
 
 def threshold_alerts(scores: DataFrame, score: str, limit: float, recipient: str) -> DataFrame:

@@ -6,72 +6,69 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.operators.aggregates import last_by_key
 from millrace.operators.sequences import running_sums
 from millrace.streaming.statelog import BatchSink, StateLog, run_available
 
 
-def counts_with_resets(events: DataFrame, tag: str, order: Sequence[str], reset: Column) -> DataFrame:
+def counts_with_resets(
+    events: DataFrame, tag: str, order: Sequence[str], reset: Column, base: DataFrame | None = None
+) -> DataFrame:
     """The tag's counter after each event (`served`), and how many resets came before or with it (`resets`).
 
-    A reset itself shows 0.  A tag with a third of all events is split by
-    `running_sums`, first over resets, then over hits between resets.
+    A reset itself shows 0.  `base` (the tag column and value) is what tags start
+    from: it comes in as a row before the tag's first event, since order columns
+    are never missing and missing ones sort first.  A tag with a third of all
+    events is split by `running_sums`, first over resets, then over hits between
+    resets; no join meets the events.
     """
-    marked = events.withColumn("_reset", F.coalesce(reset, F.lit(False)))
-    spans = running_sums(marked, [tag], order, {"resets": F.col("_reset").cast("int")})
-    hits = running_sums(
-        spans, [tag, "resets"], order, {"served": F.when(F.col("_reset"), 0).otherwise(1)}
+    marked = events.withColumns(
+        {"_reset": F.coalesce(reset, F.lit(False)), "_base": F.lit(False), "_worth": F.lit(1).cast("bigint")}
     )
-    return hits.drop("_reset")
+    if base is not None:
+        met = base.join(events.select(tag).distinct(), tag, "left_semi")
+        start = met.select(
+            tag, F.lit(False).alias("_reset"), F.lit(True).alias("_base"), F.col("value").alias("_worth")
+        )
+        marked = marked.unionByName(start, allowMissingColumns=True)
+    spans = running_sums(marked, [tag], order, {"resets": F.col("_reset").cast("int")})
+    worth = F.when(F.col("_reset"), 0).otherwise(F.col("_worth"))
+    hits = running_sums(spans, [tag, "resets"], order, {"served": worth})
+    return hits.where(~F.col("_base")).drop("_reset", "_base", "_worth")
 
 
 class TagCounter:
     """Streaming counter with the count after every hit.
 
-    State per tag is its count since the last reset; a batch contributes its own
-    count and whether it saw a reset, newest last.
+    State per tag is its count after the last batch it was seen in.
     """
 
     def __init__(self, spark: SparkSession, folder: str, tag: str, order: Sequence[str], key: str):
         self.tag, self.order, self.key = tag, list(order), key
         self.out = BatchSink(spark, f"{folder}/out")
         self.checkpoint = f"{folder}/progress"
-        self.log = StateLog(
-            spark, f"{folder}/state", "tag string, batch bigint, resets bigint, value bigint", self._reduce
-        )
+        self.log = StateLog(spark, f"{folder}/state", "tag string, batch bigint, value bigint", self._reduce)
 
     @staticmethod
     def _reduce(rows: DataFrame) -> DataFrame:
-        """Add up contributions since the newest reset of each tag."""
-        newest = rows.groupBy("tag").agg(
-            F.max(F.when(F.col("resets") > 0, F.col("batch"))).alias("_reset_at"), F.max("batch").alias("_last")
-        )
-        live = F.col("_reset_at").isNull() | (F.col("batch") >= F.col("_reset_at"))
-        return (
-            rows.join(newest, "tag")
-            .groupBy("tag")
-            .agg(
-                F.max("_last").alias("batch"),
-                F.max(F.when(F.col("_reset_at").isNotNull(), 1).otherwise(0)).cast("bigint").alias("resets"),
-                F.sum(F.when(live, F.col("value")).otherwise(0)).alias("value"),
-            )
-        )
+        return last_by_key(rows, ["tag"], ["batch"], ["batch", "value"])
 
     def handle(self, rows: DataFrame, batch: int, reset: Column) -> None:
         named = rows.withColumn("_tag", F.col(self.tag).cast("string"))
-        counted = counts_with_resets(named, "_tag", self.order, reset)
-        base = self.log.before(batch).select(F.col("tag").alias("_tag"), F.col("value").alias("_base"))
-        value = F.col("served") + F.when(F.col("resets") == 0, F.coalesce("_base", F.lit(0))).otherwise(0)
-        numbered = counted.join(base, "_tag", "left").select(
-            self.key, F.col("_tag").alias("tag"), value.alias("value")
-        )
-        self.out.write(batch, numbered)
-        per_span = counted.groupBy("_tag", "resets").agg(F.max("served").alias("served"))
-        last = per_span.groupBy("_tag").agg(
-            F.max("resets").alias("resets"), F.max_by("served", "resets").alias("value")
+        base = self.log.before(batch).select(F.col("tag").alias("_tag"), "value")
+        counted = counts_with_resets(named, "_tag", self.order, reset, base)
+        self.out.write(
+            batch, counted.select(self.key, F.col("_tag").alias("tag"), F.col("served").alias("value"))
         )
+        # The newest span's highest count: plain maxima, so partial results are one row per task and tag.
+        after = counted.groupBy("_tag").agg(F.max(F.struct("resets", "served")).alias("_last"))
         self.log.write(
             batch,
-            last.select(F.col("_tag").alias("tag"), F.lit(batch).cast("bigint").alias("batch"), "resets", "value"),
+            after.select(
+                F.col("_tag").alias("tag"),
+                F.lit(batch).cast("bigint").alias("batch"),
+                F.col("_last.served").alias("value"),
+            ),
         )
 
     def run(self, stream: DataFrame, reset: Column) -> None:

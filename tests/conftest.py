@@ -7,7 +7,8 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "millrace-tests")
+    # Small partitions stay apart, so ordered operators meet many slices.
+    session = local_session(8, "millrace-tests", spark__sql__adaptive__coalescePartitions__enabled="false")
     yield session
     session.stop()
 
