@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.strings import grid_rows
 
@@ -59,6 +59,20 @@ def classify_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumns({"rule": rule, "alive_next": lives})
 
 
+def append_generation(rows: DataFrame, path: str, tick: int) -> None:
+    """Add one generation of rows to a history folder; a repeated tick replaces itself."""
+    rows.write.mode("overwrite").parquet(f"{path}/tick={tick}")
+
+
+def read_history(spark: SparkSession, path: str, schema: str = "y int, cells string") -> DataFrame:
+    return spark.read.schema(f"{schema}, tick int").parquet(path)
+
+
+def latest_generation(history: DataFrame) -> DataFrame:
+    """Rows of the highest tick; folder names alone decide which files are read."""
+    return history.where(F.col("tick") == history.agg(F.max("tick")).scalar())
+
+
 def rows_from_cells(cells: DataFrame, alive: str = "alive", by: list[str] | None = None) -> DataFrame:
     """Row strings such as '0110', cells in x order.
 

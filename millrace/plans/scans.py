@@ -122,6 +122,26 @@ def gzip_sizes(spark: SparkSession, root: str) -> DataFrame:
     return files.compressed_sizes(documents, "doc_id", "payload")
 
 
+@bound("gzip_roundtrip", "SELECT doc_id, strlen(text) AS bytes, md5(text) AS md5 FROM documents")
+def gzip_roundtrip(spark: SparkSession, root: str) -> DataFrame:
+    """Whole texts through a gzip sink and back."""
+    path = scratch_path(spark, "gzip")
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    documents.write.option("compression", "gzip").json(path)
+    read = spark.read.schema("doc_id bigint, text string").json(path)
+    return read.select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.md5("text").alias("md5"))
+
+
+@bound("month_listing", "SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders ORDER BY 1")
+def month_listing(spark: SparkSession, root: str) -> DataFrame:
+    """Months of a partitioned folder, listed from folder names."""
+    path = scratch_path(spark, "listing")
+    orders = table(spark, root, "orders").select("o_orderkey", month_text(F.col("o_orderdate")).alias("yyyymm"))
+    files.write_by_month(orders, path, "yyyymm", "csv")
+    read = spark.read.schema("o_orderkey bigint, yyyymm string").csv(path)
+    return read.select("yyyymm").distinct().orderBy("yyyymm")
+
+
 @bound(
     "gen_transactions",
     f"""

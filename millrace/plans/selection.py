@@ -8,6 +8,7 @@ from millrace.functions.strings import year_month
 from millrace.operators import filters, grid
 from millrace.operators.aggregates import rename_by_position
 from millrace.plans.registry import bound, fixed, fixed_sql
+from millrace.sources.storage import scratch_path
 from millrace.sources.tables import table
 
 
@@ -209,6 +210,25 @@ def grid_rows(spark: SparkSession, root: str) -> DataFrame:
     return grid.rows_from_cells(ruled, "alive_next")
 
 
+@bound(
+    "grid_history",
+    f"""
+    WITH {CELLS_SQL}, ruled AS ({RULES_SQL})
+    SELECT 0 AS tick, y, string_agg(CASE WHEN alive THEN '1' ELSE '0' END, '' ORDER BY x) AS cells FROM cells GROUP BY y
+    UNION ALL
+    SELECT 1, y, string_agg(CASE WHEN alive_next THEN '1' ELSE '0' END, '' ORDER BY x) FROM ruled GROUP BY y
+    """,
+)
+def grid_history(spark: SparkSession, root: str) -> DataFrame:
+    """A generation and the next one appended to a stored history."""
+    path = scratch_path(spark, "history")
+    cells = part_cells(spark, root)
+    grid.append_generation(grid.rows_from_cells(cells), path, 0)
+    ruled = grid.classify_cells(grid.neighbour_counts(cells))
+    grid.append_generation(grid.rows_from_cells(ruled, "alive_next"), path, 1)
+    return grid.read_history(spark, path)
+
+
 @bound(
     "line_grep",
     r"""

@@ -112,6 +112,62 @@ def label_confusion(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.set_confusion(predicted.join(actual, "video"), "predicted", "actual")
 
 
+@bound(
+    "ridge_normal",
+    """
+    SELECT ridge, label, i::INTEGER AS feature, 0.0::DOUBLE AS gap
+    FROM (SELECT unnest([0.0, 1.0, 10.0, 100.0, 500.0])::DOUBLE AS ridge), (SELECT DISTINCT label FROM embeddings),
+         (SELECT unnest(range(0, 64)) AS i)
+    """,
+)
+def ridge_normal(spark: SparkSession, root: str) -> DataFrame:
+    """How far each fit is from solving (X'X + ridge n I) b = X'y, from the table itself.
+
+    X'(y - Xb) - ridge n b must vanish for every ridge, label and feature.
+    """
+    frames = table(spark, root, "embeddings").withColumn("labels", F.array("label"))
+    model = linear.ridge_fit(frames, "embedding", "labels")
+    sums = linear.moments(frames, "embedding", "labels")
+    upper = sums.where("kind = 'xx'")
+    square = upper.select("i", "j", "value").unionByName(
+        upper.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "value")
+    )
+    cross = sums.where("kind = 'xy'").select(F.col("i").alias("label"), F.col("j").alias("feature"), F.col("value").alias("xy"))
+    n = sums.where("kind = 'n'").select("value").scalar()
+    fitted = (
+        square.join(model, F.col("j") == F.col("feature"))
+        .groupBy("ridge", "label", F.col("i").alias("feature"))
+        .agg(F.sum(F.col("value") * F.col("weight")).alias("xxb"))
+    )
+    own = model.select("ridge", "label", "feature", "weight")
+    gap = F.col("xy") - F.col("xxb") - F.col("ridge") * n * F.col("weight")
+    return (
+        fitted.join(own, ["ridge", "label", "feature"])
+        .join(cross, ["label", "feature"])
+        .select("ridge", "label", "feature", fixed(gap, 6).alias("gap"))
+    )
+
+
+@bound(
+    "pca_invariants",
+    f"""
+    WITH {ENTRIES_SQL},
+    cv AS (SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS c FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY 1, 2)
+    SELECT {fixed_sql('sum(c) FILTER (WHERE i = j)', 6)} AS total_variance,
+           {fixed_sql('sum(c * c)', 6)} AS squared_variances, 64::BIGINT AS components
+    FROM cv
+    """,
+)
+def pca_invariants(spark: SparkSession, root: str) -> DataFrame:
+    """Sum and sum of squares of the component variances, which the covariances fix."""
+    variance = pca_variance(spark, root).agg(
+        F.sum("variance").alias("t"), F.sum(F.col("variance") * F.col("variance")).alias("s"), F.count("*").alias("components")
+    )
+    return variance.select(
+        fixed("t", 6).alias("total_variance"), fixed("s", 6).alias("squared_variances"), "components"
+    )
+
+
 @bound("pca_variance")
 def pca_variance(spark: SparkSession, root: str) -> DataFrame:
     found = linear.principal_components(table(spark, root, "embeddings"), "embedding")

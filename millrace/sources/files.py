@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,6 +16,12 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("nanValue", "NaN").csv(path)
 
 
+def read_csv_columns(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
+    """Named columns of a CSV with a header, in any order among others, cast to the given types."""
+    text = spark.read.option("header", True).csv(path)
+    return text.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row and no row index."""
     df.write.option("header", True).csv(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.sequences import with_ordinal
+from millrace.operators.splits import unique_names
 from millrace.sources.storage import materialize
 
 
@@ -27,10 +28,14 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Long table (cell, gene, value); genes go by their symbol, the second column of the gene list."""
-    genes = _numbered_lines(spark, f"{path}/genes.tsv").select(
+    """Long table (cell, gene, value); genes go by their symbol, the last column of the gene list.
+
+    Symbols that occur for several genes are made unique in list order.
+    """
+    symbols = _numbered_lines(spark, f"{path}/genes.tsv").select(
         F.col("number").alias("_g"), F.element_at(F.split("value", "\t"), -1).alias("gene")
     )
+    genes = unique_names(symbols, "gene", ["_g"])
     cells = _numbered_lines(spark, f"{path}/barcodes.tsv").select(
         F.col("number").alias("_c"), F.col("value").alias("cell")
     )
