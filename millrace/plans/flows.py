@@ -59,6 +59,7 @@ def stock(
 
 # Churn ----------------------------------------------------------------------------------
 
+# Columns of the customer and transaction files, and the derived feature names.
 CUSTOMER_COLUMNS = {
     "CustomerId": "bigint", "CreditScore": "double", "Geography": "string", "Gender": "string", "Age": "double",
     "Tenure": "double", "Balance": "double", "NumOfProducts": "double", "HasCrCard": "int",
@@ -286,6 +287,9 @@ def titles(spark: SparkSession, csv: str, actors: Sequence[str]) -> DataFrame:
 
 
 def title_record(spark: SparkSession, csv: str, title: str):
-    """First record of a title, as a row."""
-    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(csv)
-    return filters.first_record(rows, F.col("title") == title, ["title"])
+    """First record of a title in file order, as a row."""
+    text = spark.read.option("header", True).option("escape", '"').csv(csv)
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    rows = text.select("*", *place, F.monotonically_increasing_id().alias("_row"))
+    found = filters.first_record(rows, F.col("title") == title, ["_file", "_block", "_row"]).asDict()
+    return {name: found[name] for name in text.columns}

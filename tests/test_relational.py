@@ -36,6 +36,27 @@ def test_salted_join_equals_plain_join(spark):
     assert salted.count() == 600
 
 
+def test_a_hot_key_is_joined_in_several_tasks(spark):
+    left = spark.range(50).withColumn("name", F.lit("x"))
+    right = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 50).alias("id"), F.col("id").alias("row"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        largest = {
+            share: max(
+                r["count"]
+                for r in joins.inner_join(left, right, "id", share).groupBy(F.spark_partition_id().alias("p")).count().collect()
+            )
+            for share in (0.05, None)
+        }
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert largest[None] > 10_000 > 1.5 * largest[0.05]
+
+
 @pytest.mark.parametrize("n, chunk", [(1, 5), (10, 3), (5000, 5000), (5001, 5000), (12, 12)])
 def test_batch_ranges_cover_all_rows(spark, n, chunk):
     got = values(joins.batch_ranges(spark.range(n), chunk), "start", "end")

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.sequences import running_sums, with_neighbour, with_ordinal
+from millrace.operators.sequences import SLICE, running_sums, slice_layout, with_neighbour, with_ordinal
 from millrace.operators.splits import ordered_split, shuffled_split, unique_names
 
 
@@ -20,6 +20,12 @@ def frame(spark, pdf):
     return spark.createDataFrame(pdf, "k bigint, t bigint, id bigint, v bigint")
 
 
+def test_a_hot_key_is_spread_over_slices(spark):
+    hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7).alias("k"), "id")
+    sizes = [r["count"] for r in slice_layout(hot, ["k", "id"], 8).groupBy(SLICE).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.6 * sum(sizes) / 8
+
+
 def test_ordinal_is_the_sorted_position(spark):
     pdf = keyed(500)
     got = with_ordinal(frame(spark, pdf), ["t", "id"], "at").toPandas().sort_values("at")

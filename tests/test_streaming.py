@@ -75,7 +75,7 @@ def test_alerts_reach_their_recipients(spark):
     got = alerts.alert_rows(status, recipients, F.col("bad"), F.col("done")).select("node", "condition", "recipient")
     assert sorted(map(tuple, got.collect())) == [("a", "error", "#status"), ("b", "done", "all")]
     scores = spark.createDataFrame([(0.9,), (0.85,), (None,)], "score double")
-    assert alerts.threshold_alerts(scores, "score", 0.85, "SlackUser").count() == 1
+    assert alerts.threshold_alerts(scores, "score", 0.85, "oncall").count() == 1
 
 
 def test_streaming_totals_in_complete_mode(spark):
