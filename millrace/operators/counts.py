@@ -13,8 +13,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
+from millrace.operators.filters import SMALL_LIST, keep_entities
 from millrace.operators.sequences import running_sums
-from millrace.sources.storage import bounded_rows, small_copy
+from millrace.sources.storage import bounded_rows, broadcast_if_small, small_copy
 
 MAX_GROUPS = 10_000
 MAX_KEPT_GENES = 4096  # dense steps hold one value per kept gene and cell
@@ -108,7 +109,7 @@ def variable_genes(
 
 
 def keep_genes(long: DataFrame, genes: DataFrame) -> DataFrame:
-    return long.join(genes.select("gene"), "gene", "left_semi")
+    return keep_entities(long, genes, "gene")
 
 
 def kept_names(genes: DataFrame) -> list[str]:
@@ -281,7 +282,10 @@ def exact_quantiles(long: DataFrame, by: list[str], value: str, shares: list[flo
     counted = long.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     running = running_sums(counted, by, [value], {"_upto": F.col("_n")})
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_all"))
-    ranked = running.join(totals, by) if by else running.withColumn("_all", counted.agg(F.sum("_n")).scalar())
+    if by:
+        ranked = running.join(broadcast_if_small(totals, SMALL_LIST), by)
+    else:
+        ranked = running.withColumn("_all", counted.agg(F.sum("_n")).scalar())
     reached = [
         F.min(F.when(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all")), F.col(value))).alias(f"q{int(q * 100)}")
         for q in shares

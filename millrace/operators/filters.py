@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from millrace.functions.strings import md5_modulus
 from millrace.operators.sequences import with_ordinal
+from millrace.sources.storage import broadcast_if_small
 
 
 def keep_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
@@ -47,9 +48,12 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.na.drop("any", subset=list(columns) if columns else None)
 
 
+SMALL_LIST = 100_000  # entities worth sending to every executor
+
+
 def keep_entities(long: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    """Entries of a long table whose entity is listed."""
-    return long.join(entities.select(key), key, "left_semi")
+    """Entries of a long table whose entity is listed; one entity may hold most of the entries."""
+    return long.join(broadcast_if_small(entities.select(key), SMALL_LIST), key, "left_semi")
 
 
 def by_support(
@@ -57,7 +61,8 @@ def by_support(
 ) -> DataFrame:
     """Cells with enough genes, then genes in enough of the remaining cells."""
     cells = long.groupBy(cell).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_genes)
-    kept = keep_entities(long, cells, cell)
+    # A cell has no more entries than there are genes, so cells cannot be hot.
+    kept = long.join(cells.select(cell), cell, "left_semi")
     genes = kept.groupBy(gene).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_cells)
     return keep_entities(kept, genes, gene)
 

@@ -25,16 +25,24 @@ def hot_keys(df: DataFrame, key: str, share: float) -> list[tuple[object, float]
     return [(r[key], r["_n"] / r["_total"]) for r in rows]
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str, hot_share: float | None = 0.05) -> DataFrame:
+def inner_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    hot_share: float | None = 0.05,
+    hot: list[tuple[object, float]] | None = None,
+) -> DataFrame:
     """Inner join on one column; missing keys match each other, shared columns get _x and _y.
 
     Keys holding more than `hot_share` of the right side are salted: their right
     rows spread over as many pieces as their share of the shuffle deserves, and
     their left rows are repeated once per piece.  The hot list has at most
-    1/hot_share rows, so it is broadcast.  `hot_share=None` leaves skew to AQE.
+    1/hot_share rows, so it is broadcast; `hot` passes one that is known already.
+    `hot_share=None` leaves skew to AQE.
     """
     l, r = _suffixed(left, right, on)
-    hot = hot_keys(right, on, hot_share) if hot_share else []
+    if hot is None:
+        hot = hot_keys(right, on, hot_share) if hot_share else []
     if not hot:
         return l.join(r, l[on].eqNullSafe(r["_on"])).drop("_on")
     spark = left.sparkSession

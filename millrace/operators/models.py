@@ -77,7 +77,9 @@ class VolumeModel:
         }
         if kind not in estimators:
             raise ValueError("kind is linear, svm or gradient_boost")
-        self.model: Model = estimators[kind]().fit(self._inputs(training).cache())
+        inputs = self._inputs(training).cache()
+        self.model: Model = estimators[kind]().fit(inputs)
+        inputs.unpersist()
 
     def _inputs(self, df: DataFrame) -> DataFrame:
         return self.lift.transform(df) if self.lift else feature_vector(df, self.columns)

@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.aggregates import top_per_group
+from millrace.operators.joins import hot_keys, inner_join
 from millrace.sources.storage import bounded_rows, materialize
 
 MAX_PIVOTS = 1024
+HUB_SHARE = 0.05  # share of the edges from which a node's edges are spread over tasks
 PAIR_SLICE = 200_000  # candidate pairs whose distance is recomputed at a time
 
 
@@ -163,10 +165,11 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Modularity of a clustering (id, cluster) of a symmetric edge table, with its terms summed per cluster."""
     start = labels.select(F.col("id").alias("src"), F.col("cluster").alias("a"))
     end = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("b"))
+    # Edges are symmetric, so a node that many edges leave is one that many reach.
+    hubs = hot_keys(edges, "src", HUB_SHARE)
+    ends = inner_join(end, inner_join(start, edges, "src", hot=hubs), "dst", hot=hubs)
     per_cluster = (
-        edges.join(start, "src")
-        .join(end, "dst")
-        .groupBy("a")
+        ends.groupBy("a")
         .agg(F.sum("weight").alias("degree"), F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0.0)).alias("inside"))
     )
     everything = per_cluster.agg(F.sum("degree")).scalar()
@@ -191,11 +194,12 @@ def propagate_labels(edges: DataFrame, rounds: int = 20) -> DataFrame:
     labels = materialize(
         edges.select(F.col("src").alias("id")).distinct().withColumn("cluster", F.col("id")), "labels"
     )
+    hubs = hot_keys(edges, "dst", HUB_SHARE)
     quiet = 0
     for number in range(rounds):
         neighbours = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("near"))
         votes = (
-            edges.join(neighbours, "dst")
+            inner_join(neighbours, edges, "dst", hot=hubs)
             .groupBy(F.col("src").alias("id"), "near")
             .agg(F.round(F.sum("weight"), 9).alias("w"))
         )

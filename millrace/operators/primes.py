@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators.sequences import with_neighbour
 
 
+MAX_VALUE = 10**12
+
+
 def _small_primes(limit: int) -> list[int]:
     flags = np.ones(limit + 1, bool)
     flags[:2] = False
@@ -26,6 +29,8 @@ def prime_rows(df: DataFrame, column: str) -> DataFrame:
     at its first divisor, and rows are tested where they lie.
     """
     largest = df.agg(F.max(column)).first()[0] or 0
+    if largest > MAX_VALUE:
+        raise ValueError(f"values above {MAX_VALUE} need more divisors than a plan should carry")
     divisors = _small_primes(math.isqrt(max(int(largest), 4)))
     value = F.col(column)
     divisible = F.exists(

@@ -224,7 +224,8 @@ def neighbour_graph(spark: SparkSession, root: str) -> DataFrame:
 )
 def modularity(spark: SparkSession, root: str) -> DataFrame:
     labels = table(spark, root, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("cluster"))
-    score = neighbours.modularity(neighbour_graph(spark, root), labels)
+    graph = materialize(neighbour_graph(spark, root), "graph")
+    score = neighbours.modularity(graph, labels)
     return score.withColumn("modularity", fixed("modularity", 6))
 
 

@@ -70,6 +70,19 @@ def small_copy(df: DataFrame, limit: int, what: str) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(bounded_rows(df, limit, what), df.schema))
 
 
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """A broadcast copy when `df` has at most `limit` rows, else `df` for an ordinary join.
+
+    For the side without repeats of a join whose other side may have a hot key:
+    small, it is broadcast and nothing is shuffled; large, adaptive execution
+    splits the hot partition.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediates; call when its results have been stored elsewhere."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -8,7 +8,7 @@ from tests.oracle import connect, differences
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Model fits take longest; they have their own tests on small frames.
-SLOW = {"churn_boosted", "churn_forest", "volume_boosted", "volume_kernel", "churn_report"}
+SLOW = {"churn_logistic", "churn_boosted", "churn_forest", "volume_boosted", "volume_kernel", "churn_report"}
 
 
 @pytest.fixture(scope="module")

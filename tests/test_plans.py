@@ -30,7 +30,7 @@ def global_windows(plan):
 def single_task_inputs(plan):
     """Operators that feed an exchange to one partition."""
     lines = [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in plan.splitlines()]
-    return [b.split(" ")[0] for a, b in zip(lines, lines[1:]) if a.startswith("Exchange SinglePartition")]
+    return [re.split(r"[ (]", b)[0] for a, b in zip(lines, lines[1:]) if a.startswith("Exchange SinglePartition")]
 
 
 # What may feed one task: partial aggregates and limits, which are one or a few rows per task.
