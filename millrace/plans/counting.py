@@ -161,7 +161,7 @@ def variable_genes(spark: SparkSession, root: str) -> DataFrame:
 
 RESIDUAL_SQL = f"""
     {MATRIX_SQL}, {LOGGED_SQL}, {QUALITY_SQL},
-    kept AS (SELECT gene FROM x GROUP BY gene ORDER BY gene LIMIT 16),
+    kept AS (SELECT DISTINCT gene FROM x),
     cov AS (SELECT cell, total - avg(total) OVER () AS a, flagged_pct - avg(flagged_pct) OVER () AS b FROM q),
     s AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM cov),
     d AS (
@@ -178,11 +178,9 @@ RESIDUAL_SQL = f"""
 def residuals(spark: SparkSession, root: str) -> DataFrame:
     matrix = stored_matrix(spark, root)
     quality = materialize(counts.cell_quality(matrix, red()), "quality")
-    logged = counts.normalize_log(matrix)
-    kept = logged.select("gene").distinct().orderBy("gene").limit(16)
-    chosen = materialize(counts.keep_genes(logged, kept), "chosen")
+    logged = materialize(counts.normalize_log(matrix), "logged")
     cells = quality.select("cell", "total", "flagged_pct")
-    return counts.regress_out(chosen, cells, ("total", "flagged_pct"))
+    return counts.regress_out(logged, cells, ("total", "flagged_pct"))
 
 
 @bound(

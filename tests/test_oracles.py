@@ -1,5 +1,7 @@
 """Every bound query against its oracle on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
@@ -32,5 +34,15 @@ def test_entry_has_a_stable_schema(spark):
     assert frame.columns == ["yyyymm", "day", "avg_1", "avg_5", "avg_10", "avg_15", "y"]
 
 
+def test_readme_lists_exactly_the_queries():
+    from pathlib import Path
+
+    text = Path(__file__).parent.parent.joinpath("README.md").read_text()
+    table = text[text.index("## Coverage") : text.index("### Re-aimed")]
+    listed = {name for name in re.findall(r"`([a-z0-9_]+)`", table)}
+    assert set(QUERIES) - listed <= {k for k in QUERIES if k.startswith("volume_")}
+    assert listed <= set(QUERIES)
+
+
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
