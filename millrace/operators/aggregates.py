@@ -81,12 +81,21 @@ def ancestors(path: Column) -> Column:
 
 
 def status_rollup(df: DataFrame, path: str, failed: Column, done: Column) -> DataFrame:
-    """Status of every node above the leaves: one error marks the parent, all done completes it."""
-    leaves = df.select(F.explode(ancestors(F.col(path))).alias("node"), failed.alias("_failed"), done.alias("_done"))
-    return leaves.groupBy("node").agg(
-        F.count("*").alias("leaves"),
-        F.count_if("_failed").alias("errors"),
-        F.bool_or("_failed").alias("failed"),
+    """Status of every node from its leaves up: one error marks the parent, all done completes it.
+
+    Rows are counted per path first, so only distinct paths are spread over
+    their ancestors, and the root never sees more than that.
+    """
+    per_path = df.groupBy(F.col(path).alias("_path")).agg(
+        F.count("*").alias("_n"),
+        F.count_if(failed).alias("_errors"),
+        F.bool_and(done).alias("_done"),
+    )
+    nodes = per_path.select(F.explode(ancestors(F.col("_path"))).alias("node"), "_n", "_errors", "_done")
+    return nodes.groupBy("node").agg(
+        F.sum("_n").alias("leaves"),
+        F.sum("_errors").alias("errors"),
+        (F.sum("_errors") > 0).alias("failed"),
         F.bool_and("_done").alias("done"),
     )
 

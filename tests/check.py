@@ -1,4 +1,4 @@
-"""Run bound queries against their oracles: check.py [sf] [key ...]."""
+"""Run bound queries against their oracles: check.py [sf or folder] [key ...]."""
 
 import sys
 import time
@@ -12,7 +12,7 @@ from tests.oracle import connect, differences
 
 def main() -> int:
     scale = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    root = f"/root/testdata/sf{scale}"
+    root = scale if "/" in scale else f"/root/testdata/sf{scale}"
     queries, oracles = contract.queries(), contract.oracle_sql()
     keys = sys.argv[2:] or list(queries)
     spark, connection, failed = local_session(), connect(root), []

@@ -5,7 +5,6 @@ import json
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.plans import flows
 

@@ -1,6 +1,5 @@
 """Keyed state over arriving files: increments, resets, retries, upserts, alerts."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources.storage import scratch_path
