@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.dates import month_text
-from millrace.operators import aggregates, evaluation, moving
+from millrace.operators import aggregates, evaluation, mergeable, moving
 from millrace.plans.registry import bound, fixed, fixed_sql
 from millrace.sources.tables import table
 
@@ -269,6 +269,22 @@ def r2_by_month(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.r_squared(rows, "y", "avg_5", ["yyyymm"]).withColumn("r2", fixed("r2"))
 
 
+@bound(
+    "mergeable_spread",
+    f"""
+    SELECT l_returnflag, count(*) AS n, {fixed_sql('avg(l_extendedprice)')} AS mean,
+           {fixed_sql('var_pop(l_extendedprice)', 2)} AS variance
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def mergeable_spread(spark: SparkSession, root: str) -> DataFrame:
+    """A user-defined aggregate whose states merge pairwise."""
+    states = mergeable.spread_states(table(spark, root, "lineitem"), "l_returnflag", "l_extendedprice")
+    return states.select(
+        "l_returnflag", "n", fixed("mean").alias("mean"), fixed(F.col("squares") / F.col("n"), 2).alias("variance")
+    )
+
+
 @bound("distinct_months", "SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders ORDER BY 1")
 def distinct_months(spark: SparkSession, root: str) -> DataFrame:
     return aggregates.distinct_sorted(

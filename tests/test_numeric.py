@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import counts, linear, markers, neighbours, signals
+from millrace.operators import counts, linear, markers, mergeable, neighbours, signals
 
 CELLS, GENES = 40, 12
 
@@ -264,6 +264,19 @@ def test_components_match_numpy(frames):
     assert (largest > 0).all()
 
 
+@pytest.mark.parametrize("fan_in", [1, 3, 64])
+def test_states_merge_in_any_order(spark, monkeypatch, fan_in):
+    draw = np.random.default_rng(7)
+    pdf = pd.DataFrame({"k": draw.choice(["a", "a", "b"], 500), "v": 1e8 + draw.normal(size=500)})
+    df = spark.createDataFrame(pdf).repartition(11)
+    monkeypatch.setattr(mergeable.merge_states, "__defaults__", (fan_in,))
+    got = mergeable.spread_states(df, "k", "v").toPandas().set_index("k").sort_index()
+    expected = pdf.groupby("k")["v"]
+    assert (got["n"] == expected.count()).all()
+    assert np.allclose(got["squares"] / got["n"], expected.var(ddof=0))
+    assert mergeable.spread_states(df.where("k = 'z'"), "k", "v").count() == 0
+
+
 # Spectra --------------------------------------------------------------------------------------
 
 
