@@ -16,9 +16,8 @@ def pad_to(values: Column, width: int, fill: float = 0.0) -> Column:
     """
     missing = F.lit(width) - F.size(values)
     filled = F.concat(values, F.array_repeat(F.lit(fill), F.greatest(missing, F.lit(0))))
-    return F.when(missing >= 0, filled).otherwise(
-        F.raise_error(F.concat(F.lit("array longer than "), F.lit(str(width)))).cast(T.ArrayType(T.DoubleType()))
-    )
+    refused = F.raise_error(F.lit(f"array longer than {width}")).cast(T.ArrayType(T.DoubleType()))
+    return F.when(missing < 0, refused).otherwise(filled)
 
 
 def rescale(values: Column, divisor: float) -> Column:
@@ -46,7 +45,8 @@ def frames(values: Column, length: int, step: int) -> Column:
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
         lambda i: F.slice(values, i * step + 1, length),
     )
-    return F.when(last >= 0, windows).otherwise(F.array().cast("array<array<double>>"))
+    none = F.array().cast("array<array<double>>")
+    return F.when(values.isNotNull(), F.when(last >= 0, windows).otherwise(none))
 
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))

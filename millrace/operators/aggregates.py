@@ -116,7 +116,7 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 
 def head_and_tail(df: DataFrame, order: str, n: int = 3) -> DataFrame:
-    """The n smallest and n largest rows; an overlap appears once."""
+    """The n smallest and n largest rows by a unique column; an overlap appears once."""
     head = df.orderBy(F.col(order).asc()).limit(n)
     tail = df.orderBy(F.col(order).desc()).limit(n)
     return head.unionByName(tail).dropDuplicates([order])

@@ -287,7 +287,7 @@ def exact_quantiles(long: DataFrame, by: list[str], value: str, shares: list[flo
     else:
         ranked = running.withColumn("_all", counted.agg(F.sum("_n")).scalar())
     reached = [
-        F.min(F.when(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all")), F.col(value))).alias(f"q{int(q * 100)}")
+        F.min(F.when(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all")), F.col(value))).alias(f"q{round(q * 100)}")
         for q in shares
     ]
     return ranked.groupBy(*by).agg(*reached)

@@ -94,7 +94,7 @@ def roc_sweep(df: DataFrame, truth: str, score: str, steps: int = 100) -> DataFr
     thresholds.
     """
     bins = (
-        df.where(F.col(score).isNotNull())
+        df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
         .groupBy(_thresholds_below(F.col(score), steps).alias("_below"))
         .agg(F.count_if(F.col(truth) == 1).alias("_pos"), F.count_if(F.col(truth) == 0).alias("_neg"))
     )

@@ -173,10 +173,27 @@ def model_arrays(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return labels, beta
 
 
+def _present(batch: pd.Series) -> pd.Series:
+    return batch[batch.notna()]
+
+
+def _placed(items: list, batch: pd.Series) -> pd.Series:
+    """Items of the present values at their places, None elsewhere."""
+    out: list = [None] * len(batch)
+    for at, item in zip(np.flatnonzero(batch.notna()), items):
+        out[at] = item
+    return pd.Series(out, dtype=object)
+
+
+def _rows(vectors: pd.Series, width: int) -> np.ndarray:
+    return np.stack(vectors.to_list()).astype(float) if len(vectors) else np.zeros((0, width))
+
+
 def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None = None) -> DataFrame:
     """Columns of `df` with `scores`: array of (label, score), best first, all labels or the best `keep`.
 
-    The weights are broadcast once per executor; equal scores go to the smaller label.
+    The weights are broadcast once per executor; equal scores go to the smaller
+    label; a missing vector has no scores.
     """
     labels, beta = model_arrays(model)
     shared = df.sparkSession.sparkContext.broadcast(beta)
@@ -187,15 +204,14 @@ def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights = shared.value
         for batch in parts:
-            table = np.stack(batch.to_list()).astype(float) @ weights.T if len(batch) else np.zeros((0, len(labels)))
+            found = _present(batch)
+            table = _rows(found, weights.shape[1]) @ weights.T
             order = np.argsort(-table, axis=1, kind="stable")[:, :top]
-            yield pd.Series(
-                [
-                    [{"label": int(labels[i]), "score": float(row[i])} for i in best]
-                    for row, best in zip(table, order)
-                ],
-                dtype=object,
-            )
+            items = [
+                [{"label": int(labels[i]), "score": float(row[i])} for i in best]
+                for row, best in zip(table, order)
+            ]
+            yield _placed(items, batch)
 
     return df.withColumn("scores", score(F.col(vector)))
 
@@ -227,7 +243,8 @@ def project(vector: Column, components: Components) -> Column:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in parts:
-            rows = np.stack(batch.to_list()).astype(float) if len(batch) else np.zeros((0, len(mean)))
-            yield pd.Series(list((rows - mean) @ loadings.T), dtype=object)
+            found = _present(batch)
+            projected = list((_rows(found, len(mean)) - mean) @ loadings.T)
+            yield _placed(projected, batch)
 
     return scores(vector)

@@ -65,12 +65,14 @@ def short_time_magnitudes(
     even = 1 - length % 2
     window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(length) / (length + even - 1))
 
+    def spectrum(clip: np.ndarray) -> list:
+        if not len(clip):
+            return []
+        return list(np.abs(np.fft.rfft(np.stack(clip).astype(float) * window, fft, axis=1)))
+
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
     def magnitudes(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in parts:
-            yield pd.Series(
-                [list(np.abs(np.fft.rfft(np.stack(clip).astype(float) * window, fft, axis=1))) for clip in batch],
-                dtype=object,
-            )
+            yield batch.map(spectrum, na_action="ignore")
 
     return magnitudes(frames(pad_to(samples.cast("array<double>"), pad), length, step))

@@ -304,6 +304,19 @@ def test_short_time_magnitudes(spark):
     assert got.shape == (124, 129) and np.allclose(got, expected)
 
 
+def test_missing_vectors_stay_missing(spark, frames):
+    df, _, _ = frames
+    model = linear.ridge_fit(df, "x", "y", [0.0])
+    few = spark.createDataFrame([(1, [1.0] * 6), (2, None)], "id int, x array<double>").coalesce(1)
+    got = {r["id"]: r for r in linear.linear_scores(few, "x", model, 2).select(
+        "id", "scores", linear.project(F.col("x"), linear.principal_components(df, "x", 2)).alias("p"),
+        signals.short_time_magnitudes(F.col("x"), 16, 8, 4, 8).alias("m"),
+        signals.short_time_magnitudes(F.col("x"), 6, 8, 4, 8).alias("short"),
+    ).collect()}
+    assert len(got[1]["scores"]) == 2 and len(got[1]["p"]) == 2 and len(got[1]["m"]) == 3 and got[1]["short"] == []
+    assert got[2]["scores"] is None and got[2]["p"] is None and got[2]["m"] is None
+
+
 # Neighbours -------------------------------------------------------------------------------------
 
 

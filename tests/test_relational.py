@@ -379,6 +379,7 @@ def test_date_functions(spark):
 def test_array_functions(spark):
     numbers = F.array(F.lit(1.0), F.lit(2.0))
     assert one(spark, arrays.pad_to(numbers, 4)) == [1.0, 2.0, 0.0, 0.0]
+    assert one(spark, arrays.pad_to(F.lit(None).cast("array<double>"), 4)) is None
     with pytest.raises(Exception, match="longer"):
         one(spark, arrays.pad_to(numbers, 1))
     assert one(spark, arrays.multi_hot(F.array(F.lit(2), F.lit(0)), 4)) == [1, 0, 1, 0]
