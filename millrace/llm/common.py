@@ -22,17 +22,20 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator], Iterator]:
-    """`work` on each Arrow batch that has rows."""
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows, without empty ones."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
 
-    return run
+def map_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 4096
+) -> DataFrame:
+    """`work` on Arrow slices of at most `rows` rows; a task holds no more than that."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, rows):
+            yield work(batch)
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """`work` on the Arrow batches of each task; bounded by one batch."""
-    return df.mapInArrow(per_batch(work), schema)
+    return df.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import pyarrow as pa
 from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import lines, mixing, packing, quality, simhash
+from millrace.llm import adaptive_scan, html_blocks, lines, lm_scoring, mixing, packing, quality, secrets, simhash
 from millrace.llm.common import map_batches, texts_of
 from millrace.sources.tables import table
 
@@ -58,6 +58,11 @@ def line_dedup(spark: SparkSession, root: str) -> DataFrame:
     return map_batches(done, _sha_batch, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
+@query("op3_recurrent_lm")
+def recurrent_lm(spark: SparkSession, root: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, root, "documents"))
+
+
 @query("op4_pareto_mix")
 def pareto_mix(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(table(spark, root, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -73,6 +78,28 @@ def tier_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack_documents(table(spark, root, "documents"), with_ids=False)
 
 
+@query("op7_randomness_battery")
+def randomness_battery(spark: SparkSession, root: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, root, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        F.sha2(secrets.spelled("base"), 256).alias("base_sha256"),
+        secrets.spelled("found").alias("spans"),
+    )
+
+
+@query("op8_block_rules")
+def block_rules(spark: SparkSession, root: str) -> DataFrame:
+    return html_blocks.extract(table(spark, root, "pages"))
+
+
+@query("op9_adaptive_scan")
+def nearest_vectors(spark: SparkSession, root: str) -> DataFrame:
+    return adaptive_scan.nearest(table(spark, root, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query("op10_deletion_simhash")
 def deletion_simhash(spark: SparkSession, root: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, root, "documents"))
