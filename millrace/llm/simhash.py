@@ -78,16 +78,18 @@ def links(prints: DataFrame) -> DataFrame:
             "print & ~shiftleft(1L, wild), if(wild < 32, 0, 32)) & 4294967295L)"
         ).alias("signature"),
     )
-    shared = materialize(
-        variants.groupBy("signature")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b"))
-        .where("n > 1"),
-        "signatures",
+    # dealt once: the counts and the look-up of crowded signatures read the same exchange
+    dealt = variants.repartition("signature")
+    shared = dealt.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
     )
+    crowded = shared.where("n > 2").select("signature").hint("shuffle_hash")
+    meeting = dealt.join(crowded, "signature", "left_semi").select("print", F.lit(None).cast("long").alias("other"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2
-    pairs = shared.where((F.col("n") == 2) & near).select("a", "b")
-    crowded = shared.where("n > 2").select("signature")
-    meeting = variants.join(crowded, "signature", "left_semi").select("print").distinct()
+    met = shared.where((F.col("n") == 2) & near).select(F.col("a").alias("print"), F.col("b").alias("other"))
+    met = materialize(met.union(meeting).distinct(), "meetings")
+    pairs = met.where("other is not null").select(F.col("print").alias("a"), F.col("other").alias("b"))
+    meeting = met.where("other is null").select("print")
     centres = meeting.select(
         "print", F.explode(F.expr("concat(array(print), transform(sequence(0, 63), i -> print ^ shiftleft(1L, i)))")).alias("centre")
     )
