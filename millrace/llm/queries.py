@@ -6,7 +6,7 @@ import pyarrow as pa
 from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import adaptive_scan, html_blocks, lines, lm_scoring, mixing, packing, quality, secrets, simhash
+from millrace.llm import adaptive_scan, html_blocks, lines, lm_scoring, mixing, packing, quality, secrets, simhash, suffixes
 from millrace.llm.common import map_batches, texts_of
 from millrace.sources.tables import table
 
@@ -29,6 +29,12 @@ def _sha_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns[:-1], shas], [*batch.schema.names[:-1], "kept_sha256"])
 
 
+@query("op1_suffix_dedup")
+def suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    done = suffixes.dedup_substrings(table(spark, root, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query(
     "op2_line_dedup",
     r"""
