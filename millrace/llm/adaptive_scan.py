@@ -8,8 +8,8 @@ test on the partial distance abandons every candidate whose whole distance is
 very unlikely to beat the query's threshold.  Candidates that survive all blocks
 get their exact inner product.
 
-Rotation, centroids, thresholds and the number of probes come from a bounded
-sample; every vector is in the index.  Large lists are cut into chunks on both
+Rotation, centroids and the number of probes come from a bounded sample, whose
+own best vectors give each query its threshold; every vector is in the index.  Large lists are cut into chunks on both
 sides, so no task holds more than a chunk of candidates and one of queries.
 """
 
@@ -100,15 +100,17 @@ class Index:
         needed = np.sort(np.take_along_axis(ranks, home[near], axis=1).ravel())
         return int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))]) + 1
 
-    def least_scores(self, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
-        """An inner product that at least k candidates reach, by the sample; -inf if it has fewer."""
-        least = np.full(len(queries), -np.inf)
-        for i, (own, query) in enumerate(zip(ids, queries)):
-            scores = self.sample @ query
-            scores = scores[self.ids != own]
-            if len(scores) >= self.k:
-                least[i] = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-        return least
+    def sample_best(self, ids: np.ndarray, queries: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and inner products of each query's k best vectors of the sample, or of all it has."""
+        names, scores = [], []
+        for own, query in zip(ids, queries):
+            found = (self.sample * query).sum(axis=1)
+            found[self.ids == own] = -np.inf
+            best = np.argsort(-found, kind="stable")[: self.k]
+            best = best[np.isfinite(found[best])]
+            names.append(self.ids[best])
+            scores.append(found[best])
+        return names, scores
 
 
 def scan(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray):
@@ -152,8 +154,8 @@ def nearest(
     ties to the smaller id; the query's own id is no candidate.  Vectors that
     are null, zero, of another length than most, or hold a null or non-finite
     component take no part, nor do rows without an id.  Repeated ids count once,
-    with the best score.  With `k` candidates or fewer all are returned if the
-    lists probed hold them; small tables have one list.
+    with the best score.  With `k` candidates or fewer all are returned, since the
+    sample then holds them.
     """
     spark = candidates.sparkSession
     vector = F.col(vector_col).cast("array<double>")
@@ -168,8 +170,8 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vector") == common.d)
     picked = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE).toArrow()
-    sample, ids = _rows(picked.column("vector")), picked.column("id").to_numpy()
-    index = Index(sample, ids, common.n, float(np.sqrt(common.norm)) * (1 + 1e-12), k)
+    ids, first = np.unique(picked.column("id").to_numpy(), return_index=True)
+    index = Index(_rows(picked.column("vector"))[first], ids, common.n, float(np.sqrt(common.norm)) * (1 + 1e-12), k)
 
     def home(batch: pa.RecordBatch) -> pa.RecordBatch:
         homes = pa.array(index.lists(_rows(batch.column("vector"))), pa.int32())
@@ -179,14 +181,17 @@ def nearest(
 
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, vectors = batch.column("id").to_numpy(), _rows(batch.column("vector"))
-        arrays = [pa.array(own), batch.column("vector"), pa.array(index.least_scores(own, vectors))]
+        names, scores = index.sample_best(own, vectors)
+        least = [s[-1] if len(s) == k else -np.inf for s in scores]
+        arrays = [pa.array(own), batch.column("vector"), pa.array(least, pa.float64())]
         arrays.append(pa.array(list(index.probed(vectors)), pa.list_(pa.int64())).cast(pa.list_(pa.int32())))
-        return pa.RecordBatch.from_arrays(arrays, ["id", "vector", "least", "probes"])
+        arrays += [pa.array(names, pa.list_(pa.int64())), pa.array(scores, pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["id", "vector", "least", "probes", "names", "scores"])
 
     asked = map_batches(
         indexed.where(F.coalesce("asked", F.lit(False))).select("id", "vector"),
         probe,
-        "id long, vector array<double>, least double, probes array<int>",
+        "id long, vector array<double>, least double, probes array<int>, names array<long>, scores array<double>",
     )
     asked = materialize(asked, "queries")
     visits = asked.select("id", "vector", "least", F.explode("probes").alias("list"))
@@ -227,6 +232,9 @@ def nearest(
 
     keys = ["list", "c", "q"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, FOUND)
+    # the sample's best are candidates that the query has met already
+    met = asked.select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("names", "scores")).alias("m"))
+    found = found.union(met.select("query_id", "m.names", "m.scores"))
     best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

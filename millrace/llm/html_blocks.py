@@ -190,7 +190,8 @@ def classify(found: list[Block]) -> list[bool]:
             elif before[i][1] == after[i][1]:
                 label = before[i][1]
             else:
-                label = before[i][1] if before[i][0] < after[i][0] else after[i][1] if after[i][0] < before[i][0] else BAD
+                # as near to both: a short block belongs to what it follows
+                label = before[i][1] if before[i][0] <= after[i][0] else after[i][1]
         labels.append(label == GOOD)
     return labels
 

@@ -42,6 +42,7 @@ ENCODINGS = [
 ]
 FALSE_DISCOVERY = 0.05
 MIN_BITS = 80  # of a random token; shorter ones are not reported
+WORD_BITS = 200  # of one in letters of a single case, which may as well be words
 BINS_PER_DECADE = 8  # of the p-values that the step-up procedure counts
 LEAST_LOG = -30  # p-values below 10^-30 count as that
 
@@ -177,11 +178,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spans = scan(docs, id_col, text_col)
     tokens = spans.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
-    tested = _with_tests(tokens.select("row", "t.start", "t.end", "t.token")).select("row", "start", "end", "p", "bits")
+    wordy = F.col("token").rlike("^([a-z]+|[A-Z]+)$").alias("wordy")
+    tested = _with_tests(tokens.select("row", "t.start", "t.end", "t.token")).select("row", "start", "end", "p", "bits", wordy)
     tested = materialize(tested, "tokens")
     limit, mean = threshold(tested)
     weighted = F.col("p") * mean / F.col("bits")
-    kept = tested.where((weighted > limit) & (F.col("bits") >= MIN_BITS))
+    kept = tested.where((weighted > limit) & (F.col("bits") >= F.when(F.col("wordy"), WORD_BITS).otherwise(MIN_BITS)))
     per_row = kept.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("more"))
     joined = spans.join(per_row, "row", "left")
     both = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
