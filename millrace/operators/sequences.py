@@ -4,24 +4,28 @@ A plain `Window.partitionBy(key).orderBy(...)` sends a key to one task, and a
 window without keys sends everything to one task.  The operators here lay rows
 out by range over a *total* order instead, so a hot key spans many slices:
 
-1. range-partition and sort on (keys, order), tag each row with its slice and
-   position, and write that layout once (range bounds come from sampling, so
-   the tags are only stable once written);
-2. run the window inside (slice, key), which is never larger than a slice;
-3. correct with what earlier slices carry over.  Keys are contiguous, so at
-   most one key per slice has a carry: that table has no more rows than there
-   are slices and is safe to broadcast.
+1. range-partition and sort on (keys, order): the only shuffle of the rows;
+2. the task that sorted a slice walks through it in order and adds the running
+   values or neighbours inside the slice, batch by batch;
+3. the slices are written once (range bounds come from sampling, so slice
+   numbers are only stable once written) and corrected with what earlier slices
+   carry over.  Keys are contiguous, so at most one key per slice has a carry:
+   that table has one row per slice and is broadcast.
 
 The order columns must make rows unique, otherwise equal rows share a slice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.sources.storage import materialize
 
@@ -48,18 +52,6 @@ def slice_layout(df: DataFrame, order: Sequence[str], slices: int | None = None)
     ).drop("__seq")
 
 
-def _slice_prefix(laid: DataFrame, totals: Mapping[str, Column], schema: str) -> DataFrame:
-    """Exclusive prefix of per-slice totals: one row per slice, so a driver-side sum."""
-    names = list(totals)
-    aggregated = laid.groupBy(SLICE).agg(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in totals.items()])
-    rows = sorted(aggregated.collect(), key=lambda r: r[SLICE])
-    data = []
-    if rows:
-        sums = [list(accumulate([r[n] for r in rows], initial=type(rows[0][n])(0))) for n in names]
-        data = [(r[SLICE], *before) for r, before in zip(rows, zip(*sums))]
-    return laid.sparkSession.createDataFrame(data, f"{SLICE} bigint, {schema}")
-
-
 def number_rows(
     df: DataFrame, order: Sequence[str], name: str = "ordinal", slices: int | None = None
 ) -> tuple[DataFrame, int]:
@@ -83,10 +75,90 @@ def with_ordinal(
     return number_rows(df, order, name, slices)[0]
 
 
+FIRST_KEY = "__first_key"  # whether the row has the key that its slice begins with
+
+
+def _breaks(columns: Sequence[pa.Array], rows: int) -> np.ndarray:
+    """Where a row's key differs from the row above it; missing equals missing, NaN equals NaN."""
+    new = np.zeros(rows, bool)
+    new[:1] = True
+    for column in columns:
+        if pa.types.is_floating(column.type):
+            column = pc.if_else(pc.is_nan(column), pa.scalar(float("nan"), column.type), column)
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def _walk(df: DataFrame, keys: Sequence[str], step: Callable, added: Sequence[T.StructField], order: Sequence[str], slices: int | None) -> DataFrame:
+    """Sorted slices with the columns that `step` adds inside each, written once.
+
+    `step(batch, new, state)` gets a batch, where its keys change (the first row
+    against the batch before) and a dict that lives as long as the slice; it
+    yields batches of the added columns, each with its rows.
+    """
+    places = [df.columns.index(k) for k in keys]
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        state: dict = {}
+        above: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key_columns = [batch.column(i) for i in places]
+            if above is not None:
+                key_columns = [pa.concat_arrays([above.column(i), c]) for i, c in zip(places, key_columns)]
+                new = _breaks(key_columns, batch.num_rows + 1)[1:]
+            else:
+                new = _breaks(key_columns, batch.num_rows)
+            above = batch.slice(batch.num_rows - 1)
+            yield from (_with_slice(part, values, number) for part, values in step(batch, new, state))
+        for part, values in step(None, None, state):
+            yield _with_slice(part, values, number)
+
+    def _with_slice(part: pa.RecordBatch, values: Sequence[pa.Array], number: int) -> pa.RecordBatch:
+        arrays = [*part.columns, *values, pa.array(np.full(part.num_rows, number, np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, [*names, *[f.name for f in added], SLICE])
+
+    sort = [*keys, *[c for c in order if c not in keys]]
+    ranged = df.repartitionByRange(slices, *sort) if slices else df.repartitionByRange(*sort)
+    schema = T.StructType([*df.schema.fields, *added, T.StructField(SLICE, T.LongType())])
+    return materialize(ranged.sortWithinPartitions(*sort).mapInArrow(run, schema), "slices")
+
+
+def _running(values: pa.Array, starts: np.ndarray, group: np.ndarray, carried):
+    """Inclusive sums per group; `carried` is added to the first group."""
+    if pa.types.is_floating(values.type):
+        sums = pd.Series(values.to_numpy(zero_copy_only=False)).groupby(group).cumsum().to_numpy()
+    elif pa.types.is_integer(values.type):
+        total = np.cumsum(values.to_numpy(zero_copy_only=False))
+        sums = total - np.concatenate([[0], total])[starts[group]]
+    else:
+        total = np.cumsum(np.array(values.to_pylist(), object))
+        sums = total - np.concatenate([[total[0] * 0], total])[starts[group]]
+    if carried is not None:
+        first = group == 0
+        sums[first] = sums[first] + carried
+    return sums
+
+
+def _sum_type(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(38, kind.scale)
+    return T.DoubleType() if isinstance(kind, (T.DoubleType, T.FloatType)) else T.LongType()
+
+
 def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def _same_key(a, b) -> bool:
+    """Keys that the driver holds, one per slice, compared as Spark groups them."""
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
 def running_sums(
     df: DataFrame,
     by: Sequence[str],
@@ -94,43 +166,58 @@ def running_sums(
     sums: Mapping[str, Column],
     slices: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sums per key `by`, in `order`; NULL terms count as zero."""
-    terms = {f"__term{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(sums.values())}
-    laid = slice_layout(df.withColumns(terms), [*by, *order], slices)
-    inside = (
-        Window.partitionBy(SLICE, *by)
-        .orderBy(POSITION)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Inclusive running sums per key `by`, in `order`; NULL terms count as zero.
+
+    Integers add up as bigint, decimals keep their scale.
+    """
+    terms = {f"__term{i}": c for i, c in enumerate(sums.values())}
+    typed = df.withColumns(terms)
+    kinds = [_sum_type(typed.schema[t].dataType) for t in terms]
+    typed = typed.withColumns({t: F.coalesce(F.col(t).cast(k), F.lit(0).cast(k)) for t, k in zip(terms, kinds)})
+    places = [typed.columns.index(t) for t in terms]
+    local = [f"__local{i}" for i in range(len(terms))]
+    added = [T.StructField(n, k) for n, k in zip(local, kinds)] + [T.StructField(FIRST_KEY, T.BooleanType()), T.StructField(POSITION, T.LongType())]
+
+    def step(batch, new, state):
+        if batch is None:
+            return
+        same = bool(state) and not new[0]
+        starts = np.flatnonzero(new) if not same else np.concatenate([[0], np.flatnonzero(new)])
+        group = np.cumsum(new) - (0 if same else 1)
+        before = state.get("sums", [None] * len(places)) if same else [None] * len(places)
+        found = [_running(batch.column(p), starts, group, c) for p, c in zip(places, before)]
+        first = state.get("first", True) if same else not state
+        in_first = (group == 0) & first
+        at = state.get("rows", 0)
+        state.update(sums=[f[-1] for f in found], first=bool(in_first[-1]), rows=at + batch.num_rows)
+        arrays = [pa.array(f, batch.column(p).type) for f, p in zip(found, places)]
+        yield batch, [*arrays, pa.array(in_first), pa.array(np.arange(at, at + batch.num_rows))]
+
+    laid = _walk(typed, by, step, added, order, slices)
+    # per slice its first and last key, and what the last key adds up to there: one row each
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(by)], F.lit(0).alias("none"))
+    edges = laid.groupBy(SLICE).agg(
+        F.min_by(key, POSITION).alias("first"),
+        F.max_by(key, POSITION).alias("last"),
+        F.max_by(F.struct(*local), POSITION).alias("sums"),
+        F.max_by(FIRST_KEY, POSITION).alias("whole"),
     )
-    local = laid.withColumns({n: F.sum(t).over(inside) for n, t in zip(sums, terms)})
-    carry_names = [f"__carry{i}" for i in range(len(terms))]
-    if by:
-        before = (
-            Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        keys = {f"__key{i}": F.col(k) for i, k in enumerate(by)}
-        totals = laid.groupBy(SLICE, *by).agg(*[F.sum(t).alias(t) for t in terms])
-        carried = (
-            totals.withColumns(
-                {c: F.sum(t).over(before) for c, t in zip(carry_names, terms)}
-            )
-            .where(F.col(carry_names[0]).isNotNull())
-            .select(F.col(SLICE).alias("__at"), *[c.alias(k) for k, c in keys.items()], *carry_names)
-        )
-        matches = _same(F.col(SLICE), F.col("__at"))
-        for i, k in enumerate(by):
-            matches = matches & _same(F.col(k), F.col(f"__key{i}"))
-        joined = local.join(F.broadcast(carried), matches, "left").drop("__at", *keys)
-    else:
-        types = dict(laid.dtypes)
-        wide = {"int": "bigint", "bigint": "bigint", "double": "double"}
-        schema = ", ".join(f"{c} {wide[types[t]]}" for c, t in zip(carry_names, terms))
-        totals = {c: F.sum(t) for c, t in zip(carry_names, terms)}
-        joined = local.join(F.broadcast(_slice_prefix(laid, totals, schema)), SLICE)
+    carries, held, held_key = [], None, None
+    for r in sorted(edges.collect(), key=lambda r: r[SLICE]):
+        goes_on = held_key is not None and _same_key(r["first"], held_key)
+        if goes_on:
+            carries.append((r[SLICE], *held))
+        held = [a + b for a, b in zip(held, r["sums"])] if goes_on and r["whole"] else list(r["sums"])
+        held_key = r["last"]
+    names = [f"__carry{i}" for i in range(len(terms))]
+    schema = T.StructType([T.StructField(SLICE, T.LongType())] + [T.StructField(n, k) for n, k in zip(names, kinds)])
+    carried = F.broadcast(df.sparkSession.createDataFrame(carries, schema))
     total = {
-        n: F.col(n) + F.coalesce(F.col(c), F.lit(0)) for n, c in zip(sums, carry_names)
+        n: F.when(F.col(FIRST_KEY) & F.col(c).isNotNull(), (F.col(x) + F.col(c)).cast(k)).otherwise(F.col(x))
+        for n, x, c, k in zip(sums, local, names, kinds)
     }
-    return joined.withColumns(total).drop(SLICE, POSITION, *terms, *carry_names)
+    extra = [c for c in (SLICE, POSITION, FIRST_KEY, *terms, *local, *names) if c not in sums]
+    return laid.join(carried, SLICE, "left").withColumns(total).drop(*extra)
 
 
 def with_neighbour(
@@ -148,27 +235,64 @@ def with_neighbour(
     """
     if step not in (-1, 1):
         raise ValueError("step is -1 or 1")
-    laid = slice_layout(df, [*by, *order], slices)
-    inside = Window.partitionBy(SLICE).orderBy(POSITION)
+    places = [df.columns.index(c) for c in columns.values()]
+    found = [f"__near{i}" for i in range(len(columns))]
+    flags = ["__edge", POSITION]
+    added = [T.StructField(n, df.schema[c].dataType) for n, c in zip(found, columns.values())]
+    added += [T.StructField("__edge", T.BooleanType()), T.StructField(POSITION, T.LongType())]
+
+    def positions(state, rows):
+        at = state.get("rows", 0)
+        state["rows"] = at + rows
+        return pa.array(np.arange(at, at + rows))
+
+    def previous(batch, new, state):
+        if batch is None:
+            return
+        rows = batch.num_rows
+        edge = np.zeros(rows, bool)
+        edge[0] = "last" not in state
+        taken = pa.array(np.arange(rows) - 1, mask=np.concatenate([[True], new[1:]]))
+        values = []
+        for i, p in enumerate(places):
+            shifted = batch.column(p).take(taken)
+            if "last" in state and not new[0]:
+                shifted = pa.concat_arrays([state["last"][i], shifted.slice(1)])
+            values.append(shifted)
+        state["last"] = [batch.column(p).slice(rows - 1) for p in places]
+        yield batch, [*values, pa.array(edge), positions(state, rows)]
+
+    def following(batch, new, state):
+        # the last row of a batch waits for the next one
+        held = state.pop("held", None)
+        if batch is None:
+            if held is not None:
+                empty = [pa.nulls(1, held.column(p).type) for p in places]
+                yield held, [*empty, pa.array([True]), positions(state, 1)]
+            return
+        if held is not None:
+            values = [batch.column(p).slice(0, 1) if not new[0] else pa.nulls(1, held.column(p).type) for p in places]
+            yield held, [*values, pa.array([False]), positions(state, 1)]
+        rows = batch.num_rows - 1
+        state["held"] = batch.slice(rows)
+        if rows:
+            taken = pa.array(np.arange(1, rows + 1), mask=new[1:])
+            yield batch.slice(0, rows), [*[batch.column(p).take(taken) for p in places], pa.array(np.zeros(rows, bool)), positions(state, rows)]
+
+    laid = _walk(df, by, previous if step == -1 else following, added, order, slices)
     packed = F.struct(
         *[F.col(k).alias(f"k{i}") for i, k in enumerate(by)],
         *[F.col(c).alias(f"v{i}") for i, c in enumerate(columns.values())],
     )
-    shift = F.lag if step == -1 else F.lead
-    edge = F.max_by if step == -1 else F.min_by
-    edges = laid.groupBy(SLICE).agg(edge(packed, F.col(POSITION)).alias("__edge"))
-    numbers = sorted(r[0] for r in laid.select(SLICE).distinct().collect())
+    outer = F.max_by if step == -1 else F.min_by
+    edges = laid.groupBy(SLICE).agg(outer(packed, F.col(POSITION)).alias("__beyond"))
+    numbers = sorted(r[0] for r in edges.select(SLICE).collect())
     pairs = list(zip(numbers[1:], numbers)) if step == -1 else list(zip(numbers, numbers[1:]))
     hops = df.sparkSession.createDataFrame(pairs, f"{SLICE} bigint, __from bigint")
     beyond = edges.withColumnRenamed(SLICE, "__from").join(F.broadcast(hops), "__from").drop("__from")
-    joined = (
-        laid.withColumn("__inside", shift(packed).over(inside))
-        .join(F.broadcast(beyond), SLICE, "left")
-        .withColumn("__near", F.coalesce("__inside", "__edge"))
-    )
-    same = F.lit(True)
+    joined = laid.join(F.broadcast(beyond), SLICE, "left")
+    same = F.col("__edge") & F.col("__beyond").isNotNull()
     for i, k in enumerate(by):
-        same = same & _same(F.col(k), F.col("__near")[f"k{i}"])
-    return joined.withColumns(
-        {n: F.when(same, F.col("__near")[f"v{i}"]) for i, n in enumerate(columns)}
-    ).drop(SLICE, POSITION, "__inside", "__edge", "__near")
+        same = same & _same(F.col(k), F.col("__beyond")[f"k{i}"])
+    total = {n: F.when(same, F.col("__beyond")[f"v{i}"]).otherwise(F.col(f)) for i, (n, f) in enumerate(zip(columns, found))}
+    return joined.withColumns(total).drop(*[c for c in (SLICE, "__beyond", *flags, *found) if c not in columns])

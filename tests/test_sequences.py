@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators.sequences import SLICE, running_sums, slice_layout, with_neighbour, with_ordinal
@@ -55,9 +54,16 @@ def test_running_sums_per_key(spark, hot):
     assert (merged["n"] == merged["n_got"]).all() and (merged["s"] == merged["s_got"]).all()
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(n=st.integers(1, 60), keys=st.integers(1, 6), seed=st.integers(0, 99), slices=st.integers(1, 12))
-def test_running_sums_any_slicing(spark, n, keys, seed, slices):
+@pytest.fixture(params=[10_000, 3])
+def batch_rows(spark, request):
+    """Slices in one Arrow batch, and in many."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("n, keys, seed, slices", [(1, 1, 0, 5), (9, 1, 1, 4), (23, 6, 2, 1), (60, 2, 3, 12), (57, 4, 4, 7)])
+def test_running_sums_any_slicing(spark, batch_rows, n, keys, seed, slices):
     pdf = keyed(n, keys, seed)
     got = running_sums(frame(spark, pdf), ["k"], ["t", "id"], {"n": F.lit(1)}, slices=slices).toPandas()
     merged = expected_sums(pdf).merge(got, on="id", suffixes=("", "_got"))
@@ -70,6 +76,31 @@ def test_running_sums_without_keys_and_with_nulls(spark):
     assert [r["s"] for r in got] == [0.0, 5.0, 5.0, 7.5]
 
 
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_running_sums_of_decimals_integers_and_doubles(spark, batch_rows, by):
+    df = spark.range(40).selectExpr("id", "id % 2 as k", "cast(id as decimal(12,2)) / 4 as d", "cast(id as int) as i", "id / 8 as f")
+    terms = {"sd": F.col("d").cast("decimal(12,2)"), "si": F.col("i"), "sf": F.col("f")}
+    result = running_sums(df, by, ["id"], terms, slices=6)
+    assert dict(result.dtypes) | {"sd": "decimal(38,2)", "si": "bigint", "sf": "double"} == dict(result.dtypes)
+    for r in result.collect():
+        ids = [i for i in range(r["id"] + 1) if not by or i % 2 == r["id"] % 2]
+        assert (float(r["sd"]), r["si"], r["sf"]) == (sum(i / 4 for i in ids), sum(ids), sum(i / 8 for i in ids))
+
+
+def test_not_a_number_is_one_key(spark, batch_rows):
+    nan = float("nan")
+    rows = [(nan, i) for i in range(8)] + [(1.0, 8), (None, 9), (None, 10)]
+    got = running_sums(spark.createDataFrame(rows, "k double, id bigint"), ["k"], ["id"], {"n": F.lit(1)}, slices=5).collect()
+    assert sorted(r["n"] for r in got) == [1, 1, 1, 2, 2, 3, 4, 5, 6, 7, 8]
+
+
+def test_rows_are_shuffled_once(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 as k")
+    for result in (running_sums(df, ["k"], ["id"], {"n": F.lit(1)}), with_neighbour(df, ["k"], ["id"], {"p": "id"})):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and not [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "id#" in x]
+
+
 def test_missing_keys_form_their_own_group(spark):
     rows = [(None, 1), (None, 2), (1, 3), (1, 4), (None, 5)]
     df = spark.createDataFrame(rows, "k bigint, id bigint")
@@ -78,7 +109,7 @@ def test_missing_keys_form_their_own_group(spark):
 
 
 @pytest.mark.parametrize("step", [-1, 1])
-def test_neighbour_matches_shift(spark, step):
+def test_neighbour_matches_shift(spark, batch_rows, step):
     pdf = keyed(300)
     got = with_neighbour(frame(spark, pdf), ["k"], ["t", "id"], {"near": "v"}, step).toPandas()
     ordered = pdf.sort_values(["k", "t", "id"])
