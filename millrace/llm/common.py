@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows without an id get a stand-in from their text, above every real id below 2^62.
 _STAND_IN = 1 << 62
@@ -22,20 +23,52 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most `rows` rows, without empty ones."""
+# Rows of an Arrow batch; texts are long, and both sides hold whole batches.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT_ROWS = "10000"
+
+
+def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, smaller ones put together, without empty ones."""
+    waiting: list[pa.RecordBatch] = []
+    count = 0
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            part = batch.slice(at, rows)
+            if count + part.num_rows > rows:
+                yield pa.concat_batches(waiting)
+                waiting, count = [], 0
+            waiting.append(part)
+            count += part.num_rows
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
+def smaller_batches(spark: SparkSession) -> None:
+    """Set the size of Arrow batches for texts, unless the session has chosen one."""
+    if spark.conf.get(_BATCH_CONF, _DEFAULT_ROWS) == _DEFAULT_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 4096
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """`work` on Arrow slices of at most `rows` rows; a task holds no more than that."""
+    """`work` on Arrow batches of at most `rows` rows; a task holds no more than that."""
+    smaller_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, rows):
+        for batch in sized(batches, rows):
             yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the driver notice which shuffle files nothing needs any more.
+
+    Their cleaning follows the driver's garbage collection, which a job of few
+    large steps may not reach for half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -19,13 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import recurrent
-from millrace.llm.common import map_batches, sliced
+from millrace.llm.common import map_batches, sized, smaller_batches
 from millrace.sources.storage import materialize
 
 FOLDS, HELD = 5, 1
 KNOWN = 1 << 18  # frequent words that every task holds; the others are joined
 SEGMENT = 64  # tokens of a training segment
 SHARE = 8  # one of so many segments of every training document is trained on
+TEXTS = 4096  # texts that are trained on, or scored, side by side
 SLICES = 32  # of the parameter vector, when it is averaged
 VOCABULARY = recurrent.CLASSES * recurrent.MEMBERS - 2
 
@@ -112,7 +113,7 @@ def lexicon(counts: DataFrame) -> Lexicon:
 def _train_task(words: Lexicon, start: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = recurrent.Trainer(recurrent.unflat(start))
-        for batch in sliced(batches, 4096):
+        for batch in sized(batches, TEXTS):
             ids = batch.column("doc_id").to_pylist()
             train = [not held_out(i) for i in ids]
             found, ends = words_of(batch.column("text").filter(pa.array(train)))
@@ -147,6 +148,7 @@ def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
     """Parameters averaged over the tasks, weighted by their tokens; the start if there are none."""
     start = recurrent.flat(recurrent.initial(words.symbol_counts()))
     schema = "task int, slice int, tokens long, mass array<double>"
+    smaller_batches(docs.sparkSession)
     parts = docs.mapInArrow(_train_task(words, start), schema)
     # two levels, so that no group adds more than about the root of the number of tasks
     fan = max(1, round(docs.rdd.getNumPartitions() ** 0.5))
@@ -204,7 +206,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = lexicon(counts)
     vector = train(chosen, words)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<string>"
-    scored = map_batches(chosen, _score_batch(words, vector), schema)
+    scored = map_batches(chosen, _score_batch(words, vector), schema, TEXTS)
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.where(F.size("rare") > 0).select("row", F.explode("rare").alias("word"))
     found = rare.join(counts, "word", "left").groupBy("row").agg(

@@ -24,7 +24,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import texts_of
+from millrace.llm.common import smaller_batches, texts_of
 
 CONTEXTS = (1024, 512, 256, 128)
 END = 0
@@ -205,6 +205,7 @@ def pack_documents(
     one, so repeated rows and null ids give pieces of their own.  `ranks` names
     the vocabulary file on every executor.  Other columns are not read.
     """
+    smaller_batches(docs.sparkSession)
     path = ranks or public_tokenizers.path(RANKS)
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return chosen.mapInArrow(_packer(path, contexts, with_ids), SCHEMA + (", ids array<int>" if with_ids else ""))
