@@ -23,6 +23,7 @@ many tasks; ranges exchange four rows each.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -30,13 +31,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import map_batches, stand_in_id, texts_of
+from millrace.llm.common import map_batches, release_shuffles, stand_in_id, texts_of
 from millrace.sources.storage import materialize
 
 LENGTH = 50
 TUPLE = 20  # bytes of a sampled tuple
 REACH = (LENGTH - TUPLE) // 2  # a shared string reaches so far from its sample on one side
 BUFFER = 1 << 18  # bytes hashed at once
+PARTS = 2  # the samples are sorted one part of their names after the other
 SIG_BITS = 20  # of the text's hash, which tell apart rows that share an id
 REMOVED, TIED, OPEN, EDGE = range(4)
 
@@ -47,21 +49,25 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 LAYOUT = "k1 long, k2 long, id long, place long"
 
 
-def _joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Hash of a string from the hashes of its two parts."""
-    z = x * _A
-    z += y
-    z ^= z >> np.uint64(29)
-    z *= _B
+def _power(k: int) -> np.uint64:
+    return np.uint64(pow(int(_A), k, 1 << 64))
+
+
+def _mixed(z: np.ndarray) -> np.ndarray:
+    """Spread a polynomial hash over all bits; changes its argument."""
     z ^= z >> np.uint64(32)
+    z *= _B
+    z ^= z >> np.uint64(29)
     return z
 
 
 def gram_hashes(buffer: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """Hash of every string of the given sizes, by doubling."""
+    """Polynomial hash of every string of the given sizes, by doubling; to be mixed before use."""
     powers, k = {1: _BYTES[buffer]}, 1
     while 2 * k <= max(sizes) and len(powers[k]) > k:
-        powers[2 * k] = _joined(powers[k][:-k], powers[k][k:])
+        doubled = powers[k][:-k] * _power(k)
+        doubled += powers[k][k:]
+        powers[2 * k] = doubled
         k *= 2
     found = {}
     for size in sizes:
@@ -73,7 +79,11 @@ def gram_hashes(buffer: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndar
         for power in sorted(powers, reverse=True):
             if size & power:
                 part = powers[power][at : at + n]
-                value = part if value is None else _joined(value, part)
+                if value is None:
+                    value = part.copy()
+                else:
+                    value *= _power(power)
+                    value += part
                 at += power
         found[size] = value
     return found
@@ -97,18 +107,25 @@ def phrases(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     whole, n = hashes[LENGTH], len(buffer) - LENGTH + 1
     if n <= 0:
         return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
-    keyed = (hashes[TUPLE] & ~_PLACE) | np.arange(len(hashes[TUPLE]), dtype=np.uint64)
-    sample = (_sliding_least(keyed, _WINDOWS) & _PLACE).astype(np.int64)
-    piece = np.searchsorted(ends, np.arange(n), side="right")
-    inside = np.arange(n) + LENGTH <= ends[np.minimum(piece, len(ends) - 1)]
+    names = _mixed(hashes[TUPLE])
+    keyed = names & ~_PLACE
+    keyed |= np.arange(len(names), dtype=np.uint64)
+    sample = (_sliding_least(keyed, _WINDOWS) & _PLACE).astype(np.int32)
     fresh = np.ones(n, bool)
-    fresh[1:] = (sample[1:] != sample[:-1]) | (piece[1:] != piece[:-1]) | (inside[1:] != inside[:-1])
+    fresh[1:] = sample[1:] != sample[:-1]
+    # no string reaches from one piece into the next
+    valid = ends - LENGTH + 1
+    fresh[starts[starts < n]] = True
+    fresh[valid[(valid > 0) & (valid < n)]] = True
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], n) - 1
-    kept = inside[first]
-    first, last = first[kept], last[kept]
-    at = sample[first]
-    return piece[first], first, last - first + 1, at - first, hashes[TUPLE][at], _joined(whole[first], whole[last])
+    piece = np.searchsorted(ends, first, side="right")
+    kept = first < valid[piece]
+    first, last, piece = first[kept], last[kept], piece[kept]
+    at = sample[first].astype(np.int64)
+    phrase = whole[first] * _B
+    phrase += whole[last] + (last - first).astype(np.uint64)
+    return piece, first, last - first + 1, at - first, names[at], _mixed(phrase)
 
 
 def _pieces(texts: list[bytes]):
@@ -145,12 +162,19 @@ def unpacked(place: np.ndarray):
     return (place >> 10) & ((1 << 34) - 1), ((place >> 5) & 31) + 1, place & 31
 
 
-def _sample_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _sample_part(part: int):
+    return lambda batch: _sample_batch(batch, part)
+
+
+def _sample_batch(batch: pa.RecordBatch, part: int) -> pa.RecordBatch:
+    """Samples whose name belongs to one part of all names."""
     texts = [t.encode() for t in texts_of(batch.column("text"))]
     ids, sigs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "sig"))
     out = [[np.zeros(0, np.int64)] for _ in range(4)]
     for buffer, starts, ends, rows, offsets in _pieces(texts):
         piece, first, count, offset, name, phrase = phrases(buffer, starts, ends)
+        mine = (name >> np.uint64(20)) % np.uint64(PARTS) == part
+        piece, first, count, offset, name, phrase = (c[mine] for c in (piece, first, count, offset, name, phrase))
         row = rows[piece]
         k1 = (name & ~np.uint64(0xFFFF)) | (phrase >> np.uint64(48))
         out[0].append(k1.view(np.int64))
@@ -246,9 +270,20 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _settled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, place) of phrases that go as a whole, and of those tied with other phrases; docs has id, sig, text."""
     order = ["k1", "k2", "id", "place"]
-    samples = map_batches(docs.select("id", "sig", "text"), _sample_batch, LAYOUT, 512)
-    laid = samples.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = materialize(laid.mapInArrow(_settle, f"{LAYOUT}, kind byte"), "phrases")
+    parts = []
+    for part in range(PARTS):
+        samples = map_batches(docs.select("id", "sig", "text"), _sample_part(part), LAYOUT, 512)
+        laid = samples.repartitionByRange(*order).sortWithinPartitions(*order)
+        found = materialize(laid.mapInArrow(_settle, f"{LAYOUT}, kind byte"), "phrases")
+        del samples, laid
+        release_shuffles(docs.sparkSession)
+        parts.append(_resolved(found))
+    removed, tied = zip(*parts)
+    return reduce(DataFrame.union, removed), reduce(DataFrame.union, tied)
+
+
+def _resolved(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The removed and the tied phrases of one part, what neighbouring ranges know included."""
     # at most four rows per range
     edges = found.where(F.col("kind") == EDGE)
     holders = edges.groupBy("k1", "k2").agg(F.min("id").alias("holder"))
@@ -292,30 +327,39 @@ def _each_place(batch: pa.RecordBatch):
         yield ids[row], text, places, *unpacked(places)
 
 
-def _string_hashes(text: bytes, starts: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the strings of one size at the starts."""
-    buffer = np.frombuffer(text, np.uint8)
-    result = np.zeros(len(starts), np.uint64)
-    for at in range(0, len(starts), BUFFER // size):
-        some = starts[at : at + BUFFER // size]
-        strings = buffer[some[:, None] + np.arange(size)].ravel()
-        result[at : at + len(some)] = gram_hashes(strings, (size,))[size][::size]
-    return result
+def _string_hashes(text: bytes, starts: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of `counts` strings of one size from each start on, in that order."""
+    buffer, lengths = np.frombuffer(text, np.uint8), counts + size - 1
+    result, done = [], 0
+    edges = np.searchsorted(np.cumsum(lengths), np.arange(BUFFER, int(lengths.sum()) + BUFFER, BUFFER)) + 1
+    for edge in edges.tolist():
+        some = slice(done, min(edge, len(starts)))
+        if some.start >= some.stop:
+            continue
+        begun = np.cumsum(lengths[some]) - lengths[some]
+        inside = np.arange(int(lengths[some].sum())) - np.repeat(begun, lengths[some])
+        hashed = gram_hashes(buffer[np.repeat(starts[some], lengths[some]) + inside], (size,))[size]
+        wanted = inside < np.repeat(counts[some], lengths[some])
+        result.append(_mixed(hashed[wanted[: len(hashed)]]))
+        done = some.stop
+    return np.concatenate(result) if result else np.zeros(0, np.uint64)
 
 
 def _longer_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Names of the longer tuples on either side of each tied sample."""
+    """Names of the longer tuples on either side of each tied sample, with the starts that such a tuple allows."""
     size = TUPLE + REACH
     out = [[np.zeros(0, np.int64)] for _ in range(3)]
     for own, text, places, starts, counts, offsets in _each_place(batch):
-        sample = starts + offsets
-        left, right = offsets >= REACH, sample + size <= starts + counts - 1 + LENGTH
-        for side, (chosen, begin) in enumerate(((left, sample - REACH), (right, sample))):
+        sig, sample, last = places >> 44, starts + offsets, starts + counts - 1
+        turn = sample - REACH  # starts up to here share what lies left of the sample
+        left, right = turn >= starts, turn <= last
+        sides = ((left, turn, starts, np.minimum(last, turn)), (right, sample, np.maximum(starts, turn), last))
+        for side, (chosen, begin, first, final) in enumerate(sides):
             if chosen.any():
-                names = _string_hashes(text, begin[chosen], size) ^ np.uint64(side)
+                names = _string_hashes(text, begin[chosen], np.ones(int(chosen.sum()), np.int64), size) ^ np.uint64(side)
                 out[0].append(names.view(np.int64))
                 out[1].append(np.full(len(names), own))
-                out[2].append(places[chosen])
+                out[2].append(packed(sig[chosen], first[chosen], (final - first + 1)[chosen], np.zeros(len(names), np.int64)))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["name", "id", "place"])
 
 
@@ -323,12 +367,14 @@ def _string_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Every 50-byte string of the phrases that are still tied."""
     out = [[np.zeros(0, np.int64)] for _ in range(3)]
     for own, text, places, starts, counts, _ in _each_place(batch):
-        sig = places[0] >> 44
-        every = np.unique(np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum()))
-        names = _string_hashes(text, every, LENGTH)
-        out[0].append(names.view(np.int64))
-        out[1].append(np.full(len(names), own))
-        out[2].append(packed(np.full(len(every), sig), every, np.ones(len(every), np.int64), np.zeros(len(every), np.int64)))
+        names = _string_hashes(text, starts, counts, LENGTH)
+        every = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        # both sides of a sample may name the same start
+        every, first = np.unique(every, return_index=True)
+        single, none = np.ones(len(every), np.int64), np.zeros(len(every), np.int64)
+        out[0].append(names[first].view(np.int64))
+        out[1].append(np.full(len(every), own))
+        out[2].append(packed(single * (places[0] >> 44), every, single, none))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["name", "id", "place"])
 
 
@@ -377,11 +423,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # the three joins below read the same exchange of the texts
     texts = map_batches(texts, _compress_batch, "doc_id long, id long, sig long, packed binary").repartition(*by)
     longer = map_batches(texts.join(_per_document(tied, "places"), by).select(*columns), _longer_batch, "name long, id long, place long", 512)
-    shared = longer.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name")
-    still = longer.join(shared, "name").select("id", "place").distinct()
+    # named rows are dealt once; what a name has in common is looked up where its rows are
+    longer = longer.repartition("name")
+    shared = longer.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    still = longer.join(shared.select("name").hint("shuffle_hash"), "name", "left_semi").select("id", "place").distinct()
     strings = map_batches(texts.join(_per_document(still, "places"), by).select(*columns), _string_batch, "name long, id long, place long", 512)
-    firsts = strings.groupBy("name").agg(F.min("id").alias("holder"), F.max("id").alias("high")).where("holder < high").select("name", "holder")
-    lost = strings.join(firsts, "name").where("id > holder").select("id", "place")
+    strings = strings.repartition("name")
+    firsts = strings.groupBy("name").agg(F.min("id").alias("holder"), F.max("id").alias("high")).where("holder < high")
+    lost = strings.join(firsts.select("name", "holder").hint("shuffle_hash"), "name").where("id > holder").select("id", "place")
     places = _per_document(removed.union(lost), "places")
     return map_batches(
         texts.join(places, by, "left").select(*columns),
