@@ -150,9 +150,8 @@ def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
     schema = "task int, slice int, tokens long, mass array<double>"
     smaller_batches(docs.sparkSession)
     parts = docs.mapInArrow(_train_task(words, start), schema)
-    # two levels, so that no group adds more than about the root of the number of tasks
-    fan = max(1, round(docs.rdd.getNumPartitions() ** 0.5))
-    some = parts.groupBy((F.col("task") % fan).alias("fan"), "slice").applyInArrow(_add_slices, schema)
+    # two levels: as many first groups as the root of the number of tasks, with at most twice as many members
+    some = parts.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
     rows = sorted(some.groupBy("slice").applyInArrow(_add_slices, schema).collect(), key=lambda r: r["slice"])
     if not rows:
         return start

@@ -56,18 +56,17 @@ def source_targets(sized: DataFrame, ceiling: float = CEILING, cycle: int = CYCL
     """`source`, `source_size`, `target` for every source of `sized` (source, size)."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ordered = with_ordinal(sources.withColumn("__last", F.col("source").isNull()), ["__last", "source"], "place")
-    total = F.broadcast(ordered.agg(F.sum("source_size").cast("double").alias("goal")))  # one row
+    total = sources.agg(F.sum("source_size").cast("double")).scalar()
     shares = materialize(
         ordered.withColumns({"weight": (F.col("place") % cycle + 1).cast("double"), "one": F.lit(1)})
         .withColumn("cap", F.col("source_size") * F.lit(float(ceiling)))
-        .withColumn("n", F.lit(1.0))
-        .join(total, F.lit(True))
+        .withColumns({"n": F.lit(1.0), "goal": total})
         .drop("__last", "place"),
         "sources",
     )
-    level = F.broadcast(water_levels(shares, "one").select("level"))  # one row
-    share = F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))
-    return shares.join(level, F.lit(True)).select("source", "source_size", share.alias("target"))
+    level = water_levels(shares, "one").select("level").scalar()
+    share = F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap")))
+    return shares.select("source", "source_size", share.alias("target"))
 
 
 def mix(
