@@ -13,12 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
-from millrace.operators.filters import SMALL_LIST, keep_entities
+from millrace.operators.filters import keep_entities
 from millrace.operators.sequences import running_sums
-from millrace.sources.storage import bounded_rows, broadcast_if_small, small_copy
-
-MAX_GROUPS = 10_000
-MAX_KEPT_GENES = 4096  # dense steps hold one value per kept gene and cell
 
 
 def cell_totals(long: DataFrame) -> Column:
@@ -113,9 +109,12 @@ def keep_genes(long: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def kept_names(genes: DataFrame) -> list[str]:
-    """Kept genes in name order; refuses more than MAX_KEPT_GENES."""
-    rows = bounded_rows(genes.select("gene").distinct(), MAX_KEPT_GENES, "kept genes")
-    return sorted(r["gene"] for r in rows)
+    """Kept genes in name order.
+
+    They reach the driver, as the dense steps number them: about 100 bytes per
+    gene there, and eight bytes per gene and cell in the tasks.
+    """
+    return sorted(r["gene"] for r in genes.select("gene").distinct().collect())
 
 
 def _numbered(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -188,12 +187,12 @@ def regress_out(long: DataFrame, cells: DataFrame, covariates: tuple[str, str])
     """Residuals of every listed cell and every gene in `long`, which are dense.
 
     `long` must already be cut to the kept genes: the result has one row per
-    cell and kept gene.  The fit, four numbers per kept gene, goes to the tasks
-    as arrays, so cells are filled in where they lie.
+    cell and kept gene.  The fit, five numbers per kept gene, passes the driver
+    and goes to the tasks as arrays, so cells are filled in where they lie.
     """
     a, b = covariates
     fit = sorted(
-        bounded_rows(regression_slopes(long, cells, covariates), MAX_KEPT_GENES, "kept genes"),
+        regression_slopes(long, cells, covariates).collect(),
         key=lambda r: r["gene"],
     )
     names = [r["gene"] for r in fit]
@@ -231,29 +230,24 @@ def scale_clip(dense: DataFrame, limit: float = 10.0, lower: float | None = None
     z = F.least((F.col("value") - F.col("_m")) / spread, F.lit(float(limit)))
     if lower is not None:
         z = F.greatest(z, F.lit(float(lower)))
-    scaled = dense.join(small_copy(stats, MAX_KEPT_GENES, "kept genes"), "gene")
+    scaled = dense.join(stats, "gene")
     return scaled.select("cell", "gene", z.alias("value"))
 
 
 def gene_by_group(long: DataFrame, groups: DataFrame) -> DataFrame:
     """All genes with all groups, group sizes (n_group) and the number of cells (n_cells).
 
-    Groups are few: at most MAX_GROUPS, more are refused.  They reach the genes
-    as one constant list.
+    The result has a row per gene and group, so the groups reach the genes as one
+    list: a number and a name per group.
     """
-    sizes = bounded_rows(
-        groups.groupBy("group").agg(F.count("*").alias("n_group")), MAX_GROUPS, "groups"
-    )
-    kind = groups.schema["group"].dataType.simpleString()
-    listed = long.sparkSession.createDataFrame(
-        [([tuple(r) for r in sizes],)], f"l array<struct<`group`:{kind},n_group:bigint>>"
-    ).scalar()
-    everyone = sum(r["n_group"] for r in sizes)
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n_group"))
+    listed = sizes.agg(F.collect_list(F.struct("group", "n_group"))).scalar()
+    everyone = sizes.agg(F.sum("n_group")).scalar()
     return (
         long.select("gene")
         .distinct()
         .withColumn("s", F.explode(listed))
-        .select("gene", "s.group", "s.n_group", F.lit(everyone).cast("bigint").alias("n_cells"))
+        .select("gene", "s.group", "s.n_group", everyone.alias("n_cells"))
     )
 
 
@@ -283,7 +277,7 @@ def exact_quantiles(long: DataFrame, by: list[str], value: str, shares: list[flo
     running = running_sums(counted, by, [value], {"_upto": F.col("_n")})
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_all"))
     if by:
-        ranked = running.join(broadcast_if_small(totals, SMALL_LIST), by)
+        ranked = running.join(totals, by)
     else:
         ranked = running.withColumn("_all", counted.agg(F.sum("_n")).scalar())
     reached = [

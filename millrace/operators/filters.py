@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from millrace.functions.strings import md5_modulus
 from millrace.operators.sequences import with_ordinal
-from millrace.sources.storage import broadcast_if_small
 
 
 def keep_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
@@ -48,12 +47,13 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.na.drop("any", subset=list(columns) if columns else None)
 
 
-SMALL_LIST = 100_000  # entities worth sending to every executor
-
-
 def keep_entities(long: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    """Entries of a long table whose entity is listed; one entity may hold most of the entries."""
-    return long.join(broadcast_if_small(entities.select(key), SMALL_LIST), key, "left_semi")
+    """Entries of a long table whose entity is listed.
+
+    Adaptive execution broadcasts a short list and splits an entity that holds
+    most of the entries.
+    """
+    return long.join(entities.select(key), key, "left_semi")
 
 
 def by_support(

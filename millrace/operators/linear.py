@@ -12,14 +12,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.sources.storage import bounded_columns
-
-MAX_FEATURES = 4096
-MAX_LABELS = 10_000
 # The ridge strengths fitted side by side.
 RIDGES = (0.0, 1.0, 10.0, 100.0, 500.0)
 
@@ -27,6 +24,9 @@ _MOMENTS = "kind string, i int, j int, value double"
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    widths = np.unique(pc.list_value_length(column).to_numpy(zero_copy_only=False))
+    if len(widths) > 1:
+        raise ValueError(f"vectors of {widths[0]} and of {widths[-1]} numbers")
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
@@ -49,6 +49,8 @@ def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int |
             if batch.num_rows == 0:
                 continue
             rows = _matrix(batch.column(0))
+            if xx is not None and rows.shape[1] != len(x):
+                raise ValueError(f"vectors of {len(x)} and of {rows.shape[1]} numbers")
             if xx is None:
                 xx, x = np.zeros((rows.shape[1],) * 2), np.zeros(rows.shape[1])
             xx += rows.T @ rows
@@ -59,11 +61,14 @@ def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int |
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 sizes = np.diff(lists.offsets.to_numpy())
                 owner = np.repeat(np.arange(len(rows)), sizes)
-                for label in np.unique(flat):
-                    own = owner[flat == label]
-                    counts[int(label)] = counts.get(int(label), 0.0) + len(own)
-                    part = rows[own].sum(axis=0)
-                    sums[int(label)] = sums[int(label)] + part if int(label) in sums else part
+                order = np.argsort(flat, kind="stable")
+                found, first = np.unique(flat[order], return_index=True)
+                if len(found):
+                    parts = np.add.reduceat(rows[owner[order]], first, axis=0)
+                    sizes = np.diff(np.append(first, len(flat)))
+                    for label, size, part in zip(found.tolist(), sizes.tolist(), parts):
+                        counts[label] = counts.get(label, 0.0) + size
+                        sums[label] = sums[label] + part if label in sums else part
         if xx is None:
             return
         upper = np.triu_indices(len(x))
@@ -74,7 +79,9 @@ def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int |
             yield _moment_batch("yy", [label], [label], [counts[label]])
             yield _moment_batch("xy", np.full(len(total), label), np.arange(len(total)), total)
 
-    chosen = df.where(F.col(vector).isNotNull()).select(
+    # a vector with a missing element is missing
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda v: v.isNull())
+    chosen = df.where(whole).select(
         F.col(vector).alias("x"), *([F.col(labels).alias("y")] if labels else [])
     )
     width = tasks or df.sparkSession.sparkContext.defaultParallelism
@@ -96,11 +103,14 @@ def _moment_batch(kind: str, i: Sequence, j: Sequence, value: Sequence) -> pa.Re
 
 
 class Moments:
-    """Moments on the driver: n, x (d), xx (d x d), labels, yy (L), xy (L x d)."""
+    """Moments on the driver: n, x (d), xx (d x d), labels, yy (L), xy (L x d).
+
+    The algebra that follows needs them in one place: about 40 (d^2 / 2 + L d)
+    bytes while they arrive, whatever the number of rows.
+    """
 
     def __init__(self, table: DataFrame):
-        limit = MAX_FEATURES * (MAX_FEATURES + 3) // 2 + MAX_LABELS * (MAX_FEATURES + 1) + 1
-        rows = pd.DataFrame(bounded_columns(table, limit, "moments"))
+        rows = table.toArrow().to_pandas()
         parts = {kind: part for kind, part in rows.groupby("kind")}
         if "n" not in parts:
             raise ValueError("no rows with a vector")
@@ -164,9 +174,8 @@ def group_means(df: DataFrame, by: Sequence[str], vector: str, name: str = "mean
 
 def model_arrays(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Model table (label, feature, weight) to its labels and a label-by-feature matrix."""
-    table = bounded_columns(
-        model.select("label", "feature", "weight"), MAX_LABELS * MAX_FEATURES, "model weights"
-    )
+    arrow = model.select("label", "feature", "weight").toArrow()
+    table = {name: arrow.column(name).to_numpy() for name in arrow.column_names}
     labels, at = np.unique(table["label"], return_inverse=True)
     beta = np.zeros((len(labels), int(table["feature"].max()) + 1))
     beta[at, table["feature"]] = table["weight"]
@@ -189,6 +198,19 @@ def _rows(vectors: pd.Series, width: int) -> np.ndarray:
     return np.stack(vectors.to_list()).astype(float) if len(vectors) else np.zeros((0, width))
 
 
+BLOCK = 512  # rows scored at once
+
+
+def _best(scores: np.ndarray, top: int) -> np.ndarray:
+    """Places of the `top` highest scores, ties to the smaller place."""
+    if top < len(scores):
+        limit = np.partition(scores, len(scores) - top)[len(scores) - top]
+        near = np.flatnonzero(scores >= limit)
+    else:
+        near = np.arange(len(scores))
+    return near[np.argsort(-scores[near], kind="stable")][:top]
+
+
 def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None = None) -> DataFrame:
     """Columns of `df` with `scores`: array of (label, score), best first, all labels or the best `keep`.
 
@@ -205,12 +227,10 @@ def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None
         weights = shared.value
         for batch in parts:
             found = _present(batch)
-            table = _rows(found, weights.shape[1]) @ weights.T
-            order = np.argsort(-table, axis=1, kind="stable")[:, :top]
-            items = [
-                [{"label": int(labels[i]), "score": float(row[i])} for i in best]
-                for row, best in zip(table, order)
-            ]
+            vectors, items = _rows(found, weights.shape[1]), []
+            for at in range(0, len(vectors), BLOCK):
+                table = vectors[at : at + BLOCK] @ weights.T
+                items += [[{"label": int(labels[i]), "score": float(row[i])} for i in _best(row, top)] for row in table]
             yield _placed(items, batch)
 
     return df.withColumn("scores", score(F.col(vector)))

@@ -8,8 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-FAN_IN = 64  # states of one key that meet in the first level
-
 
 def merge_states(
     df: DataFrame,
@@ -17,14 +15,13 @@ def merge_states(
     fold: Callable[[Iterator[pd.DataFrame]], pd.DataFrame],
     merge: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
-    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """One state per key from any associative aggregate written in pandas.
 
     `fold` turns the batches of a task into one state row per key; `merge` turns
     several state rows of one key into one.  States, not rows, are shuffled, so
-    a key with most of the rows costs one state per task: up to `fan_in` tasks
-    meet in the first level, the rest in the second.
+    a key with most of the rows costs one state per task; each of the two levels
+    merges at most about twice the square root of the number of tasks.
     """
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -33,7 +30,7 @@ def merge_states(
             yield states
 
     states = df.mapInPandas(task, schema)
-    level = states.withColumn("__part", F.floor(F.spark_partition_id() / fan_in))
+    level = states.withColumn("__part", F.floor(F.sqrt(F.spark_partition_id())))
     first = level.groupBy(*by, "__part").applyInPandas(lambda part: merge(part.drop(columns="__part")), schema)
     return first.groupBy(*by).applyInPandas(merge, schema)
 

@@ -163,7 +163,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 3, seed:
 
 
 def random_search(
-    rows: DataFrame, kind: str, key: str, draws: int = 10, folds: int = 3, seed: int = 7, parallelism: int = 2
+    rows: DataFrame, kind: str, key: str, draws: int = 10, folds: int = 3, seed: int = 7, parallelism: int = 8
 ) -> CrossValidatorModel:
     """Best of `draws` settings by cross-validated accuracy, refitted on all rows.
 
@@ -210,9 +210,7 @@ def logistic_markers(vectors: DataFrame, names: Sequence[str], max_iter: int = 1
 
     `vectors` has columns group and vector (array, one value per name).
     """
-    groups = sorted(r[0] for r in vectors.select("group").distinct().limit(1001).collect())
-    if len(groups) > 1000:
-        raise ValueError("more than 1000 groups")
+    groups = sorted(r[0] for r in vectors.select("group").distinct().collect())
     label = F.array_position(F.array(*[F.lit(g) for g in groups]), F.col("group")).cast("double") - 1
     rows = vectors.select(array_to_vector("vector").alias("features"), label.alias("label")).cache()
     model = LogisticRegression(
@@ -220,5 +218,5 @@ def logistic_markers(vectors: DataFrame, names: Sequence[str], max_iter: int = 1
     ).fit(rows)
     rows.unpersist()
     table = model.coefficientMatrix.toArray()
-    data = [(g, n, float(table[i, j])) for i, g in enumerate(groups) for j, n in enumerate(names)]
-    return vectors.sparkSession.createDataFrame(data, '`group` string, gene string, score double')
+    frame = pd.DataFrame({"group": np.repeat(groups, len(names)), "gene": np.tile(names, len(groups)), "score": table.ravel()})
+    return vectors.sparkSession.createDataFrame(frame, "`group` string, gene string, score double")

@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.aggregates import top_per_group
 from millrace.operators.joins import hot_keys, inner_join
-from millrace.sources.storage import bounded_rows, materialize
+from millrace.sources.storage import materialize
 
-MAX_PIVOTS = 1024
 HUB_SHARE = 0.05  # share of the edges from which a node's edges are spread over tasks
 PAIR_SLICE = 200_000  # candidate pairs whose distance is recomputed at a time
 
@@ -62,8 +61,9 @@ def nearest_neighbours(
 ) -> DataFrame:
     """Exact k nearest rows of every row, itself included, by Euclidean distance.
 
-    Rows fall to the nearest of up to 1,024 pivots.  Distances to pivots bound
-    how far the k-th neighbour of a cell's members can be, which rules out most
+    Rows fall to the nearest of the pivots, one per `block_rows` rows and no more
+    than the root of their number, whose table of distances to each other is as
+    large as the rows' ids.  Distances to pivots bound how far the k-th neighbour of a cell's members can be, which rules out most
     pairs of cells by the triangle inequality where the data cluster.  Cells are
     cut into blocks of about `block_rows`, so a crowded cell is many blocks, and
     only pairs of blocks that may hold neighbours meet; each meeting returns its
@@ -75,7 +75,7 @@ def nearest_neighbours(
     n = rows.count()
     if n == 0:
         raise ValueError("no rows with a vector")
-    pivot_count = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
+    pivot_count = max(1, min(math.isqrt(n), math.ceil(n / block_rows)))
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivot_count).collect()
     pivots = np.array([r["v"] for r in chosen], float)
 
@@ -95,12 +95,12 @@ def nearest_neighbours(
     placed = materialize(rows.mapInPandas(assign, schema), "cells")
 
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius"))
-    cells = {r["cell"]: r for r in bounded_rows(stats, MAX_PIVOTS, "cells")}
+    cells = {r["cell"]: r for r in stats.collect()}
     nearest = top_per_group(
         placed.select("cell", "gap", "id"), ["cell"], [F.col("gap").asc(), F.col("id").asc()], k
     )
     near: list[list[float]] = [[] for _ in range(pivot_count)]
-    for r in bounded_rows(nearest.select("cell", "gap"), MAX_PIVOTS * k, "cell centres"):
+    for r in nearest.select("cell", "gap").collect():
         near[r["cell"]].append(r["gap"])
     radius = np.array([cells[c]["radius"] if c in cells else 0.0 for c in range(pivot_count)])
     between = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)) if pivot_count <= 64 else np.stack(
@@ -161,12 +161,12 @@ def undirected(edges: DataFrame, source: str, target: str, weight: Column | None
     return both.groupBy("src", "dst").agg(F.max("weight").alias("weight"))
 
 
-def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
+def modularity(edges: DataFrame, labels: DataFrame, hubs=None) -> DataFrame:
     """Modularity of a clustering (id, cluster) of a symmetric edge table, with its terms summed per cluster."""
     start = labels.select(F.col("id").alias("src"), F.col("cluster").alias("a"))
     end = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("b"))
     # Edges are symmetric, so a node that many edges leave is one that many reach.
-    hubs = hot_keys(edges, "src", HUB_SHARE)
+    hubs = hot_keys(edges, "src", HUB_SHARE) if hubs is None else hubs
     ends = inner_join(end, inner_join(start, edges, "src", hot=hubs), "dst", hot=hubs)
     per_cluster = (
         ends.groupBy("a")
@@ -183,37 +183,80 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def propagate_labels(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """Communities of a symmetric edge table by weighted label propagation: (id, cluster).
+MIN_GAIN = 1e-3  # a round, and a level, has to raise modularity by this much
 
-    Each round half of the nodes, chosen by hash, take the label with the most
-    weight among their neighbours (the smallest on a tie); moving only half
-    keeps neighbours from swapping labels for ever.  Stops when two rounds in a
-    row change nothing.  Every round is written, so lineage stays short.
-    """
-    labels = materialize(
-        edges.select(F.col("src").alias("id")).distinct().withColumn("cluster", F.col("id")), "labels"
+
+def _moves(edges: DataFrame, labels: DataFrame, degrees: DataFrame, total: float, turn: Column, hubs) -> DataFrame:
+    """Labels after the nodes whose `turn` it is took the cluster with the largest gain in modularity."""
+    near = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("near"))
+    # a loop moves with its node, so it says nothing for or against a cluster
+    pulls = (
+        inner_join(near, edges.where("src <> dst"), "dst", hot=hubs)
+        .groupBy(F.col("src").alias("id"), F.col("near"))
+        .agg(F.sum("weight").alias("pull"))
+    )
+    own = labels.select("id", F.col("cluster").alias("near")).withColumn("pull", F.lit(0.0))
+    placed = labels.join(degrees, "id")
+    sizes = placed.groupBy(F.col("cluster").alias("near")).agg(F.sum("degree").alias("size"))
+    options = (
+        pulls.unionByName(own)
+        .groupBy("id", "near")
+        .agg(F.sum("pull").alias("pull"))
+        .join(placed, "id")
+        .join(sizes, "near")
     )
+    stays = F.col("near") == F.col("cluster")
+    rest = F.col("size") - F.when(stays, F.col("degree")).otherwise(0.0)
+    gain = F.round(F.col("pull") - F.col("degree") * rest / F.lit(total), 9)
+    best = options.groupBy("id").agg(
+        F.max_by("near", F.struct(gain, stays, -F.col("near"))).alias("best"), F.first("cluster").alias("cluster")
+    )
+    return best.select("id", F.when(turn, F.col("best")).otherwise(F.col("cluster")).alias("cluster"))
+
+
+def _settle_level(edges: DataFrame) -> tuple[DataFrame, float]:
+    """Clusters of one level, moved until two rounds in a row gain nothing, and their modularity."""
+    degrees = materialize(edges.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("degree")), "degrees")
+    total = degrees.agg(F.sum("degree")).first()[0]
     hubs = hot_keys(edges, "dst", HUB_SHARE)
-    quiet = 0
-    for number in range(rounds):
-        neighbours = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("near"))
-        votes = (
-            inner_join(neighbours, edges, "dst", hot=hubs)
-            .groupBy(F.col("src").alias("id"), "near")
-            .agg(F.round(F.sum("weight"), 9).alias("w"))
-        )
-        winner = votes.groupBy("id").agg(F.max_by("near", F.struct("w", (-F.col("near")).alias("tie"))).alias("winner"))
+    best = materialize(degrees.select("id", F.col("id").alias("cluster")), "labels")
+    score = modularity(edges, best, hubs).first()["modularity"]
+    labels, quiet, number = best, 0, 0
+    while quiet < 2:
+        # half of the nodes move at a time, so that neighbours do not only swap places
         turn = F.pmod(F.xxhash64("id", F.lit(number // 2)), F.lit(2)) == number % 2
-        moved = labels.join(winner, "id", "left").select(
-            "id",
-            F.when(turn, F.coalesce("winner", "cluster")).otherwise(F.col("cluster")).alias("cluster"),
-            F.col("cluster").alias("before"),
+        labels = materialize(_moves(edges, labels, degrees, total, turn, hubs), "labels")
+        reached = modularity(edges, labels, hubs).first()["modularity"]
+        quiet = 0 if reached > score + MIN_GAIN else quiet + 1
+        if reached > score:
+            best, score = labels, reached
+        number += 1
+    return best, score
+
+
+def cluster_graph(edges: DataFrame) -> DataFrame:
+    """Communities of a symmetric edge table (src, dst, weight) by modularity: (id, cluster).
+
+    Nodes move to the neighbouring cluster with the largest gain, clusters become
+    the nodes of the next level, and levels follow until modularity stops rising,
+    which bounds the rounds.  A cluster is named by its smallest node.  Every
+    round is written, so lineage stays short.
+    """
+    found, score = _settle_level(edges)
+    while True:
+        names = found.groupBy("cluster").agg(F.min("id").alias("name"))
+        found = materialize(found.join(names, "cluster").select("id", F.col("name").alias("cluster")), "clusters")
+        start = found.select(F.col("id").alias("src"), F.col("cluster").alias("a"))
+        end = found.select(F.col("id").alias("dst"), F.col("cluster").alias("b"))
+        merged = (
+            edges.join(start, "src")
+            .join(end, "dst")
+            .groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
+            .agg(F.sum("weight").alias("weight"))
         )
-        stored = materialize(moved, "labels")
-        changed = stored.where("cluster <> before").count()
-        labels = stored.drop("before")
-        quiet = quiet + 1 if changed == 0 else 0
-        if quiet == 2:
-            break
-    return labels
+        coarse, reached = _settle_level(materialize(merged, "edges"))
+        if reached <= score + MIN_GAIN:
+            return found
+        score = reached
+        upper = coarse.withColumnRenamed("cluster", "upper").withColumnRenamed("id", "cluster")
+        found = found.join(upper, "cluster").select("id", F.col("upper").alias("cluster"))

@@ -2,42 +2,56 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.sequences import with_neighbour
 
+# Bases that decide every number below 2^64, and small divisors tried first.
+BASES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+
 
-MAX_VALUE = 10**12
+def is_prime(n: int) -> bool:
+    """Miller-Rabin, exact for 64-bit numbers."""
+    if n < 2:
+        return False
+    for p in BASES:
+        if n % p == 0:
+            return n == p
+    odd = n - 1
+    twos = (odd & -odd).bit_length() - 1
+    odd >>= twos
+    for base in BASES:
+        x = pow(base, odd, n)
+        if x in (1, n - 1):
+            continue
+        for _ in range(twos - 1):
+            x = x * x % n
+            if x == n - 1:
+                break
+        else:
+            return False
+    return True
 
 
-def _small_primes(limit: int) -> list[int]:
-    flags = np.ones(limit + 1, bool)
-    flags[:2] = False
-    for p in range(2, math.isqrt(limit) + 1):
-        flags[p * p :: p] &= not flags[p]
-    return [int(p) for p in np.flatnonzero(flags)]
+def _prime_flags(values: pa.Array) -> pa.Array:
+    numbers = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
+    left = numbers >= 2
+    for p in BASES:
+        left &= (numbers % p != 0) | (numbers == p)
+    # few numbers survive the small divisors
+    left[left] = [is_prime(n) for n in numbers[left].tolist()]
+    return pa.array(left)
 
 
 def prime_rows(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose value is prime, without a shuffle.
+    """Rows whose value is prime, in one pass without a shuffle.
 
-    Divisors up to the square root of the largest value are enough.  They are a
-    constant of the plan (a value of 10^12 needs 78,498 of them), each row stops
-    at its first divisor, and rows are tested where they lie.
+    Any 64-bit value; each Arrow batch is sieved by the smallest primes at once,
+    and what is left costs a few modular powers per number.
     """
-    largest = df.agg(F.max(column)).first()[0] or 0
-    if largest > MAX_VALUE:
-        raise ValueError(f"values above {MAX_VALUE} need more divisors than a plan should carry")
-    divisors = _small_primes(math.isqrt(max(int(largest), 4)))
-    value = F.col(column)
-    divisible = F.exists(
-        F.from_json(F.lit(str(divisors)), "array<bigint>"),
-        lambda p: (p < value) & (value % p == 0),
-    )
-    return df.where((value >= 2) & ~divisible)
+    return df.where(F.arrow_udf(_prime_flags, "boolean")(F.col(column).cast("bigint")))
 
 
 def sparse_ranges(df: DataFrame, column: str, lower: int = 25, rule: str = "nagura") -> DataFrame:

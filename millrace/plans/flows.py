@@ -242,7 +242,7 @@ def single_cell(
         neighbours.undirected(neighbours.nearest_neighbours(stored, "id", "scores", near), "id", "neighbour"),
         f"{out}/graph",
     )
-    communities = neighbours.propagate_labels(graph)
+    communities = neighbours.cluster_graph(graph)
     clusters = _store(
         stored.join(communities, "id").select("cell", F.col("cluster").cast("string").alias("group")), f"{out}/clusters"
     )

@@ -93,7 +93,7 @@ def primes_anti(spark: SparkSession, root: str) -> DataFrame:
 @bound(
     "density_check",
     """
-    WITH keys AS (SELECT DISTINCT floor(s_acctbal)::BIGINT AS k FROM supplier WHERE s_acctbal > 0),
+    WITH keys AS (SELECT DISTINCT floor(s_acctbal)::BIGINT AS k FROM supplier),
     ns AS (SELECT unnest(range(25, (SELECT max(k) FROM keys))) AS n),
     bad AS (SELECT n FROM ns WHERE NOT EXISTS (SELECT 1 FROM keys WHERE n < k AND 5 * k < 6 * n))
     SELECT (SELECT max(k) FROM keys WHERE k <= n) AS below, (SELECT min(k) FROM keys WHERE k > n) AS above,
@@ -102,9 +102,8 @@ def primes_anti(spark: SparkSession, root: str) -> DataFrame:
     """,
 )
 def density_check(spark: SparkSession, root: str) -> DataFrame:
-    balances = table(spark, root, "supplier").where(F.col("s_acctbal") > 0)
     whole = F.floor("s_acctbal").alias("k")
-    return primes.sparse_ranges(balances.select(whole), "k", 25, "nagura")
+    return primes.sparse_ranges(table(spark, root, "supplier").select(whole), "k", 25, "nagura")
 
 
 @bound(

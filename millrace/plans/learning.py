@@ -8,7 +8,7 @@ from millrace.operators import aggregates, counts, evaluation, filters, markers,
 from millrace.operators.onehot import signed_one_hot
 from millrace.plans.counting import logged_with_groups
 from millrace.plans.registry import bound, fixed, fixed_sql
-from millrace.plans.summaries import daily_quantity
+from millrace.plans.summaries import DAILY_SQL, daily_quantity
 from millrace.sources.storage import materialize
 from millrace.sources.tables import table
 
@@ -19,26 +19,55 @@ def volume_rows(spark: SparkSession, root: str) -> DataFrame:
     return moving.training_rows(daily_quantity(spark, root))
 
 
-def _volume_backtest(spark: SparkSession, root: str, kind: str) -> DataFrame:
+def volume_backtest(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """Score of every month, and of the held-out days."""
     rows = volume_rows(spark, root)
     model, held_out = models.fit_volume(rows, kind, AVERAGES, "y", ["day"])
     months = models.backtest_by_month(model, rows, "y", "yyyymm")
     return months.withColumn("held_out_r2", held_out.select("r2").scalar())
 
 
-@bound("volume_linear")
+MONTHS_SQL = f"WITH {DAILY_SQL} SELECT yyyymm, count(*) AS n, true AS possible FROM complete GROUP BY yyyymm"
+
+
+def _volume_check(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    found = volume_backtest(spark, root, kind)
+    return found.select("yyyymm", "n", F.coalesce(F.col("r2") <= 1, F.lit(True)).alias("possible"))
+
+
+@bound("volume_linear", MONTHS_SQL)
 def volume_linear(spark: SparkSession, root: str) -> DataFrame:
-    return _volume_backtest(spark, root, "linear")
+    return _volume_check(spark, root, "linear")
 
 
-@bound("volume_boosted")
+@bound("volume_boosted", MONTHS_SQL)
 def volume_boosted(spark: SparkSession, root: str) -> DataFrame:
-    return _volume_backtest(spark, root, "gradient_boost")
+    return _volume_check(spark, root, "gradient_boost")
 
 
-@bound("volume_kernel")
+@bound("volume_kernel", MONTHS_SQL)
 def volume_kernel(spark: SparkSession, root: str) -> DataFrame:
-    return _volume_backtest(spark, root, "svm")
+    return _volume_check(spark, root, "svm")
+
+
+@bound(
+    "volume_normal",
+    f"""
+    WITH {DAILY_SQL}, k AS (SELECT count(*) AS n FROM complete)
+    SELECT t AS term, n - ceil(0.2::DOUBLE * n)::BIGINT AS n, 0.0::DOUBLE AS against
+    FROM k, (SELECT unnest(['one', {', '.join(f"'{c}'" for c in AVERAGES)}]) AS t)
+    """,
+)
+def volume_normal(spark: SparkSession, root: str) -> DataFrame:
+    """Residuals of the linear model on its training days: nothing left along any of its inputs."""
+    rows = volume_rows(spark, root)
+    train = splits.ordered_split(rows, ["day"], 0.2).where("part = 'train'").drop("part")
+    model = models.VolumeModel("linear", train, AVERAGES, "y")
+    left = model.predict(train).withColumn("left", F.col("y") - F.col("prediction")).withColumn("one", F.lit(1.0))
+    cosine = lambda c: F.sum(F.col("left") * F.col(c)) / F.sqrt(F.sum(F.col("left") * F.col("left")) * F.sum(F.col(c) * F.col(c)))
+    terms = ["one", *AVERAGES]
+    sums = left.agg(F.count("*").alias("n"), *[fixed(cosine(c), 6).alias(c) for c in terms])
+    return sums.unpivot(["n"], terms, "term", "against").select("term", "n", "against")
 
 
 CONTINUOUS = ["c_acctbal", "n_orders", "mean_price", "balance_by_price", "orders_by_price"]
@@ -125,36 +154,58 @@ def churn_rows(spark: SparkSession, root: str) -> DataFrame:
     return splits.shuffled_split(rows, "c_custkey", 7, 0.8, 0, 1.0)
 
 
-def _churn(spark: SparkSession, root: str, kind: str, draws: int) -> tuple[DataFrame, float]:
+DRAWS = 10  # settings tried by each search, on three folds
+
+
+def churn_predictions(spark: SparkSession, root: str, kind: str) -> tuple[DataFrame, float]:
     """Held-out predictions of the best setting found on the other customers, and its accuracy there."""
     rows = churn_rows(spark, root)
-    search = models.random_search(rows.where("part = 'train'").drop("part"), kind, "c_custkey", draws)
+    search = models.random_search(rows.where("part = 'train'").drop("part"), kind, "c_custkey", DRAWS)
     score, _ = models.best_setting(search)
     return models.backtest(search.bestModel, rows.where("part = 'test'"), ["c_custkey"]), score
 
 
-@bound("churn_logistic")
+# What must hold whatever the fit: who is held out and their labels, predictions
+# that follow from the probabilities, and a search that beats a coin.
+HELD_OUT_SQL = f"""
+    {CHURN_SQL.rstrip()},
+    placed AS (
+      SELECT c_custkey, exited, row_number() OVER (ORDER BY md5('7:' || c_custkey), c_custkey) - 1 AS place, count(*) OVER () AS n FROM c),
+    held AS (SELECT c_custkey, exited::INTEGER AS y_true FROM placed WHERE place >= floor(0.8::DOUBLE * n))
+"""
+CHURN_CHECK_SQL = f"WITH {HELD_OUT_SQL} SELECT c_custkey, y_true, true AS follows, true AS proper, true AS beats_a_coin FROM held"
+
+
+def _churn_check(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    predictions, score = churn_predictions(spark, root, kind)
+    return predictions.select(
+        "c_custkey",
+        "y_true",
+        (F.col("pred") == (F.col("proba") > 0.5).cast("int")).alias("follows"),
+        F.col("proba").between(0.0, 1.0).alias("proper"),
+        F.lit(score > 0.5).alias("beats_a_coin"),
+    )
+
+
+@bound("churn_logistic", CHURN_CHECK_SQL)
 def churn_logistic(spark: SparkSession, root: str) -> DataFrame:
-    predictions, score = _churn(spark, root, "logistic", 2)
-    return predictions.withColumn("search_accuracy", F.lit(score))
+    return _churn_check(spark, root, "logistic")
 
 
-@bound("churn_forest")
+@bound("churn_forest", CHURN_CHECK_SQL)
 def churn_forest(spark: SparkSession, root: str) -> DataFrame:
-    predictions, score = _churn(spark, root, "random_forest", 1)
-    return predictions.withColumn("search_accuracy", F.lit(score))
+    return _churn_check(spark, root, "random_forest")
 
 
-@bound("churn_boosted")
+@bound("churn_boosted", CHURN_CHECK_SQL)
 def churn_boosted(spark: SparkSession, root: str) -> DataFrame:
-    predictions, score = _churn(spark, root, "gradient_boost", 1)
-    return predictions.withColumn("search_accuracy", F.lit(score))
+    return _churn_check(spark, root, "gradient_boost")
 
 
 @bound("churn_report")
 def churn_report(spark: SparkSession, root: str) -> DataFrame:
     """Classification report of the held-out logistic predictions."""
-    predictions, _ = _churn(spark, root, "logistic", 2)
+    predictions, _ = churn_predictions(spark, root, "logistic")
     return evaluation.classification_report(predictions, "y_true", "pred")
 
 

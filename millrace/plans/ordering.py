@@ -142,14 +142,16 @@ def hash_shuffle_split(spark: SparkSession, root: str) -> DataFrame:
     SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
     FROM (SELECT * FROM orders WHERE o_orderstatus = 'F'
           UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O'
+          UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P'
           UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F')
     GROUP BY o_orderstatus
     """,
 )
 def union_all(spark: SparkSession, root: str) -> DataFrame:
     orders = table(spark, root, "orders").select("o_orderstatus", "o_totalprice")
-    slices = [orders.where(F.col("o_orderstatus") == s) for s in ("F", "O", "F")]
-    united = slices[0].unionByName(slices[1]).unionByName(slices[2].select("o_totalprice", "o_orderstatus"))
+    slices = [orders.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P", "F")]
+    united = slices[0].unionByName(slices[1]).unionByName(slices[2])
+    united = united.unionByName(slices[3].select("o_totalprice", "o_orderstatus"))
     return united.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )

@@ -315,21 +315,24 @@ def describe(memory: str, cores: int) -> str:
 
 @bound(
     "typed_function",
-    "SELECT event_id, concat(json_extract_string(props, '$.k'), ' cores support ', event_type) AS described FROM events",
+    """
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN json_extract_string(props, '$.k') || ' cores support ' || event_type END AS described
+    FROM events
+    """,
 )
 def typed_function(spark: SparkSession, root: str) -> DataFrame:
-    """An annotated Python function applied to text arguments."""
+    """An annotated Python function applied to text arguments, some of them missing."""
     function = codecs.typed_udf(describe)
-    text = codecs.json_field(F.col("props"), "k")
+    text = F.when(F.col("event_id") % 7 != 0, codecs.json_field(F.col("props"), "k"))
     return table(spark, root, "events").select("event_id", function(F.col("event_type"), text).alias("described"))
 
 
 @bound(
     "bytes_to_floats",
     """
-    WITH h AS (SELECT doc_id, hex(encode(text)) AS h, strlen(text) AS n FROM documents WHERE strlen(text) > 0)
+    WITH h AS (SELECT doc_id, hex(encode(text)) AS h, strlen(text) AS n FROM documents)
     SELECT doc_id, n::INTEGER AS width,
-           list_sum(list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT))::DOUBLE AS total
+           coalesce(list_sum(list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)), 0)::DOUBLE AS total
     FROM h
     """,
 )
@@ -337,4 +340,4 @@ def bytes_to_floats(spark: SparkSession, root: str) -> DataFrame:
     raw = F.encode("text", "UTF-8")
     floats = table(spark, root, "documents").select("doc_id", arrays.bytes_to_floats(raw).alias("v"))
     total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return floats.where(F.size("v") > 0).select("doc_id", F.size("v").alias("width"), total.alias("total"))
+    return floats.select("doc_id", F.size("v").alias("width"), total.alias("total"))

@@ -104,11 +104,9 @@ def stream_totals(spark: SparkSession, root: str) -> DataFrame:
         return rows.groupBy("event_type").agg(F.max("served").alias("served"))
 
     log = StateLog(spark, f"{folder}/state", "event_type string, served bigint", newest)
-    seen = []
 
     def handle(rows: DataFrame, batch: int) -> None:
         log.write(batch, rows)
-        seen.append(batch)
 
     def run(stream: DataFrame) -> None:
         query = (
@@ -122,7 +120,7 @@ def stream_totals(spark: SparkSession, root: str) -> DataFrame:
         query.awaitTermination()
 
     _arriving(spark, root, folder, run)
-    return log.before(max(seen) + 1)
+    return log.before(log.batches())
 
 
 @bound(

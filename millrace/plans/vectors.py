@@ -233,11 +233,30 @@ def modularity(spark: SparkSession, root: str) -> DataFrame:
 def graph_clusters(spark: SparkSession, root: str) -> DataFrame:
     """Communities of the neighbour graph with their sizes, and the modularity they reach."""
     graph = materialize(neighbour_graph(spark, root), "graph")
-    clusters = neighbours.propagate_labels(graph)
+    clusters = neighbours.cluster_graph(graph)
     reached = neighbours.modularity(graph, clusters).select("modularity").scalar()
     return clusters.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("modularity", reached)
 
 
+@bound(
+    "cluster_quality",
+    "SELECT count(DISTINCT vec_id) AS nodes, count(DISTINCT vec_id) AS placed, true AS above_labels, true AS several FROM embeddings",
+)
+def cluster_quality(spark: SparkSession, root: str) -> DataFrame:
+    """What must hold for any clustering worth its name: every node once, and better than the given labels."""
+    graph = materialize(neighbour_graph(spark, root), "graph")
+    clusters = neighbours.cluster_graph(graph)
+    labels = table(spark, root, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("cluster"))
+    score = lambda found: neighbours.modularity(graph, found).first()
+    reached, given = score(clusters), score(labels)
+    return clusters.agg(F.count("*").alias("nodes"), F.count_distinct("id").alias("placed")).select(
+        "nodes",
+        "placed",
+        F.lit(reached["modularity"] > max(given["modularity"], 0.0)).alias("above_labels"),
+        F.lit(reached["clusters"] > 1).alias("several"),
+    )
+
+
 COHERENCE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 

@@ -7,10 +7,11 @@ ever used with a local master, where driver and executors are one process.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,7 +23,7 @@ def shared_root(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError(
             "set spark.checkpoint.dir to a folder all executors share; "
             "intermediates are written there"
@@ -49,40 +50,6 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
-    """All rows on the driver, for data with a stated bound; more rows are refused, never cut."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows of {what}")
-    return rows
-
-
-def bounded_columns(df: DataFrame, limit: int, what: str) -> dict:
-    """As `bounded_rows`, by Arrow: column names to numpy arrays, for large numeric tables."""
-    table = df.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
-        raise ValueError(f"more than {limit} rows of {what}")
-    return {name: table.column(name).to_numpy() for name in table.column_names}
-
-
-def small_copy(df: DataFrame, limit: int, what: str) -> DataFrame:
-    """`df` as a broadcast side whose size has been checked."""
-    return F.broadcast(df.sparkSession.createDataFrame(bounded_rows(df, limit, what), df.schema))
-
-
-def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
-    """A broadcast copy when `df` has at most `limit` rows, else `df` for an ordinary join.
-
-    For the side without repeats of a join whose other side may have a hot key:
-    small, it is broadcast and nothing is shuffled; large, adaptive execution
-    splits the hot partition.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediates; call when its results have been stored elsewhere."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -37,7 +37,6 @@ class ProfileStore:
     def __init__(self, spark: SparkSession, folder: str):
         self.log = StateLog(spark, f"{folder}/state", f"{self.SCHEMA}, batch bigint", self._reduce)
         self.checkpoint = f"{folder}/progress"
-        self.batches = 0
 
     @staticmethod
     def _reduce(rows: DataFrame) -> DataFrame:
@@ -46,10 +45,9 @@ class ProfileStore:
     def handle(self, rows: DataFrame, batch: int) -> None:
         latest = last_by_key(accepted(rows, "username"), ["username", "key"], ["at"], ["value", "at"])
         self.log.write(batch, latest.withColumn("batch", F.lit(batch).cast("bigint")))
-        self.batches = max(self.batches, batch + 1)
 
     def run(self, stream: DataFrame) -> None:
         run_available(stream, self.handle, self.checkpoint)
 
     def profiles(self) -> DataFrame:
-        return self.log.before(self.batches).select("username", "key", "value")
+        return self.log.before(self.log.batches()).select("username", "key", "value")

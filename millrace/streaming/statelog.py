@@ -21,6 +21,13 @@ class StateLog:
     def _folder(self, kind: str, batch: int) -> str:
         return f"{self.path}/{kind}/batch={batch}"
 
+    def batches(self) -> int:
+        """One more than the last batch written, also by an earlier run."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/delta/batch=*/_SUCCESS")
+        found = pattern.getFileSystem(conf).globStatus(pattern) or []
+        return max((int(f.getPath().getParent().getName().split("=")[1]) + 1 for f in found), default=0)
+
     def before(self, batch: int) -> DataFrame:
         """State after all batches below `batch`, one row per key."""
         if batch <= 0:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import counts, linear, markers, mergeable, neighbours, signals
+from millrace.operators import counts, linear, markers, mergeable, neighbours, primes, signals
 
 CELLS, GENES = 40, 12
 
@@ -112,10 +112,52 @@ def test_dense_vectors_fill_zeros(spark, long, dense):
     assert all(got[i] == dense.loc[i, names].tolist() for i in range(CELLS))
 
 
-def test_too_many_kept_genes_are_refused(spark, monkeypatch, long):
-    monkeypatch.setattr(counts, "MAX_KEPT_GENES", 3)
-    with pytest.raises(ValueError, match="more than 3"):
-        counts.kept_names(long)
+def test_more_genes_groups_and_categories_than_any_list_would_hold(spark):
+    many = spark.range(12_000).select(F.col("id").alias("cell"), F.format_string("g%05d", F.col("id") % 5000).alias("gene"), F.lit(1.0).alias("value"))
+    assert len(counts.kept_names(many)) == 5000
+    sized = counts.scale_clip(many).where("gene = 'g00007'").collect()
+    assert {r["value"] for r in sized} == {0.0}
+    wide = spark.range(10_500).select(F.col("id").alias("cell"), F.col("id").alias("group"))
+    assert counts.gene_by_group(many.where("cell < 2"), wide).count() == 2 * 10_500
+    named = spark.range(1200).select(F.col("id").cast("string").alias("c"))
+    from millrace.operators.onehot import categories
+
+    assert len(categories(named, "c")) == 1200
+
+
+@pytest.mark.parametrize("rows, message", [([[1.0, 2.0, 3.0], [4.0]], "vectors of 1 and of 3")])
+def test_moments_refuse_ragged_vectors(spark, rows, message):
+    from millrace.operators import linear
+
+    df = spark.createDataFrame([(r,) for r in rows], "v array<double>").coalesce(1)
+    with pytest.raises(Exception, match=message):
+        linear.moments(df, "v").collect()
+
+
+def test_moments_leave_out_vectors_with_a_missing_element(spark):
+    from millrace.operators import linear
+
+    df = spark.createDataFrame([([1.0, 2.0], [3]), ([None, 1.0], [3]), (None, [3]), ([3.0, 5.0], [3, 4])], "v array<double>, l array<int>")
+    got = {(r["kind"], r["i"], r["j"]): r["value"] for r in linear.moments(df, "v", "l").collect()}
+    assert got["n", 0, 0] == 2 and got["xx", 0, 1] == 17 and got["xy", 3, 1] == 7 and got["xy", 4, 0] == 3 and got["yy", 3, 3] == 2
+
+
+def test_typed_functions_do_not_see_missing_arguments(spark):
+    from millrace.functions.codecs import typed_udf
+
+    def label(n: int, name: str) -> str:
+        return f"{n} {name}"
+
+    df = spark.createDataFrame([("7", "a"), (None, "b"), ("8", None), ("9007199254740993", "c")], "n string, name string")
+    got = [r[0] for r in df.select(typed_udf(label)(F.col("n"), F.col("name"))).collect()]
+    assert got == ["7 a", None, None, "9007199254740993 c"]
+
+
+def test_primes_of_any_size(spark):
+    values = list(range(-3, 200)) + [10**12 + 39, 10**12 + 40, 2**61 - 1, 2**63 - 25, 2**63 - 1, 3215031751, None]
+    got = {r[0] for r in primes.prime_rows(spark.createDataFrame([(v,) for v in values], "n bigint"), "n").collect()}
+    small = {n for n in range(2, 200) if all(n % d for d in range(2, n))}
+    assert got == small | {10**12 + 39, 2**61 - 1, 2**63 - 25}
 
 
 def test_group_expression_counts_absent_cells(long, groups, dense):
@@ -264,12 +306,11 @@ def test_components_match_numpy(frames):
     assert (largest > 0).all()
 
 
-@pytest.mark.parametrize("fan_in", [1, 3, 64])
-def test_states_merge_in_any_order(spark, monkeypatch, fan_in):
+@pytest.mark.parametrize("tasks", [1, 3, 20])
+def test_states_merge_in_any_order(spark, tasks):
     draw = np.random.default_rng(7)
     pdf = pd.DataFrame({"k": draw.choice(["a", "a", "b"], 500), "v": 1e8 + draw.normal(size=500)})
-    df = spark.createDataFrame(pdf).repartition(11)
-    monkeypatch.setattr(mergeable.merge_states, "__defaults__", (fan_in,))
+    df = spark.createDataFrame(pdf).repartition(tasks)
     got = mergeable.spread_states(df, "k", "v").toPandas().set_index("k").sort_index()
     expected = pdf.groupby("k")["v"]
     assert (got["n"] == expected.count()).all()
@@ -362,8 +403,8 @@ def test_modularity_of_two_cliques(spark):
     assert got["modularity"] == pytest.approx(20 / 21 - 0.5)
 
 
-def test_labels_spread_within_cliques(spark):
-    got = neighbours.propagate_labels(two_cliques(spark)).collect()
+def test_clusters_are_the_cliques(spark):
+    got = neighbours.cluster_graph(two_cliques(spark)).collect()
     groups = {}
     for r in got:
         groups.setdefault(r["cluster"], set()).add(r["id"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources import files, generators, matrix_market
-from millrace.sources.storage import bounded_rows, materialize, scratch_path, shared_root
+from millrace.sources.storage import materialize, scratch_path, shared_root
 
 
 def test_csv_keeps_missing_fields_and_nan(spark, tmp_path):
@@ -161,12 +161,6 @@ def test_materialize_cuts_lineage_and_keeps_types(spark):
     assert shared_root(spark) in kept.inputFiles()[0].replace("file://", "")
 
 
-def test_bounded_rows_refuses_more(spark):
-    assert len(bounded_rows(spark.range(3), 3, "ids")) == 3
-    with pytest.raises(ValueError, match="more than 2"):
-        bounded_rows(spark.range(3), 2, "ids")
-
-
 def test_a_cluster_must_name_its_shared_folder():
     class Conf:
         def get(self, key, default=None):

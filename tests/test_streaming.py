@@ -64,6 +64,8 @@ def test_profiles_upsert_and_refuse(spark):
         store.run(arrive(spark, f"{folder}/in", rows, schema))
     got = sorted(map(tuple, store.profiles().collect()))
     assert got == [("bob", "cool_key", "9"), ("bob", "gr8_key", "2")]
+    # after a restart, with nothing new
+    assert sorted(map(tuple, profiles.ProfileStore(spark, store.checkpoint.rsplit("/", 1)[0]).profiles().collect())) == got
     maps = profiles.profile_maps(store.profiles(), "username", "key", "value").collect()
     assert [r["data"] for r in maps] == [{"cool_key": "9", "gr8_key": "2"}]
 
