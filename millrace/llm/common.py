@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,15 +63,25 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized(batches, rows):
             yield work(batch)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task; idle workers wait for the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let the driver notice which shuffle files nothing needs any more.
 
     Their cleaning follows the driver's garbage collection, which a job of few
     large steps may not reach for half an hour.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of what Python held, the second collects it
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

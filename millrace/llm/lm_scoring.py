@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import recurrent
-from millrace.llm.common import map_batches, sized, smaller_batches
+from millrace.llm.common import give_back, map_batches, sized, smaller_batches
 from millrace.sources.storage import materialize
 
 FOLDS, HELD = 5, 1
@@ -128,6 +128,7 @@ def _train_task(words: Lexicon, start: np.ndarray):
             arrays = [pa.array([task] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32())]
             arrays += [pa.array([trainer.tokens] * SLICES, pa.int64()), pa.array(parts, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["task", "slice", "tokens", "mass"])
+        give_back()
 
     return run
 

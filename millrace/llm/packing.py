@@ -24,7 +24,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import smaller_batches, texts_of
+from millrace.llm.common import give_back, smaller_batches, texts_of
 
 CONTEXTS = (1024, 512, 256, 128)
 END = 0
@@ -186,6 +186,7 @@ def _packer(path: str, contexts: tuple[int, ...], with_ids: bool):
                 yield rows(windows)
         if left:
             yield rows([(contexts[0], left)])
+        give_back()
 
     return run
 

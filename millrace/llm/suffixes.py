@@ -37,7 +37,7 @@ from millrace.sources.storage import materialize
 LENGTH = 50
 TUPLE = 20  # bytes of a sampled tuple
 REACH = (LENGTH - TUPLE) // 2  # a shared string reaches so far from its sample on one side
-BUFFER = 1 << 18  # bytes hashed at once
+BUFFER = 1 << 15  # bytes hashed at once, so that all hashes of a buffer stay in a core's cache
 PARTS = 2  # the samples are sorted one part of their names after the other
 SIG_BITS = 20  # of the text's hash, which tell apart rows that share an id
 REMOVED, TIED, OPEN, EDGE = range(4)
@@ -47,6 +47,7 @@ _PLACE = np.uint64((1 << 24) - 1)
 _BYTES = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 LAYOUT = "k1 long, k2 long, id long, place long"
+NAMED = "name long not null, id long not null, place long not null"
 
 
 def _power(k: int) -> np.uint64:
@@ -421,16 +422,19 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     by = ["id", "sig"]
     columns = ["doc_id", "id", "packed", "places"]
     # the three joins below read the same exchange of the texts
-    texts = map_batches(texts, _compress_batch, "doc_id long, id long, sig long, packed binary").repartition(*by)
-    longer = map_batches(texts.join(_per_document(tied, "places"), by).select(*columns), _longer_batch, "name long, id long, place long", 512)
-    # named rows are dealt once; what a name has in common is looked up where its rows are
+    texts = map_batches(texts, _compress_batch, "doc_id long, id long not null, sig long not null, packed binary").repartition(*by)
+    longer = map_batches(texts.join(_per_document(tied, "places"), by).select(*columns), _longer_batch, NAMED, 512)
+    # Named rows are dealt once; what a name has in common is looked up where its
+    # rows are.  The aggregates take whole rows, so that they read the same exchange.
+    row = F.struct("id", "place")
     longer = longer.repartition("name")
-    shared = longer.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    shared = longer.groupBy("name").agg(F.min(row).alias("low"), F.max(row).alias("high")).where("low.id < high.id")
     still = longer.join(shared.select("name").hint("shuffle_hash"), "name", "left_semi").select("id", "place").distinct()
-    strings = map_batches(texts.join(_per_document(still, "places"), by).select(*columns), _string_batch, "name long, id long, place long", 512)
+    strings = map_batches(texts.join(_per_document(still, "places"), by).select(*columns), _string_batch, NAMED, 512)
     strings = strings.repartition("name")
-    firsts = strings.groupBy("name").agg(F.min("id").alias("holder"), F.max("id").alias("high")).where("holder < high")
-    lost = strings.join(firsts.select("name", "holder").hint("shuffle_hash"), "name").where("id > holder").select("id", "place")
+    firsts = strings.groupBy("name").agg(F.min(row).alias("low"), F.max(row).alias("high")).where("low.id < high.id")
+    firsts = firsts.select("name", F.col("low.id").alias("holder")).hint("shuffle_hash")
+    lost = strings.join(firsts, "name").where("id > holder").select("id", "place")
     places = _per_document(removed.union(lost), "places")
     return map_batches(
         texts.join(places, by, "left").select(*columns),
