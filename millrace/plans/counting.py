@@ -241,6 +241,25 @@ def qc_quantiles(spark: SparkSession, root: str) -> DataFrame:
     return counts.exact_quantiles(quality, ["group"], "total", [0.25, 0.5, 0.75])
 
 
+@bound(
+    "gene_quantiles",
+    f"""
+    WITH {MATRIX_SQL}, {GROUPS_SQL},
+    r AS (SELECT gene, "group", value, row_number() OVER (PARTITION BY gene, "group" ORDER BY value) AS i,
+                 count(*) OVER (PARTITION BY gene, "group") AS n FROM m JOIN g USING (cell))
+    SELECT gene, "group", min(value) FILTER (WHERE i >= ceil(0.25 * n)) AS q25,
+           min(value) FILTER (WHERE i >= ceil(0.5 * n)) AS q50,
+           min(value) FILTER (WHERE i >= ceil(0.75 * n)) AS q75
+    FROM r GROUP BY 1, 2
+    """,
+)
+def gene_quantiles(spark: SparkSession, root: str) -> DataFrame:
+    """Quartiles of the counts present, per gene and group."""
+    matrix = stored_matrix(spark, root)
+    grouped = matrix.join(cell_groups(spark, root, matrix), "cell")
+    return counts.exact_quantiles(grouped, ["gene", "group"], "value", [0.25, 0.5, 0.75])
+
+
 RANK_SQL = """
     dense AS (
       SELECT gn.gene, g.cell, g."group", coalesce(x.value, 0) AS value

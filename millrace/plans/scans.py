@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.dates import month_text
+from millrace.plans import flows
 from millrace.plans.counting import MATRIX_SQL, stored_matrix
 from millrace.plans.registry import bound, fixed, fixed_sql
 from millrace.sources import files, generators, matrix_market
@@ -20,6 +21,17 @@ def scan_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return files.read_csv(spark, path, schema)
 
 
+def write_series(spark: SparkSession, root: str, path: str) -> None:
+    """Orders as JSON lines of nested pairs; those of one status have no series_id."""
+    pair = F.array(month_text(F.col("o_orderdate")), F.col("o_totalprice").cast("string"))
+    status = F.col("o_orderstatus")
+    table(spark, root, "orders").select(
+        F.when(status != "F", F.concat(F.lit("S."), status)).alias("series_id"),
+        F.col("o_orderpriority").alias("name"),
+        F.array(pair).alias("data"),
+    ).write.json(path)
+
+
 @bound(
     "scan_jsonl",
     """
@@ -31,13 +43,7 @@ def scan_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 def scan_jsonl(spark: SparkSession, root: str) -> DataFrame:
     """Records with nested pairs; some lack the series_id key altogether."""
     path = scratch_path(spark, "jsonl")
-    pair = F.array(month_text(F.col("o_orderdate")), F.col("o_totalprice").cast("string"))
-    status = F.col("o_orderstatus")
-    table(spark, root, "orders").select(
-        F.when(status != "F", F.concat(F.lit("S."), status)).alias("series_id"),
-        F.col("o_orderpriority").alias("name"),
-        F.array(pair).alias("data"),
-    ).write.json(path)
+    write_series(spark, root, path)
     records = files.read_json_lines(
         spark, path, "series_id string, name string, data array<array<string>>"
     )
@@ -47,7 +53,7 @@ def scan_jsonl(spark: SparkSession, root: str) -> DataFrame:
 @bound(
     "scan_dir_filename",
     """
-    SELECT 'segment=' || c_mktsegment AS folder, count(*) AS n, round(sum(c_acctbal), 2) AS total
+    SELECT 'segment=' || c_mktsegment AS folder, count(*) AS n, round(sum(c_acctbal), 2) AS total, true AS named
     FROM customer GROUP BY 1
     """,
 )
@@ -57,10 +63,44 @@ def scan_dir_filename(spark: SparkSession, root: str) -> DataFrame:
     files.write_by_month(customers, path, "segment", "parquet")
     read = spark.read.schema("c_custkey bigint, c_acctbal double, segment string").parquet(path)
     return files.with_file_name(read).groupBy("folder").agg(
-        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")
+        F.count("*").alias("n"),
+        F.round(F.sum("c_acctbal"), 2).alias("total"),
+        F.bool_and(F.col("file_name").rlike(r"^part-[^/]+\.parquet$") & F.endswith("file_path", "file_name")).alias("named"),
     )
 
 
+@bound(
+    "binary_labels",
+    "SELECT 'lang=' || lang AS label, sum(strlen(text) + 1)::BIGINT AS bytes FROM documents GROUP BY 1",
+)
+def binary_labels(spark: SparkSession, root: str) -> DataFrame:
+    """Files of folder/label/file as bytes, labelled by their folder."""
+    path = scratch_path(spark, "clips")
+    table(spark, root, "documents").select("text", "lang").write.partitionBy("lang").text(path)
+    read = files.read_labelled_binaries(spark, path, "part-*")
+    # as many bytes as the listing says
+    return read.groupBy("label").agg(F.sum(F.octet_length("content")).cast("bigint").alias("bytes"))
+
+
+@bound(
+    "series_months",
+    f"""
+    WITH s AS (
+      SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'part' END AS dataset, 'S.' || o_orderstatus AS series_id,
+             o_orderpriority AS name, month(o_orderdate) AS m, o_totalprice AS v
+      FROM orders WHERE o_orderstatus <> 'F')
+    SELECT dataset, series_id, name, {', '.join(f"{fixed_sql(f'avg(v) FILTER (WHERE m = {m})', 3)} AS m{m}" for m in range(1, 13))}
+    FROM s GROUP BY 1, 2, 3
+    """,
+)
+def series_months(spark: SparkSession, root: str) -> DataFrame:
+    """The series path whole: JSON lines, a pattern on an id that may be missing, pairs, monthly means, pivot."""
+    path = scratch_path(spark, "series")
+    write_series(spark, root, path)
+    wide = flows.weather(spark, path, {"open": r"^S\.O$", "part": r"^S\.P"}, digits=8)
+    return wide.withColumns({f"m{m}": fixed(f"m{m}", 3) for m in range(1, 13)})
+
+
 @bound(
     "partitioned_roundtrip",
     """

@@ -188,6 +188,24 @@ def auc_exact(spark: SparkSession, root: str) -> DataFrame:
     return area.withColumn("auc", fixed("auc", 6))
 
 
+@bound(
+    "auc_hard",
+    f"""
+    WITH {SCORED_SQL},
+    t AS (
+      SELECT count(*) FILTER (WHERE y_true = 1) AS p, count(*) FILTER (WHERE y_true = 0) AS n,
+             count(*) FILTER (WHERE y_true = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y_true = 0 AND pred = 1) AS fp
+      FROM scored)
+    SELECT p AS positives, n AS negatives, {fixed_sql('(1 + tp::DOUBLE / p - fp::DOUBLE / n) / 2', 6)} AS auc FROM t
+    """,
+)
+def auc_hard(spark: SparkSession, root: str) -> DataFrame:
+    """The area of the predictions themselves, beside that of the probabilities."""
+    hard = scored_documents(spark, root).withColumn("pred", F.col("pred").cast("double"))
+    area = evaluation.area_under_curve(hard, "y_true", "pred")
+    return area.withColumn("auc", fixed("auc", 6))
+
+
 @bound(
     "roc_points",
     f"""
