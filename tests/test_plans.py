@@ -14,7 +14,7 @@ from tests.conftest import SMALL
 
 QUERIES = contract.queries()
 # Models are fitted while these are built, which `test_oracles` does once already.
-SKIPPED = {k for k in QUERIES if k.startswith("churn_")} | {"graph_clusters"}
+SKIPPED = {k for k in QUERIES if k.startswith("churn_")} | {"graph_clusters", "cluster_quality"}
 
 
 def plan_of(df):
