@@ -62,32 +62,32 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def gram_hashes(buffer: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """Polynomial hash of every string of the given sizes, by doubling; to be mixed before use."""
+def power_hashes(buffer: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+    """Polynomial hashes of every string whose length is a power of two, by doubling."""
     powers, k = {1: _BYTES[buffer]}, 1
-    while 2 * k <= max(sizes) and len(powers[k]) > k:
+    while 2 * k <= longest and len(powers[k]) > k:
         doubled = powers[k][:-k] * _power(k)
         doubled += powers[k][k:]
         powers[2 * k] = doubled
         k *= 2
-    found = {}
-    for size in sizes:
-        n = len(buffer) - size + 1
-        if n <= 0:
-            found[size] = np.zeros(0, np.uint64)
-            continue
-        value, at = None, 0
-        for power in sorted(powers, reverse=True):
-            if size & power:
-                part = powers[power][at : at + n]
-                if value is None:
-                    value = part.copy()
-                else:
-                    value *= _power(power)
-                    value += part
-                at += power
-        found[size] = value
-    return found
+    return powers
+
+
+def gram_hashes(powers: dict[int, np.ndarray], size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Polynomial hash of the strings of one size, all or those that begin at `at`; to be mixed before use."""
+    n = len(powers[1]) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    value, done = None, 0
+    for power in sorted(powers, reverse=True):
+        if size & power:
+            part = powers[power][done : done + n] if at is None else powers[power][at + done]
+            value = part.copy() if value is None else value
+            if done:
+                value *= _power(power)
+                value += part
+            done += power
+    return value
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -104,13 +104,14 @@ def phrases(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     Per phrase: its piece, the first start, how many starts, the sample's offset
     from the first start, the sample's name and the phrase's name.
     """
-    hashes = gram_hashes(buffer, (TUPLE, LENGTH))
-    whole, n = hashes[LENGTH], len(buffer) - LENGTH + 1
+    powers, n = power_hashes(buffer, LENGTH), len(buffer) - LENGTH + 1
     if n <= 0:
         return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
-    names = _mixed(hashes[TUPLE])
-    keyed = names & ~_PLACE
-    keyed |= np.arange(len(names), dtype=np.uint64)
+    tuples = gram_hashes(powers, TUPLE)
+    # the upper bits of a product depend on all bits of the hash
+    keyed = tuples * _B
+    keyed &= ~_PLACE
+    keyed |= np.arange(len(keyed), dtype=np.uint64)
     sample = (_sliding_least(keyed, _WINDOWS) & _PLACE).astype(np.int32)
     fresh = np.ones(n, bool)
     fresh[1:] = sample[1:] != sample[:-1]
@@ -124,9 +125,10 @@ def phrases(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     kept = first < valid[piece]
     first, last, piece = first[kept], last[kept], piece[kept]
     at = sample[first].astype(np.int64)
-    phrase = whole[first] * _B
-    phrase += whole[last] + (last - first).astype(np.uint64)
-    return piece, first, last - first + 1, at - first, names[at], _mixed(phrase)
+    # a phrase is covered by its first and its last string
+    phrase = gram_hashes(powers, LENGTH, first) * _B
+    phrase += gram_hashes(powers, LENGTH, last) + (last - first).astype(np.uint64)
+    return piece, first, last - first + 1, at - first, _mixed(tuples[at]), _mixed(phrase)
 
 
 def _pieces(texts: list[bytes]):
@@ -339,9 +341,9 @@ def _string_hashes(text: bytes, starts: np.ndarray, counts: np.ndarray, size: in
             continue
         begun = np.cumsum(lengths[some]) - lengths[some]
         inside = np.arange(int(lengths[some].sum())) - np.repeat(begun, lengths[some])
-        hashed = gram_hashes(buffer[np.repeat(starts[some], lengths[some]) + inside], (size,))[size]
-        wanted = inside < np.repeat(counts[some], lengths[some])
-        result.append(_mixed(hashed[wanted[: len(hashed)]]))
+        powers = power_hashes(buffer[np.repeat(starts[some], lengths[some]) + inside], size)
+        wanted = np.flatnonzero(inside < np.repeat(counts[some], lengths[some]))
+        result.append(_mixed(gram_hashes(powers, size, wanted)))
         done = some.stop
     return np.concatenate(result) if result else np.zeros(0, np.uint64)
 
@@ -429,7 +431,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row = F.struct("id", "place")
     longer = longer.repartition("name")
     shared = longer.groupBy("name").agg(F.min(row).alias("low"), F.max(row).alias("high")).where("low.id < high.id")
-    still = longer.join(shared.select("name").hint("shuffle_hash"), "name", "left_semi").select("id", "place").distinct()
+    # (an inner join on single names; a semi join would move below the exchange)
+    still = longer.join(shared.select("name").hint("shuffle_hash"), "name").select("id", "place").distinct()
     strings = map_batches(texts.join(_per_document(still, "places"), by).select(*columns), _string_batch, NAMED, 512)
     strings = strings.repartition("name")
     firsts = strings.groupBy("name").agg(F.min(row).alias("low"), F.max(row).alias("high")).where("low.id < high.id")
