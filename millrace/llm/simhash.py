@@ -84,7 +84,8 @@ def links(prints: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
     )
     crowded = shared.where("n > 2").select("signature").hint("shuffle_hash")
-    meeting = dealt.join(crowded, "signature", "left_semi").select("print", F.lit(None).cast("long").alias("other"))
+    # an inner join on single signatures; a semi join would move below the exchange
+    meeting = dealt.join(crowded, "signature").select("print", F.lit(None).cast("long").alias("other"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2
     met = shared.where((F.col("n") == 2) & near).select(F.col("a").alias("print"), F.col("b").alias("other"))
     met = materialize(met.union(meeting).distinct(), "meetings")
