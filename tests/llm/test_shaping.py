@@ -37,7 +37,7 @@ def plain_counts(text):
     return [len(found), sum(map(len, found)), sum(text.count(c) for c in "#*$%&|<>"), repeats, len(inside)]
 
 
-@settings(max_examples=150, deadline=None)
+@settings(deadline=None)
 @given(st.text(alphabet="ab é\n\t\x0b\x85#<|A", max_size=120))
 def test_counts_match_their_definition(text):
     assert quality.measure(text)[0] == plain_counts(text)
@@ -144,7 +144,7 @@ RANKS = public_tokenizers.path(packing.RANKS)
 REFERENCE = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@settings(max_examples=200, deadline=None)
+@settings(deadline=None)
 @given(st.text(max_size=80) | st.text(alphabet="ab '’\n\t 1é|<endofx>", max_size=80))
 def test_tokens_match_the_tokenizer_file(text):
     assert packing.tokens(text, RANKS).tolist() == REFERENCE.encode(text, add_special_tokens=False).ids + [0]
