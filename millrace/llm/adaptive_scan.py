@@ -9,8 +9,10 @@ very unlikely to beat the query's threshold.  Candidates that survive all blocks
 get their exact inner product.
 
 Rotation, centroids and the number of probes come from a bounded sample, whose
-own best vectors give each query its threshold; every vector is in the index.  Large lists are cut into chunks on both
-sides, so no task holds more than a chunk of candidates and one of queries.
+own best vectors give each query its threshold; every vector is in the index.
+The scan alone answers: the sample's best vectors only fill up a query whose scan
+found fewer than k.  Large lists are cut into chunks on both sides, so no task
+holds more than a chunk of candidates and one of queries.
 """
 
 from __future__ import annotations
@@ -145,17 +147,13 @@ def scan(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarr
         yield own, ids[alive[chosen]] if chosen else ids[:0], scores[chosen] if chosen else scores[:0]
 
 
-def nearest(
+def scanned(
     candidates: DataFrame, queries: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
-    """`query_id`, `rank`, `vec_id`, `score` of the `k` nearest found for every row where `queries` holds.
+) -> tuple[DataFrame, DataFrame] | None:
+    """What the scan finds, as `FOUND`, and the queries with their best of the sample; none without usable vectors.
 
-    Nearness is the inner product of the original vectors in double precision,
-    ties to the smaller id; the query's own id is no candidate.  Vectors that
-    are null, zero, of another length than most, or hold a null or non-finite
-    component take no part, nor do rows without an id.  Repeated ids count once,
-    with the best score.  With `k` candidates or fewer all are returned, since the
-    sample then holds them.
+    A pair occurs once, with its best score; a query has the best of every list
+    it probes, more than `k` in all.
     """
     spark = candidates.sparkSession
     vector = F.col(vector_col).cast("array<double>")
@@ -167,7 +165,7 @@ def nearest(
     )
     common = sizes.orderBy(F.desc("n"), F.desc("d")).first()
     if common is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return None
     rows = rows.where(F.size("vector") == common.d)
     picked = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(SAMPLE).toArrow()
     ids, first = np.unique(picked.column("id").to_numpy(), return_index=True)
@@ -232,10 +230,34 @@ def nearest(
 
     keys = ["list", "c", "q"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, FOUND)
-    # the sample's best are candidates that the query has met already
-    met = asked.select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("names", "scores")).alias("m"))
-    found = found.union(met.select("query_id", "m.names", "m.scores"))
     best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return best, asked
+
+
+def nearest(
+    candidates: DataFrame, queries: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """`query_id`, `rank`, `vec_id`, `score` of the `k` nearest found for every row where `queries` holds.
+
+    Nearness is the inner product of the original vectors in double precision,
+    ties to the smaller id; the query's own id is no candidate.  Vectors that
+    are null, zero, of another length than most, or hold a null or non-finite
+    component take no part, nor do rows without an id.  Repeated ids count once,
+    with the best score.  A query whose scan finds fewer than `k` is filled up from the
+    sample, so with `k` candidates or fewer all are returned.
+    """
+    done = scanned(candidates, queries, k, id_col, vector_col)
+    if done is None:
+        return candidates.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    best, asked = done
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    top = materialize(ranked.select("query_id", "rank", "vec_id", "score"), "scanned")
+    full = top.where(F.col("rank") == k).select("query_id")
+    # the others take the sample's best as candidates too
+    met = asked.select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("names", "scores")).alias("m"))
+    met = met.select("query_id", F.col("m.names").alias("vec_id"), F.col("m.scores").alias("score"))
+    short = top.select("query_id", "vec_id", "score").union(met).join(full, "query_id", "left_anti")
+    short = short.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    filled = short.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return top.join(full, "query_id", "left_semi").union(filled.select("query_id", "rank", "vec_id", "score"))

@@ -197,6 +197,39 @@ def test_vectors_reach_the_recall_and_exact_scores(spark):
     assert hits / total >= 0.95
 
 
+def test_the_scan_alone_reaches_the_recall_with_far_more_vectors_than_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(adaptive_scan, "SAMPLE", 256)
+    rows = vectors(3400)
+    want = plain_nearest(rows, 20)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    best, asked = adaptive_scan.scanned(frame, F.col("vec_id") % 20 == 0, 20)
+    found = {}
+    for r in best.collect():
+        found.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    assert asked.count() == len(want)
+    hits = sum(len(set(ids) & {i for _, i in sorted(found.get(q, []))[:20]}) for q, ids in want.items())
+    assert hits / sum(map(len, want.values())) >= 0.95
+
+
+def test_the_sample_fills_only_queries_whose_scan_finds_too_few(spark, monkeypatch):
+    monkeypatch.setattr(adaptive_scan, "SAMPLE", 256)
+    plain = adaptive_scan.Index.sample_best
+
+    def marked(self, ids, queries):
+        names, scores = plain(self, ids, queries)
+        return [n + 1_000_000 for n in names], scores
+
+    rows = vectors(3400)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    monkeypatch.setattr(adaptive_scan.Index, "sample_best", marked)
+    best, _ = adaptive_scan.scanned(frame, F.col("vec_id") % 20 == 0, 20)
+    enough = {r.query_id for r in best.groupBy("query_id").count().where("count >= 20").collect()}
+    assert len(enough) > 100
+    found = search(spark, rows)
+    assert all(r.vec_id < 1_000_000 for q in enough for r in found[q])
+    assert all(len(rs) == 20 for rs in found.values())
+
+
 def test_few_vectors_are_all_returned(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 1.0]), (4, [1.0, 1.0]), (3, [1.0, 1.0])]
     found = search(spark, rows)
