@@ -3,12 +3,13 @@
 Word counts over all training documents give the base score and the words a
 recurrent model predicts one by one; all other words share one symbol, whose
 mass is divided by the same counts.  The recurrent model is trained where the
-data lies: each task trains on its share of the segments of its training
-documents, and the tasks' parameters are averaged.
+data lies: each task trains on all segments of its training documents, and the
+tasks' parameters are averaged.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -25,10 +26,10 @@ from millrace.sources.storage import materialize
 FOLDS, HELD = 5, 1
 KNOWN = 1 << 18  # frequent words that every task holds; the others are joined
 SEGMENT = 64  # tokens of a training segment
-SHARE = 8  # one of so many segments of every training document is trained on
+TRAIN_LANES = 512  # segments side by side
 TEXTS = 4096  # texts that are trained on, or scored, side by side
 SLICES = 32  # of the parameter vector, when it is averaged
-VOCABULARY = recurrent.CLASSES * recurrent.MEMBERS - 2
+SIDE = 256  # at most so many classes of so many words are predicted one by one
 
 
 def held_out(doc_id) -> bool:
@@ -62,16 +63,19 @@ class Lexicon:
     def __init__(self, words: list[str], counts: list[int], ends: int, tokens: int, distinct: int):
         self.words, self.counts = pa.array(words, pa.string()), np.array(counts, np.int64)
         self.ends, self.tokens, self.distinct = ends, tokens, distinct
-        own = self.counts[:VOCABULARY].sum()
+        # classes and members just enough for the frequent words and two symbols
+        side = min(SIDE, max(2, math.ceil(math.sqrt(len(words) + 2))))
+        self.symbols, self.vocabulary = side * side, side * side - 2
+        own = self.counts[: self.vocabulary].sum()
         # words outside the model's vocabulary, of which an unseen one is one more
         self.rare_tokens = tokens - ends - int(own)
-        self.rare_total = self.rare_tokens + 0.5 * (distinct - min(len(words), VOCABULARY))
+        self.rare_total = self.rare_tokens + 0.5 * (distinct - min(len(words), self.vocabulary))
         self.total = tokens + 0.5 * (distinct + 1)
 
     def symbol_counts(self) -> np.ndarray:
-        shares = np.zeros(VOCABULARY + 2)
+        shares = np.zeros(self.symbols)
         shares[[recurrent.END, recurrent.RARE]] = self.ends, self.rare_tokens
-        top = self.counts[:VOCABULARY]
+        top = self.counts[: self.vocabulary]
         shares[2 : 2 + len(top)] = top
         return shares
 
@@ -80,9 +84,9 @@ class Lexicon:
         return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
 
 
-def symbols(places: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+def symbols(places: np.ndarray, ends: np.ndarray, vocabulary: int) -> list[np.ndarray]:
     """Each text's symbols with its end."""
-    coded = np.where((places >= 0) & (places < VOCABULARY), places + 2, recurrent.RARE)
+    coded = np.where((places >= 0) & (places < vocabulary), places + 2, recurrent.RARE)
     return [np.append(part, recurrent.END).astype(np.int32) for part in np.split(coded, ends[:-1])] if len(ends) else []
 
 
@@ -112,21 +116,19 @@ def lexicon(counts: DataFrame) -> Lexicon:
 
 def _train_task(words: Lexicon, start: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = recurrent.Trainer(recurrent.unflat(start))
+        trainer = recurrent.Trainer(recurrent.unflat(start, words.symbols))
         for batch in sized(batches, TEXTS):
             ids = batch.column("doc_id").to_pylist()
             train = [not held_out(i) for i in ids]
             found, ends = words_of(batch.column("text").filter(pa.array(train)))
-            chosen = []
-            for i, text in zip((i for i, t in zip(ids, train) if t), symbols(words.places(found), ends)):
-                turn = zlib.crc32(f"segment {i}".encode())
-                chosen += [text[s : s + SEGMENT] for k, s in enumerate(range(0, len(text), SEGMENT)) if (k + turn) % SHARE == 0]
-            trainer.train(chosen)
+            texts = symbols(words.places(found), ends, words.vocabulary)
+            trainer.train([text[at : at + SEGMENT] for text in texts for at in range(0, len(text), SEGMENT)], TRAIN_LANES)
         if trainer.tokens:
-            parts = np.array_split(recurrent.flat(trainer.params).astype(np.float64) * trainer.tokens, SLICES)
+            # what no window has changed is zero, and small when shuffled
+            parts = np.array_split((recurrent.flat(trainer.params) - start) * np.float32(trainer.tokens), SLICES)
             task = TaskContext.get().partitionId()
             arrays = [pa.array([task] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32())]
-            arrays += [pa.array([trainer.tokens] * SLICES, pa.int64()), pa.array(parts, pa.list_(pa.float64()))]
+            arrays += [pa.array([trainer.tokens] * SLICES, pa.int64()), pa.array(parts, pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays(arrays, ["task", "slice", "tokens", "mass"])
         give_back()
 
@@ -135,12 +137,13 @@ def _train_task(words: Lexicon, start: np.ndarray):
 
 def _add_slices(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("task")
-    total = np.sum([np.array(m) for m in rows.column("mass").to_pylist()], axis=0)
+    masses = rows.column("mass").combine_chunks()
+    total = masses.flatten().to_numpy().reshape(len(masses), -1).sum(axis=0, dtype=np.float64)
     arrays = [
         pa.array([rows.column("task")[0].as_py()], pa.int32()),
         pa.array([rows.column("slice")[0].as_py()], pa.int32()),
         pa.array([pc.sum(rows.column("tokens")).as_py()], pa.int64()),
-        pa.array([total], pa.list_(pa.float64())),
+        pa.array([total.astype(np.float32)], pa.list_(pa.float32())),
     ]
     return pa.table(arrays, ["task", "slice", "tokens", "mass"])
 
@@ -148,26 +151,27 @@ def _add_slices(rows: pa.Table) -> pa.Table:
 def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
     """Parameters averaged over the tasks, weighted by their tokens; the start if there are none."""
     start = recurrent.flat(recurrent.initial(words.symbol_counts()))
-    schema = "task int, slice int, tokens long, mass array<double>"
+    schema = "task int, slice int, tokens long, mass array<float>"
     smaller_batches(docs.sparkSession)
     parts = docs.mapInArrow(_train_task(words, start), schema)
     # two levels: as many first groups as the root of the number of tasks, with at most twice as many members
     some = parts.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
-    rows = sorted(some.groupBy("slice").applyInArrow(_add_slices, schema).collect(), key=lambda r: r["slice"])
-    if not rows:
+    rows = some.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
+    if not rows.num_rows:
         return start
-    return np.concatenate([np.array(r.mass) / r.tokens for r in rows])
+    moved = rows.column("mass").combine_chunks().flatten().to_numpy()
+    return start + moved / np.float32(rows.column("tokens")[0].as_py())
 
 
 def _score_batch(words: Lexicon, vector: np.ndarray):
     logs = np.log10(words.counts + 0.5)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        params = recurrent.unflat(vector)
+        params = recurrent.unflat(vector, words.symbols)
         found, ends = words_of(batch.column("text"))
         places = words.places(found)
-        model = recurrent.score_texts(params, symbols(places, ends)) / np.log(10)
-        rare, outside = places < 0, (places < 0) | (places >= VOCABULARY)
+        model = recurrent.score_texts(params, symbols(places, ends, words.vocabulary)) / np.log(10)
+        rare, outside = places < 0, (places < 0) | (places >= words.vocabulary)
         known = np.where(rare, 0.0, logs[places] if len(logs) else 0.0)
         upto = lambda values: np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(values)])[ends]]))
         n, n_rare, n_outside = np.diff(np.concatenate([[0], ends])), upto(rare), upto(outside)

@@ -8,34 +8,41 @@ times its own within the class.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 
 END, RARE = 0, 1
-CLASSES, MEMBERS = 32, 32  # symbols = classes x members
 HIDDEN = 16
 LANES = 128
 WINDOW = 16  # steps that gradients run back
 SCORE_WINDOW = 64
+ROWS = 512  # of a softmax, computed at a time
 RATE = 0.01
 NAMES = ("table", "inner", "bias", "class_w", "class_b", "word_w", "word_b")
-SHAPES = {
-    "table": (CLASSES * MEMBERS, 3 * HIDDEN),
-    "inner": (HIDDEN, 3 * HIDDEN),
-    "bias": (3 * HIDDEN,),
-    "class_w": (HIDDEN, CLASSES),
-    "class_b": (CLASSES,),
-    "word_w": (CLASSES, HIDDEN, MEMBERS),
-    "word_b": (CLASSES, MEMBERS),
-}
+SPARSE = ("table", "word_w", "word_b")  # a window changes the rows of its own words and classes only
+
+
+def shapes(symbols: int) -> dict[str, tuple[int, ...]]:
+    """Shapes of the parameters for `symbols` words, a square number: as many classes as members of each."""
+    side = math.isqrt(symbols)
+    return {
+        "table": (side * side, 3 * HIDDEN),
+        "inner": (HIDDEN, 3 * HIDDEN),
+        "bias": (3 * HIDDEN,),
+        "class_w": (HIDDEN, side),
+        "class_b": (side,),
+        "word_w": (side, HIDDEN, side),
+        "word_b": (side, side),
+    }
 
 
 def initial(counts: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     """Parameters whose first predictions are the symbols' shares in `counts`."""
     rng = np.random.default_rng(seed)
-    params = {n: (rng.standard_normal(SHAPES[n]) * 0.1).astype(np.float32) for n in NAMES}
+    params = {n: (rng.standard_normal(shapes(len(counts))[n]) * 0.1).astype(np.float32) for n in NAMES}
     params["bias"][:] = 0
-    shares = (counts + 0.5).reshape(CLASSES, MEMBERS)
+    shares = (counts + 0.5).reshape(params["word_b"].shape)
     params["class_b"] = np.log(shares.sum(axis=1) / shares.sum()).astype(np.float32)
     params["word_b"] = np.log(shares / shares.sum(axis=1, keepdims=True)).astype(np.float32)
     for name in ("class_w", "word_w"):
@@ -47,11 +54,11 @@ def flat(params: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([params[n].ravel() for n in NAMES])
 
 
-def unflat(vector: np.ndarray) -> dict[str, np.ndarray]:
+def unflat(vector: np.ndarray, symbols: int) -> dict[str, np.ndarray]:
     params, at = {}, 0
-    for n in NAMES:
-        size = int(np.prod(SHAPES[n]))
-        params[n] = vector[at : at + size].reshape(SHAPES[n]).astype(np.float32)
+    for n, shape in shapes(symbols).items():
+        size = int(np.prod(shape))
+        params[n] = vector[at : at + size].reshape(shape).astype(np.float32)
         at += size
     return params
 
@@ -92,51 +99,78 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return exps, exps.sum(axis=1)
 
 
-def _by_class(targets: np.ndarray):
+def _by_class(targets: np.ndarray, members: int):
     """Positions of the targets of each class that occurs."""
-    owner = (targets // MEMBERS).astype(np.uint8)
+    owner = (targets // members).astype(np.uint16)
     order = np.argsort(owner, kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=CLASSES))])
-    for c in range(CLASSES):
+    edges = np.concatenate([[0], np.cumsum(np.bincount(owner))])
+    for c in range(len(edges) - 1):
         if edges[c] < edges[c + 1]:
             yield c, order[edges[c] : edges[c + 1]]
 
 
+def _log_picked(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax at each row's wanted column, in blocks that stay in the cache."""
+    result = np.empty(len(wanted), states.dtype)
+    for at in range(0, len(wanted), ROWS):
+        part = slice(at, at + ROWS)
+        logits = states[part] @ weights
+        logits += bias
+        _, total = _softmax(logits)
+        result[part] = logits[np.arange(len(logits)), wanted[part]] - np.log(total)
+    return result
+
+
 def _log_probabilities(params, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability; states are (n x hidden)."""
-    logits = states @ params["class_w"]
-    logits += params["class_b"]
-    exps, total = _softmax(logits)
-    result = logits[np.arange(len(targets)), targets // MEMBERS] - np.log(total)
-    for c, at in _by_class(targets):
-        logits = states[at] @ params["word_w"][c]
-        logits += params["word_b"][c]
-        exps, total = _softmax(logits)
-        result[at] += logits[np.arange(len(at)), targets[at] % MEMBERS] - np.log(total)
+    members = params["word_b"].shape[1]
+    result = _log_picked(states, params["class_w"], params["class_b"], targets // members)
+    for c, at in _by_class(targets, members):
+        result[at] += _log_picked(states[at], params["word_w"][c], params["word_b"][c], targets[at] % members)
     return result
 
 
+def _pull(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray, scale: np.ndarray):
+    """Gradients of the weights, the bias and the states, of the scaled losses at the wanted columns."""
+    w_grad, b_grad, back = np.zeros(weights.shape, np.float32), np.zeros(bias.shape, np.float32), np.empty_like(states)
+    for at in range(0, len(wanted), ROWS):
+        part = slice(at, at + ROWS)
+        logits = states[part] @ weights
+        logits += bias
+        over, total = _softmax(logits)
+        over *= (scale[part] / total)[:, None]
+        over[np.arange(len(over)), wanted[part]] -= scale[part]
+        w_grad += states[part].T @ over
+        b_grad += over.sum(axis=0)
+        back[part] = over @ weights.T
+    return w_grad, b_grad, back
+
+
 def _gradients(params, inputs, resets, targets, weights, state):
     """Gradients of the window's mean loss, and the state after it."""
-    h, grads = HIDDEN, {n: np.zeros(SHAPES[n], np.float32) for n in NAMES}
+    changed, last = _changes(params, inputs, resets, targets, weights, state)
+    grads = {n: np.zeros(params[n].shape, np.float32) for n in NAMES}
+    for n, (at, values) in changed.items():
+        grads[n][at] = values
+    return grads, last
+
+
+def _changes(params, inputs, resets, targets, weights, state):
+    """The gradients as (rows, values): only the rows of `SPARSE` parameters that the window has to do with."""
+    h, members, whole = HIDDEN, params["word_b"].shape[1], slice(None)
+    grads = {"inner": np.zeros(params["inner"].shape, np.float32)}
     kept, last = _forward(params, inputs, resets, state)
     steps, lanes = inputs.shape
     states = np.concatenate([k[5] for k in kept])
     wanted, scale = targets.ravel(), (weights.ravel() / max(1.0, weights.sum())).astype(np.float32)
-    rows = np.arange(len(wanted))
-    over, total = _softmax(states @ params["class_w"] + params["class_b"])
-    over /= total[:, None]
-    over[rows, wanted // MEMBERS] -= 1
-    over *= scale[:, None]
-    grads["class_w"], grads["class_b"] = states.T @ over, over.sum(axis=0)
-    back = over @ params["class_w"].T
-    for c, at in _by_class(wanted):
-        inside, total = _softmax(states[at] @ params["word_w"][c] + params["word_b"][c])
-        inside /= total[:, None]
-        inside[np.arange(len(at)), wanted[at] % MEMBERS] -= 1
-        inside *= scale[at, None]
-        grads["word_w"][c], grads["word_b"][c] = states[at].T @ inside, inside.sum(axis=0)
-        back[at] += inside @ params["word_w"][c].T
+    grads["class_w"], grads["class_b"], back = _pull(states, params["class_w"], params["class_b"], wanted // members, scale)
+    seen, word_w, word_b = [], [], []
+    for c, at in _by_class(wanted, members):
+        w_grad, b_grad, pulled = _pull(states[at], params["word_w"][c], params["word_b"][c], wanted[at] % members, scale[at])
+        back[at] += pulled
+        seen.append(c)
+        word_w.append(w_grad)
+        word_b.append(b_grad)
     back = back.reshape(steps, lanes, h)
     carry = np.zeros((lanes, h), np.float32)
     outer = np.empty((steps, lanes, 3 * h), np.float32)
@@ -156,8 +190,10 @@ def _gradients(params, inputs, resets, targets, weights, state):
     order = np.argsort(inputs.ravel(), kind="stable")
     sorted_inputs = inputs.ravel()[order]
     edges = np.flatnonzero(np.concatenate([[True], sorted_inputs[1:] != sorted_inputs[:-1]]))
-    grads["table"][sorted_inputs[edges]] = np.add.reduceat(flat_outer[order], edges, axis=0)
-    return grads, last
+    changed = {n: (whole, g) for n, g in grads.items()}
+    changed["table"] = sorted_inputs[edges], np.add.reduceat(flat_outer[order], edges, axis=0)
+    changed["word_w"], changed["word_b"] = (np.array(seen), np.stack(word_w)), (np.array(seen), np.stack(word_b))
+    return changed, last
 
 
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
@@ -213,12 +249,17 @@ def score_texts(params, texts: list[np.ndarray], lanes: int = 4 * LANES) -> np.n
 
 
 class Trainer:
-    """Truncated backpropagation with Adam over segments of texts, in order of arrival."""
+    """Truncated backpropagation with Adam over segments of texts, in order of arrival.
+
+    Rows of `SPARSE` parameters have moments and step counts of their own, which
+    stand still while no window has to do with them.
+    """
 
     def __init__(self, params: dict[str, np.ndarray]):
         self.params = {n: p.copy() for n, p in params.items()}
-        self.first = {n: np.zeros(SHAPES[n], np.float32) for n in NAMES}
-        self.second = {n: np.zeros(SHAPES[n], np.float32) for n in NAMES}
+        self.first = {n: np.zeros(p.shape, np.float32) for n, p in params.items()}
+        self.second = {n: np.zeros(p.shape, np.float32) for n, p in params.items()}
+        self.rows = {n: np.zeros(len(params[n]), np.int64) for n in SPARSE}
         self.steps = self.tokens = 0
 
     def train(self, texts: list[np.ndarray], lanes: int = LANES) -> None:
@@ -231,14 +272,20 @@ class Trainer:
             part = (slice(at, at + WINDOW), slice(0, running))
             steps = np.arange(at, min(at + WINDOW, len(targets)))
             weights = (steps[:, None] < loads[None, :running]).astype(np.float32)
-            grads, state = _gradients(self.params, inputs[part], starts[part], targets[part], weights, state[:running])
-            self._step(grads)
+            changed, state = _changes(self.params, inputs[part], starts[part], targets[part], weights, state[:running])
+            self._step(changed)
         self.tokens += int(loads.sum())
 
-    def _step(self, grads) -> None:
+    def _step(self, changed) -> None:
         self.steps += 1
-        rate = RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-        for n in NAMES:
-            self.first[n] += 0.1 * (grads[n] - self.first[n])
-            self.second[n] += 0.001 * (grads[n] ** 2 - self.second[n])
-            self.params[n] -= np.float32(rate) * self.first[n] / (np.sqrt(self.second[n]) + 1e-8)
+        for n, (at, grad) in changed.items():
+            steps = np.array(self.steps)
+            if n in SPARSE:
+                self.rows[n][at] += 1
+                steps = self.rows[n][at].reshape(-1, *[1] * (grad.ndim - 1))
+            rate = (RATE * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)).astype(np.float32)
+            first, second = self.first[n][at], self.second[n][at]
+            first += np.float32(0.1) * (grad - first)
+            second += np.float32(0.001) * (grad * grad - second)
+            self.first[n][at], self.second[n][at] = first, second
+            self.params[n][at] -= rate * first / (np.sqrt(second) + np.float32(1e-8))

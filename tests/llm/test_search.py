@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,6 +350,21 @@ def test_held_out_documents_score_better_than_by_counts(spark, small):
     assert np.mean([r.score > r.base_score for r in rows]) > 0.7
 
 
+def test_every_training_token_reaches_a_gradient_and_frequent_words_have_symbols(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{(i * 7 + j) % 3000}" for j in range(10 + i % 150))) for i in range(300)]
+    counts = Counter(w for i, t in docs if not lm_scoring.held_out(i) for w in t.split())
+    names = sorted(counts, key=lambda w: -counts[w])
+    ends = sum(not lm_scoring.held_out(i) for i, _ in docs)
+    tokens = sum(counts.values()) + ends
+    words = lm_scoring.Lexicon(names, [counts[w] for w in names], ends, tokens, len(names) + 1)
+    assert words.vocabulary >= len(names) and words.rare_tokens == 0
+    start = recurrent.flat(recurrent.initial(words.symbol_counts()))
+    monkeypatch.setattr(lm_scoring, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": lambda *a: 0}))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in docs])
+    made = list(lm_scoring._train_task(words, start)(iter([batch])))
+    assert made[0].column("tokens")[0].as_py() == tokens
+
+
 def test_scores_without_training_documents(spark):
     assert lm_scoring.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     held = next(i for i in range(50) if lm_scoring.held_out(i))
