@@ -25,7 +25,9 @@ HEX = r"[0-9a-f]{24,}"  # whole runs, as the quantifier is greedy
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6
 
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+# 20 characters or more; '=' only as padding, so the value of NAME=value is a token of its own.
+_C = "A-Za-z0-9+/_-"
+TOKEN = rf"(?<![{_C}])(?:[{_C}]{{20,}}+(?:=++(?![{_C}]))?|[{_C}]{{19}}=++(?![{_C}])|[{_C}]{{18}}==++(?![{_C}]))"
 # Encodings from the narrowest: pattern, and the alphabet in order.
 ENCODINGS = [
     (r"^[0-9]+$", "0123456789"),

@@ -73,6 +73,26 @@ def test_random_tokens_are_added_and_ordinary_ones_are_not(scanned):
         assert set(filter(None, r.base.split(","))) <= set(r.found.split(","))
 
 
+def test_the_value_of_an_assignment_is_tested_on_its_own(spark):
+    rng = np.random.default_rng(15)
+    letters = list("+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+    name = "AWS_SECRET_ACCESS_KEY="
+    texts, spans = [], []
+    for i in range(300):
+        value = "".join(rng.choice(letters, 40)) + "==" * (i % 2)
+        before, after = [(name, ""), (name + '"', '"'), ("https://host.example/path?sig=", "&x=1"), ("x ", " y")][i % 4]
+        texts.append((i, before + value + after))
+        spans.append((len(before), len(before) + len(value)))
+    prose = [(1000 + i, "_".join(rng.choice(["the", "and", "ing", "tion", "er"], 12))) for i in range(300)]
+    rows = secrets.scan(spark.createDataFrame(texts + prose, SCHEMA)).where("doc_id < 1000").collect()
+    for r in rows:
+        assert spans[r.doc_id] in {(t.start, t.end) for t in r.tokens}
+    found = secrets.find_secrets(spark.createDataFrame(texts + prose, SCHEMA)).where("doc_id < 1000").collect()
+    kept = [spans[r.doc_id] in {(s.start, s.end) for s in r.found} for r in found]
+    for form in range(4):
+        assert sum(k for r, k in zip(found, kept) if r.doc_id % 4 == form) >= 68
+
+
 def test_uniform_tokens_are_seldom_rejected_and_prose_nearly_always(spark):
     rng = np.random.default_rng(13)
     letters = list("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
