@@ -28,7 +28,7 @@ HOLDERS = frozenset(
     "article aside blockquote center details dialog div dl fieldset figure footer form head header li main menu nav ol "
     "section table ul".split()
 )
-RAW = frozenset("script style title textarea noscript template iframe svg math select button object canvas audio video".split())
+RAW = frozenset("script style title textarea template iframe svg annotation annotation-xml select canvas audio video".split())
 FURNITURE = frozenset("nav aside footer form menu dialog head header fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 COMMENT_NAMES = frozenset("comment comments commentlist commentary disqus replies reply respond discussion".split())
@@ -53,6 +53,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
+_NOTICE = re.compile(r"\W*(?:©|\(c\)\s*\d|copyright\b\s*(?:©|\(c\)|\d|by\b|notice\b|$))", re.I)
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
@@ -160,7 +161,8 @@ def _first_pass(block: Block) -> int:
         return BAD
     if block.place == "main":
         return GOOD
-    if text.startswith("©") or "copyright" in text.lower():
+    # a notice, or a short line that names one; prose about copyright is judged as prose
+    if _NOTICE.match(text) or (len(text) < SHORT and "copyright" in text.lower()):
         return BAD
     if len(text) < SHORT or block.heading:
         return BAD if block.linked and not block.heading else SHORT_OPEN

@@ -147,6 +147,21 @@ def test_main_text(html, text):
     assert html_blocks.main_text(html or "") == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<p>{LONG * 2}They say that copyright is for the author.</p>", f"{LONG * 2}They say that copyright is for the author."),
+        (f"<p>Copyright law is old. {LONG * 2}</p><p>Site copyright of A</p>", f"Copyright law is old. {LONG * 2}".strip()),
+        (f"<p>{LONG * 2}</p><p>Copyright 2020 by A. {LONG * 2}</p><p>© A. {LONG * 2}</p>", (LONG * 2).strip()),
+        ("<article><p>area <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> holds</p></article>", "area a=2 holds"),
+        ("<article><p>see <object data=x><param name=y>the chart as text</object></p><noscript>plain</noscript></article>", "see the chart as text\n\nplain"),
+        ("<article><p>press <button>Go</button> now</p></article>", "press Go now"),
+    ],
+)
+def test_prose_on_copyright_and_fallback_content_stay(html, text):
+    assert html_blocks.main_text(html) == text
+
+
 def test_short_blocks_inherit_from_the_nearest_decided_block():
     block = lambda text, place="": html_blocks.Block(text, 0, place, False)
     good, bad = block(LONG * 2), block("menu", "furniture")
