@@ -6,6 +6,9 @@ of a language that pass the base rules, so they follow the corpus.  A document
 stays when, for its nearest language, the Jensen-Shannon distances to the
 references are small enough; a histogram with too few entries to say anything is not held
 against a document.
+
+Bound: the languages are those of `COMMON_WORDS`.  A document in another language
+or script is held against the nearest of them, and mostly fails.
 """
 
 from __future__ import annotations
