@@ -55,8 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their windows."""
-    return packing.pack_documents(docs, with_ids=False)
+    """The pieces of all documents in their windows, with their token ids."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [

@@ -81,7 +81,7 @@ def quality_divergence(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op6_tier_packing")
 def tier_packing(spark: SparkSession, root: str) -> DataFrame:
-    return packing.pack_documents(table(spark, root, "documents"), with_ids=False)
+    return packing.pack_documents(table(spark, root, "documents")).drop("ids")
 
 
 @query("op7_randomness_battery")

@@ -265,6 +265,21 @@ def test_each_stage_matches_a_plain_version(spark, small):
     check_pieces(pieces.collect(), [(r.doc_id, r.text) for r in mixed.collect()], mixed.rdd.getNumPartitions())
 
 
+def test_the_last_stage_returns_the_packed_tokens_and_op6_drops_them(spark, small):
+    import __spark_entry__ as contract
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    pieces = dict(corpus_pipeline.STAGES)["packing"](spark, docs, small)
+    names = pieces.columns
+    assert names[-1] == "ids"
+    rows = pieces.collect()
+    assert rows and all(len(r.ids) == r[2] and zlib.crc32(np.array(r.ids, np.uint32).tobytes()) == r[3] for r in rows)
+    digest = contract.queries()["op6_tier_packing"](spark, small)
+    assert digest.columns == names[:-1]
+    # pieces of packed documents, whatever order the tasks ran in
+    assert sorted(digest.collect(), key=repr) == sorted(pieces.drop("ids").collect(), key=repr)
+
+
 def test_the_pipeline_runs_on_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
