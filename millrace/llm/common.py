@@ -8,7 +8,9 @@ import gc
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows without an id get a stand-in from their text, above every real id below 2^62.
@@ -48,6 +50,18 @@ def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
         yield pa.concat_batches(waiting)
 
 
+def weighed(batches: Iterator[pa.RecordBatch], column: str, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows` rows and `size` bytes of `column`, or of one longer row."""
+    for batch in sized(batches, rows):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def smaller_batches(spark: SparkSession) -> None:
     """Set the size of Arrow batches for texts, unless the session has chosen one."""
     if spark.conf.get(_BATCH_CONF, _DEFAULT_ROWS) == _DEFAULT_ROWS:
