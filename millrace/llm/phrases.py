@@ -8,9 +8,9 @@ are counted inside each chunk once and weighted.  A phrase that begins in the cl
 window of a chunk is left to the next chunk, which begins with that window, so
 overlaps count once.
 
-Only frequent phrases are ever spelled out.  Hashes of words, then of word pairs, are
-counted first, and those that reach the support set bits of a map of fixed size.  The
-bits only leave out what cannot reach the support: equal hashes add up, a full map
+Only phrases that may be frequent are ever spelled out.  Hashes of words, then of pairs
+and of triples, are counted first, and those that reach the support set bits of a map
+of fixed size.  The bits only leave out what cannot reach the support: equal hashes add up, a full map
 leaves out nothing, and the counts that decide are those of the spelled phrases.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.llm.common import give_back, smaller_batches, weighed
+from millrace.llm.common import give_back, release_shuffles, smaller_batches, weighed
 from millrace.sources.storage import materialize
 
 SUPPORT = 30
@@ -51,6 +51,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+# Hashes of words are polynomials of their bytes modulo 2^64, taken from running sums.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of the base and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, 2 * GROUP_BYTES)
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, base, np.uint64)])) for base in (_BASE, _INVERSE)]
+    return _POWERS
+
+
 @dataclass
 class Words:
     """The words of some texts in their order."""
@@ -58,14 +72,22 @@ class Words:
     bytes_: np.ndarray  # the words, each followed by a space, or by a line end before a new piece
     starts: np.ndarray  # of each word in bytes_
     ends: np.ndarray
-    ids: np.ndarray  # of each word among `distinct`
-    hashes: np.ndarray  # of the distinct words
+    hashes: np.ndarray  # of each word
     piece: np.ndarray  # number of each word's piece; pieces never span texts
     text: np.ndarray  # number of each word's text
 
     @property
     def count(self) -> int:
-        return len(self.ids)
+        return len(self.starts)
+
+    def numbered(self) -> tuple[np.ndarray, int]:
+        """Each word's number among the distinct words, by their letters, and how many these are."""
+        inside = np.ones(len(self.bytes_), bool)
+        inside[self.ends] = False
+        bounds = np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int64)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(self.bytes_[inside])]
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), self.count, buffers).dictionary_encode()
+        return coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
 
 
 def split_words(texts: list[bytes]) -> Words:
@@ -73,28 +95,29 @@ def split_words(texts: list[bytes]) -> Words:
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     kind, lower = _KIND[data], _LOWER[data]
     inside = kind == _IN_WORD
-    before = np.concatenate([[False], inside[:-1]])
-    begins, ended = np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edges = np.concatenate([[0], edges])
+    begins, ended = edges[::2], edges[1::2]
     lengths = ended - begins
-    piece = np.cumsum(kind == _BREAK, dtype=np.int64)[begins]
+    breaks = np.flatnonzero(kind == _BREAK)
     text_ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
 
     # each word keeps one byte behind it, which becomes its separator
-    spelled = lower[inside | (before & ~inside)]
+    inside[ended] = True
+    spelled = lower[inside]
     ends = np.cumsum(lengths + 1) - 1
+    starts = ends - lengths
+    piece = np.searchsorted(breaks, begins)
     opens = np.concatenate([piece[1:] != piece[:-1], [True]]) if len(piece) else np.zeros(0, bool)
     spelled[ends] = np.where(opens, 10, 32)
-
-    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(lower[inside])]
-    ).dictionary_encode()
+    up, down = _powers(len(spelled) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((spelled + np.uint64(1)) * up[: len(spelled)])])
     return Words(
         bytes_=spelled,
-        starts=ends - lengths,
+        starts=starts,
         ends=ends,
-        ids=words.indices.to_numpy().astype(np.int64),
-        hashes=np.array([xxhash.xxh64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64),
+        hashes=_mixed((sums[ends] - sums[starts]) * down[starts]),
         piece=piece,
         text=np.searchsorted(text_ends, begins, "right"),
     )
@@ -133,7 +156,7 @@ def _chunks_of(texts: list[bytes], spacing: int) -> Iterator[tuple[int, bool, by
     new_text = np.concatenate([[True], words.text[1:] != words.text[:-1]])
     begin_of = np.flatnonzero(new_text)
     place = np.arange(n) - begin_of[np.cumsum(new_text) - 1]
-    hashes = words.hashes[words.ids]
+    hashes = words.hashes
     chosen = np.zeros(n, bool)
     if n >= OVERLAP:
         window = hashes[: n - OVERLAP + 1]
@@ -196,17 +219,29 @@ class Places:
     weight: np.ndarray  # occurrences of each word's chunk
     owned: np.ndarray  # whether a phrase that begins here counts in this chunk
 
-    def spans(self, n: int) -> np.ndarray:
-        """Places where a phrase of n words begins that counts in this chunk."""
-        count = self.words.count - n + 1
-        if count <= 0:
-            return np.zeros(0, np.int64)
-        return np.flatnonzero(self.owned[:count] & (self.words.piece[:count] == self.words.piece[n - 1 :]))
-
     def word_hashes(self) -> np.ndarray:
         """Hashes of the words, each with its language."""
         names = np.array([xxhash.xxh64_intdigest(name) for name in self.langs], np.uint64)
-        return _joined(names[self.lang], self.words.hashes[self.words.ids]) if self.words.count else np.zeros(0, np.uint64)
+        return _joined(names[self.lang], self.words.hashes) if self.words.count else np.zeros(0, np.uint64)
+
+    def levels(self, maps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of 1, 2, ... words: their hashes by first word, and where one may be frequent.
+
+        A phrase may be if it lies in one piece and both phrases that are a word
+        shorter are in their map; one with a map of its own must be in that too.
+        """
+        first = self.word_hashes()
+        hashes, may = first, np.ones(self.words.count, bool)
+        for n in range(1, LONGEST + 1):
+            if n <= len(maps):
+                at = np.flatnonzero(may)
+                may[at] = _in_map(maps[n - 1], hashes[at])
+            yield hashes, may
+            if n > len(maps):
+                return
+            left = max(self.words.count - n, 0)
+            may = may[:left] & may[1 : left + 1] & (self.words.piece[:left] == self.words.piece[n:])
+            hashes = _joined(hashes[:left], first[n:])
 
 
 def _places(batch: pa.RecordBatch) -> Places:
@@ -234,8 +269,13 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ordered[firsts], order[firsts], np.add.reduceat(weights[order], firsts)
 
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of each hash, which are what is counted."""
+    return (hashes >> np.uint64(32)).astype(np.int64)
+
+
 def _in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    at = _bucket(hashes) & (MAP_BITS - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -252,16 +292,18 @@ def _over(parsed: DataFrame, work, schema: str) -> DataFrame:
     return parsed.mapInArrow(run, schema)
 
 
-def _hash_columns(hashes: np.ndarray, weights: np.ndarray) -> list[pa.Array]:
-    keys, _, sums = _summed(hashes, weights)
-    return [pa.array(keys.view(np.int64)), pa.array(sums.astype(np.int64))]
+def _map_of_frequent(parsed: DataFrame, maps: list, support: int):
+    """Broadcast bits of the hashes of phrases that reach the support, one word longer than those of the last map."""
 
+    def count(found: Places):
+        *_, (hashes, may) = found.levels([m.value for m in maps])
+        at = np.flatnonzero(may & found.owned[: len(may)])
+        buckets, _, sums = _summed(_bucket(hashes[at]), found.weight[at])
+        yield [pa.array(buckets.astype(np.uint32).view(np.int32)), pa.array(sums.astype(np.int64))]
 
-def _map_of_frequent(counted: DataFrame, support: int):
-    """Broadcast bits of the hashes whose counts reach the support."""
-    spark = counted.sparkSession
-    frequent = counted.groupBy("hash").agg(F.sum("count").alias("count")).where(F.col("count") >= support)
-    place = F.col("hash").bitwiseAND(MAP_BITS - 1) + 1
+    counted = _over(parsed, count, "bucket int, count long")
+    frequent = counted.groupBy("bucket").agg(F.sum("count").alias("count")).where(F.col("count") >= support)
+    place = F.col("bucket").bitwiseAND(MAP_BITS - 1).cast("long") + 1
     rows = (
         frequent.groupBy(F.bitmap_bucket_number(place).alias("row"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -271,55 +313,46 @@ def _map_of_frequent(counted: DataFrame, support: int):
     width = BITS_A_ROW // 8
     for row in rows:
         bits[(row["row"] - 1) * width : row["row"] * width] = np.frombuffer(row["bits"], np.uint8)
-    return spark.sparkContext.broadcast(bits)
+    return parsed.sparkSession.sparkContext.broadcast(bits)
 
 
 def frequent_phrases(parsed: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """Phrases of 1 to LONGEST words that occur `support` times in a language: lang, phrase, size, count."""
+    """Phrases of 1 to LONGEST words that occur `support` times in a language: lang, phrase, size, count.
 
-    def words(found: Places):
-        own = np.flatnonzero(found.owned)
-        yield _hash_columns(found.word_hashes()[own], found.weight[own])
-
-    word_map = _map_of_frequent(_over(parsed, words, "hash long, count long"), support)
+    Of size 0 is one empty phrase for each language, with all its words as the count.
+    """
+    maps: list = []
+    for _ in range(1, LONGEST):
+        maps.append(_map_of_frequent(parsed, maps, support))
+        release_shuffles(parsed.sparkSession)
 
-    def pairs(found: Places):
-        hashes, at = found.word_hashes(), found.spans(2)
-        frequent = _in_map(word_map.value, hashes)
-        at = at[frequent[at] & frequent[at + 1]]
-        yield _hash_columns(_joined(hashes[at], hashes[at + 1]), found.weight[at])
+    def phrases(found: Places):
+        words = found.words
+        spelled = words.bytes_.tobytes()
+        ids, distinct = words.numbered()
 
-    pair_map = _map_of_frequent(_over(parsed, pairs, "hash long, count long"), support)
+        def columns(firsts: np.ndarray, n: int, sums: np.ndarray, texts: list[str]) -> list[pa.Array]:
+            langs = [found.langs[k] for k in found.lang[firsts].tolist()]
+            return [pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(np.full(len(firsts), n, np.int32)), pa.array(sums.astype(np.int64))]
 
-    def phrases(found: Places):
-        words_, hashes = found.words, found.word_hashes()
-        spelled = words_.bytes_.tobytes()
-        paired = np.zeros(words_.count, bool)
-        if words_.count > 1:
-            paired[:-1] = _in_map(pair_map.value, _joined(hashes[:-1], hashes[1:]))
-        # exact numbers of the phrases that begin at each place: pairs of (number of the shorter, next word)
+        own = np.flatnonzero(found.owned)
+        keys, sample, sums = _summed(found.lang[own].astype(np.int64), found.weight[own])
+        yield columns(own[sample], 0, sums, [""] * len(keys))
+        # exact numbers of the phrases that begin at each place, from those of the shorter ones and the next word
         number = found.lang.astype(np.int64)
-        possible = np.ones(words_.count, bool)
-        for n in range(1, LONGEST + 1):
-            possible &= _in_map(word_map.value, hashes) if n == 1 else np.append(paired[n - 2 :], np.zeros(n - 2, bool))
-            at = found.spans(n)
-            at = at[possible[at]]
-            keys, sample, sums = _summed(number[at] * len(words_.hashes) + words_.ids[at + n - 1], found.weight[at])
-            number[at] = np.searchsorted(keys, number[at] * len(words_.hashes) + words_.ids[at + n - 1])
+        for n, (_, may) in enumerate(found.levels([m.value for m in maps]), 1):
+            at = np.flatnonzero(may)  # not only what counts here: a longer phrase may
+            keys = number[at] * distinct + ids[at + n - 1]
+            number[at] = np.unique(keys, return_inverse=True)[1]
+            at = at[found.owned[at]]
+            _, sample, sums = _summed(number[at], found.weight[at])
             firsts = at[sample]
-            starts, ends = words_.starts[firsts].tolist(), words_.ends[firsts + n - 1].tolist()
-            yield [
-                pa.array([found.langs[k] for k in found.lang[firsts].tolist()], pa.string()),
-                pa.array([spelled[s:e].decode() for s, e in zip(starts, ends)], pa.string()),
-                pa.array(np.full(len(firsts), n, np.int32)),
-                pa.array(sums.astype(np.int64)),
-            ]
-            if not len(at):
-                break
+            starts, ends = words.starts[firsts].tolist(), words.ends[firsts + n - 1].tolist()
+            yield columns(firsts, n, sums, [spelled[s:e].decode() for s, e in zip(starts, ends)])
 
     counted = _over(parsed, phrases, "lang string, phrase string, size int, count long")
     totals = counted.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("count"))
-    return totals.where(F.col("count") >= support)
+    return totals.where((F.col("count") >= support) | (F.col("size") == 0))
 
 
 def _first_ranks(df: DataFrame, order: list, top: int) -> DataFrame:
@@ -347,9 +380,11 @@ def collocations(
     """
     spark = docs.sparkSession
     parsed = materialize(parse(docs, text_col, lang_col, spacing), "parse")
-    frequent = materialize(frequent_phrases(parsed, support), "phrases")
-    sizes = materialize(_language_sizes(parsed), "sizes")
-
+    release_shuffles(spark)
+    counted = materialize(frequent_phrases(parsed, support), "phrases")
+    release_shuffles(spark)
+    sizes = counted.where("size = 0").select("lang", F.col("count").alias("n"))
+    frequent = counted.where("size >= 1")
     candidates = frequent.where("size >= 2")
     words = F.split("phrase", " ")
     k = F.col("k")
@@ -386,14 +421,3 @@ def collocations(
 
     ranked = _first_ranks(kept, [F.desc("score"), F.desc("a"), "phrase"], top)
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
-
-
-def _language_sizes(parsed: DataFrame) -> DataFrame:
-    """lang, n: all its word occurrences."""
-
-    def counted(found: Places):
-        own = np.flatnonzero(found.owned)
-        keys, _, sums = _summed(found.lang[own].astype(np.int64), found.weight[own])
-        yield [pa.array([found.langs[k] for k in keys.tolist()], pa.string()), pa.array(sums.astype(np.int64))]
-
-    return _over(parsed, counted, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
