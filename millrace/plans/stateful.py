@@ -9,7 +9,6 @@ from millrace.plans.summaries import STATUS_SQL, event_status
 from millrace.sources.storage import scratch_path
 from millrace.sources.tables import table
 from millrace.streaming import alerts, counters, profiles
-from millrace.streaming.statelog import StateLog
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 ARRIVALS = 3  # the events table arrives in this many portions, in time order
@@ -97,30 +96,11 @@ def stream_counter(spark: SparkSession, root: str) -> DataFrame:
 
 @bound("stream_totals", "SELECT event_type, count(*) AS served FROM events GROUP BY event_type")
 def stream_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Running totals per tag by a streaming aggregate in update mode, upserted by tag."""
+    """Running totals per tag by a streaming aggregate, read from its state."""
     folder = scratch_path(spark, "totals")
-
-    def newest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("event_type").agg(F.max("served").alias("served"))
-
-    log = StateLog(spark, f"{folder}/state", "event_type string, served bigint", newest)
-
-    def handle(rows: DataFrame, batch: int) -> None:
-        log.write(batch, rows)
-
-    def run(stream: DataFrame) -> None:
-        query = (
-            counters.tag_totals(stream, "event_type")
-            .writeStream.outputMode("update")
-            .foreachBatch(handle)
-            .option("checkpointLocation", f"{folder}/progress")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-
-    _arriving(spark, root, folder, run)
-    return log.before(log.batches())
+    totals = counters.TagTotals(spark, folder, "event_type")
+    _arriving(spark, root, folder, totals.run)
+    return totals.totals()
 
 
 @bound(

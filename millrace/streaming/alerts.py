@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.streaming.statelog import BatchSink, run_available
+from millrace.streaming.queries import run_to_files
+
 
 def alert_rows(status: DataFrame, recipients: DataFrame, failed: Column, finished: Column) -> DataFrame:
     """One row per raised condition and recipient subscribed to it.
@@ -23,18 +24,14 @@ def threshold_alerts(scores: DataFrame, score: str, limit: float, recipient: str
 
 
 class AlertStream:
-    """Streaming alerts: filter and route each micro-batch, write the rows it raised."""
+    """Streaming alerts: each arriving row is routed to its recipients, the raised rows are appended to files."""
 
     def __init__(self, spark: SparkSession, folder: str, recipients: DataFrame):
-        self.sink = BatchSink(spark, f"{folder}/alerts")
-        self.checkpoint = f"{folder}/progress"
-        self.recipients = recipients
+        self.spark, self.recipients = spark, recipients
+        self.out, self.checkpoint = f"{folder}/alerts", f"{folder}/progress"
 
     def run(self, stream: DataFrame, failed: Column, finished: Column) -> None:
-        def handle(rows: DataFrame, batch: int) -> None:
-            self.sink.write(batch, alert_rows(rows, self.recipients, failed, finished))
-
-        run_available(stream, handle, self.checkpoint)
+        run_to_files(alert_rows(stream, self.recipients, failed, finished), self.out, self.checkpoint)
 
     def alerts(self, schema: str) -> DataFrame:
-        return self.sink.read(schema)
+        return self.spark.read.schema(schema).parquet(self.out)
