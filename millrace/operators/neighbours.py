@@ -2,152 +2,50 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators import metric_tree
 from millrace.operators.aggregates import top_per_group
 from millrace.operators.joins import hot_keys, inner_join
 from millrace.sources.storage import materialize
 
 HUB_SHARE = 0.05  # share of the edges from which a node's edges are spread over tasks
-PAIR_SLICE = 200_000  # candidate pairs whose distance is recomputed at a time
-
-
-def _distance_bounds(
-    between: np.ndarray, radius: np.ndarray, near: list[list[float]], k: int
-) -> np.ndarray:
-    """Per pivot cell, a distance within which each member surely has k neighbours."""
-    bounds = np.full(len(radius), np.inf)
-    for i in range(len(radius)):
-        reach = np.concatenate([between[i, j] + np.asarray(near[j]) for j in range(len(near))])
-        if len(reach) >= k:
-            bounds[i] = radius[i] + np.partition(reach, k - 1)[k - 1]
-    return bounds
-
-
-def _closest(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """k nearest of `vectors` per query, ties to the smaller id.
-
-    Matrix products find candidates with room for rounding; the candidates'
-    distances are then summed directly, so copies are at distance 0.
-    """
-    norms, others = (queries**2).sum(axis=1), (vectors**2).sum(axis=1)
-    squared = norms[:, None] + others[None, :] - 2 * queries @ vectors.T
-    if len(ids) > k:
-        limit = np.partition(squared, k - 1, axis=1)[:, k - 1]
-    else:
-        limit = np.full(len(queries), np.inf)
-    margin = 1e-11 * (norms + others.max(initial=0.0)) * max(1, queries.shape[1] // 64)
-    rows, columns = np.nonzero(squared <= (limit + margin)[:, None])
-    exact = np.empty(len(rows))
-    for start in range(0, len(rows), PAIR_SLICE):
-        part = slice(start, start + PAIR_SLICE)
-        exact[part] = np.sqrt(((queries[rows[part]] - vectors[columns[part]]) ** 2).sum(axis=1))
-    order = np.lexsort((ids[columns], exact, rows))
-    rows, columns, exact = rows[order], columns[order], exact[order]
-    first = np.searchsorted(rows, np.arange(len(queries)))
-    keep = np.arange(len(rows)) - first[rows] < k
-    return query_ids[rows[keep]], ids[columns[keep]], exact[keep]
 
 
 def nearest_neighbours(
-    df: DataFrame, key: str, vector: str, k: int = 10, block_rows: int = 4096
+    df: DataFrame,
+    key: str,
+    vector: str,
+    k: int = 10,
+    block_rows: int = 4096,
+    fanout: int = metric_tree.FANOUT,
+    share: float = 1.0,
 ) -> DataFrame:
     """Exact k nearest rows of every row, itself included, by Euclidean distance.
 
-    Rows fall to the nearest of the pivots, one per `block_rows` rows and no more
-    than the root of their number, whose table of distances to each other is as
-    large as the rows' ids.  Distances to pivots bound how far the k-th neighbour of a cell's members can be, which rules out most
-    pairs of cells by the triangle inequality where the data cluster.  Cells are
-    cut into blocks of about `block_rows`, so a crowded cell is many blocks, and
-    only pairs of blocks that may hold neighbours meet; each meeting returns its
-    k best per row.  Result: key, neighbour, distance, rank.
+    Equal vectors are one point of a metric tree (`metric_tree`) and stand for up to
+    k rows, those with the smallest keys, which come first among rows at equal
+    distance; the answers of a point are those of all its rows.  A `share` below 1 of
+    the leaves gives approximate answers.  Result: key, neighbour, distance, rank; rows
+    without a vector take no part.
     """
-    spark = df.sparkSession
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"))
-    id_type = rows.schema["id"].dataType.simpleString()
-    n = rows.count()
-    if n == 0:
-        raise ValueError("no rows with a vector")
-    pivot_count = max(1, min(math.isqrt(n), math.ceil(n / block_rows)))
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivot_count).collect()
-    pivots = np.array([r["v"] for r in chosen], float)
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        norms = (pivots**2).sum(axis=1)
-        for batch in batches:
-            if not len(batch):
-                continue
-            own = np.stack(batch["v"].to_list()).astype(float)
-            cell = np.argmin(norms[None, :] - 2 * own @ pivots.T, axis=1)
-            gap = np.sqrt(((own - pivots[cell]) ** 2).sum(axis=1))
-            yield batch.assign(cell=cell.astype(np.int32), gap=gap)
-
-    schema = T.StructType(
-        [*rows.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
-    )
-    placed = materialize(rows.mapInPandas(assign, schema), "cells")
-
-    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius"))
-    cells = {r["cell"]: r for r in stats.collect()}
-    nearest = top_per_group(
-        placed.select("cell", "gap", "id"), ["cell"], [F.col("gap").asc(), F.col("id").asc()], k
-    )
-    near: list[list[float]] = [[] for _ in range(pivot_count)]
-    for r in nearest.select("cell", "gap").collect():
-        near[r["cell"]].append(r["gap"])
-    radius = np.array([cells[c]["radius"] if c in cells else 0.0 for c in range(pivot_count)])
-    between = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)) if pivot_count <= 64 else np.stack(
-        [np.sqrt(((pivots - p) ** 2).sum(axis=1)) for p in pivots]
-    )
-    slack = 1e-9 * (1.0 + between.max())
-    limit = _distance_bounds(between, radius, near, min(k, n))
-    meet = between - radius[:, None] - radius[None, :] <= limit[:, None] + slack
-
-    blocks = {c: math.ceil(cells[c]["n"] / block_rows) for c in cells}
-    first, at = {}, 0
-    for c in sorted(blocks):
-        first[c], at = at, at + blocks[c]
-    wanted = [(c, [(first[o], blocks[o]) for o in sorted(cells) if meet[c, o]]) for c in sorted(cells)]
-    wanting = [(c, [(first[o], blocks[o]) for o in sorted(cells) if meet[o, c]]) for c in sorted(cells)]
-    sizes = spark.createDataFrame([(c, first[c], blocks[c]) for c in sorted(cells)], "cell int, first int, blocks int")
-    partners = "cell int, partners array<struct<start:int,many:int>>"
-    blocked = placed.join(F.broadcast(sizes), "cell").withColumn(
-        "block", F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
-
-    def side(table: list, own: str, other: str) -> DataFrame:
-        met = F.broadcast(spark.createDataFrame(table, partners))
-        return (
-            blocked.join(met, "cell")
-            .withColumn("p", F.explode("partners"))
-            .withColumn(other, F.explode(F.sequence(F.col("p.start"), F.col("p.start") + F.col("p.many") - 1)))
-            .select(*[F.col(c).alias(c) for c in ("id", "v")], F.col("block").alias(own), F.col(other).alias(other))
-        )
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
-        stacked = lambda part: np.stack(part["v"].to_list()).astype(float)
-        own, found, distance = _closest(
-            left["id"].to_numpy(), stacked(left), right["id"].to_numpy(), stacked(right), k
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    points = materialize(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points")
+    best = metric_tree.neighbours(points.select("id", "v"), k, block_rows, fanout, share)
+    copied = points.where("copies > 1").select("v", F.col("id").alias("point"))
+    if not copied.isEmpty():
+        best = materialize(best, "best")
+        members = materialize(rows.join(copied, "v").select("point", "id"), "members")
+        first = top_per_group(members, ["point"], [F.col("id").asc()], k).groupBy("point").agg(F.collect_list("id").alias("ids"))
+        rows_of = best.join(first, best["neighbour"] == first["point"], "left").select(
+            best["id"].alias("point"), F.explode(F.coalesce("ids", F.array("neighbour"))).alias("neighbour"), "distance"
         )
-        return pd.DataFrame({"id": own, "neighbour": found, "distance": distance})
-
-    queries, targets = side(wanted, "q", "t"), side(wanting, "t", "q")
-    best = (
-        queries.groupBy("q", "t")
-        .cogroup(targets.groupBy("q", "t"))
-        .applyInPandas(match, f"id {id_type}, neighbour {id_type}, distance double")
-    )
-    ranked = top_per_group(best, ["id"], [F.col("distance").asc(), F.col("neighbour").asc()], k)
-    return ranked.withColumnRenamed("id", key)
+        of_points = top_per_group(rows_of, ["point"], [F.col("distance").asc(), F.col("neighbour").asc()], k).drop("rank")
+        answers = of_points.groupBy("point").agg(F.collect_list(F.struct("neighbour", "distance")).alias("found"))
+        # a point with very many rows: adaptive execution splits the side of the rows
+        named = members.join(points.select(F.col("id").alias("point")), "point", "right").select("point", F.coalesce("id", "point").alias("id"))
+        best = named.join(answers, "point").select("id", F.inline("found"))
+    return top_per_group(best, ["id"], [F.col("distance").asc(), F.col("neighbour").asc()], k).withColumnRenamed("id", key)
 
 
 def undirected(edges: DataFrame, source: str, target: str, weight: Column | None = None) -> DataFrame:

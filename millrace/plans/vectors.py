@@ -204,6 +204,27 @@ def knn_exact(spark: SparkSession, root: str) -> DataFrame:
     return found.select("vec_id", "neighbour", fixed("distance", 6).alias("distance"), "rank")
 
 
+@bound(
+    "knn_share",
+    f"""
+    WITH {KNN_SQL}
+    SELECT count(*) FILTER (WHERE rank <= 10) AS pairs, count(DISTINCT vec_id) AS rows, true AS recall_reached FROM knn
+    """,
+)
+def knn_share(spark: SparkSession, root: str) -> DataFrame:
+    """Approximate neighbours from some leaves of the tree, held against the exact ones: a recall of 0.9 at least."""
+    vectors = table(spark, root, "embeddings")
+    near = materialize(neighbours.nearest_neighbours(vectors, "vec_id", "embedding", 10, block_rows=256, share=SHARE), "probed")
+    exact = neighbours.nearest_neighbours(vectors, "vec_id", "embedding", 10).select("vec_id", "neighbour")
+    found = near.join(exact, ["vec_id", "neighbour"], "left_semi").agg(F.count("*").alias("found"))
+    totals = near.agg(F.count("*").alias("pairs"), F.count_distinct("vec_id").alias("rows"))
+    # both sides are one row of sums
+    return totals.join(found).select("pairs", "rows", (F.col("found") >= 0.9 * F.col("pairs")).alias("recall_reached"))
+
+
+SHARE = 0.8  # of the leaves that an approximate search looks into; vectors without clusters need most of them
+
+
 def neighbour_graph(spark: SparkSession, root: str) -> DataFrame:
     found = neighbours.nearest_neighbours(table(spark, root, "embeddings"), "vec_id", "embedding", 10)
     return neighbours.undirected(found, "vec_id", "neighbour")

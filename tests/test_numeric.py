@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import counts, linear, markers, mergeable, neighbours, primes, signals
+from millrace.operators import counts, linear, markers, mergeable, metric_tree, neighbours, primes, signals
 
 CELLS, GENES = 40, 12
 
@@ -369,16 +369,22 @@ def brute_neighbours(x, k):
     ]
 
 
-@pytest.mark.parametrize("shape", ["spread", "clustered", "copies"])
-def test_neighbours_are_exact_in_any_blocking(spark, shape):
+@pytest.mark.parametrize("shape", ["spread", "clustered", "copies", "line"])
+def test_neighbours_are_exact_in_any_blocking(spark, shape, monkeypatch):
     draw = np.random.default_rng(6)
     x = draw.normal(size=(120, 5))
     if shape == "clustered":
         x += 30 * draw.integers(0, 4, 120)[:, None]
     if shape == "copies":
         x[:50] = x[0]  # one group of copies is more than a third of the rows
-    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(120)], "id bigint, v array<double>")
-    got = neighbours.nearest_neighbours(df, "id", "v", 4, block_rows=16).orderBy("id", "rank").toPandas()
+        x[60:64] = x[119]
+    if shape == "line":  # very uneven cells
+        x = np.zeros((120, 5))
+        x[:, 0] = 1.2 ** np.arange(120)
+    monkeypatch.setattr(metric_tree, "PIECE_ROWS", 30)
+    monkeypatch.setattr(metric_tree, "PIECE_PARTNERS", 5)
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(120)] + [(500, None)], "id bigint, v array<double>")
+    got = neighbours.nearest_neighbours(df, "id", "v", 4, block_rows=10, fanout=4).orderBy("id", "rank").toPandas()
     expected = brute_neighbours(x, 4)
     assert len(got) == 480
     for i, part in got.groupby("id"):
@@ -386,6 +392,33 @@ def test_neighbours_are_exact_in_any_blocking(spark, shape):
         assert np.allclose(part["distance"], [d for _, d in expected[i]])
 
 
+def test_the_tree_has_levels_and_bounded_leaves(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 3)) + 40 * draw.integers(0, 4, (300, 1))
+    points = spark.createDataFrame([(i, x[i].tolist()) for i in range(300)], "id bigint, v array<double>")
+    tree = metric_tree.build(points, 20, 3)
+    assert len(tree.levels) >= 3
+    leaves = {r["leaf"]: r["n"] for r in tree.rows.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    assert sum(leaves.values()) == 300 and max(leaves.values()) <= 20
+    nodes = {r["node"]: r for r in tree.levels[-1].collect()}
+    assert {n: r["n"] for n, r in nodes.items()} == leaves
+    for row in tree.rows.collect():
+        node = nodes[row["leaf"]]
+        assert np.linalg.norm(np.array(row["v"]) - node["centre"]) <= node["radius"] + 1e-9
+    # far leaves are ruled out
+    assert metric_tree.leaf_pairs(tree, 3).count() < len(leaves) ** 2 / 2
+
+
+def test_a_share_of_the_leaves_finds_most_neighbours(spark):
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(400, 8)) + 6 * draw.normal(size=(12, 8))[draw.integers(0, 12, 400)]
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(400)], "id bigint, v array<double>")
+    found = neighbours.nearest_neighbours(df, "id", "v", 5, block_rows=32, fanout=8, share=0.5).collect()
+    truth = {(i, j) for i, near in enumerate(brute_neighbours(x, 5)) for j, _ in near}
+    assert len(found) == 2000
+    assert len({(r["id"], r["neighbour"]) for r in found} & truth) >= 0.9 * len(truth)
+
+
 def test_more_neighbours_than_rows(spark):
     df = spark.createDataFrame([(i, [float(i)]) for i in range(3)], "id bigint, v array<double>")
     assert neighbours.nearest_neighbours(df, "id", "v", 10).count() == 9
