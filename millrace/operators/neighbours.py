@@ -1,4 +1,4 @@
-"""Exact nearest neighbours and the clusters of their graph."""
+"""Nearest neighbours, their graph and its modularity."""
 
 from __future__ import annotations
 
@@ -79,82 +79,3 @@ def modularity(edges: DataFrame, labels: DataFrame, hubs=None) -> DataFrame:
             F.sum(F.col("inside") / F.col("_all") - share * share).alias("modularity"),
         )
     )
-
-
-MIN_GAIN = 1e-3  # a round, and a level, has to raise modularity by this much
-
-
-def _moves(edges: DataFrame, labels: DataFrame, degrees: DataFrame, total: float, turn: Column, hubs) -> DataFrame:
-    """Labels after the nodes whose `turn` it is took the cluster with the largest gain in modularity."""
-    near = labels.select(F.col("id").alias("dst"), F.col("cluster").alias("near"))
-    # a loop moves with its node, so it says nothing for or against a cluster
-    pulls = (
-        inner_join(near, edges.where("src <> dst"), "dst", hot=hubs)
-        .groupBy(F.col("src").alias("id"), F.col("near"))
-        .agg(F.sum("weight").alias("pull"))
-    )
-    own = labels.select("id", F.col("cluster").alias("near")).withColumn("pull", F.lit(0.0))
-    placed = labels.join(degrees, "id")
-    sizes = placed.groupBy(F.col("cluster").alias("near")).agg(F.sum("degree").alias("size"))
-    options = (
-        pulls.unionByName(own)
-        .groupBy("id", "near")
-        .agg(F.sum("pull").alias("pull"))
-        .join(placed, "id")
-        .join(sizes, "near")
-    )
-    stays = F.col("near") == F.col("cluster")
-    rest = F.col("size") - F.when(stays, F.col("degree")).otherwise(0.0)
-    gain = F.round(F.col("pull") - F.col("degree") * rest / F.lit(total), 9)
-    best = options.groupBy("id").agg(
-        F.max_by("near", F.struct(gain, stays, -F.col("near"))).alias("best"), F.first("cluster").alias("cluster")
-    )
-    return best.select("id", F.when(turn, F.col("best")).otherwise(F.col("cluster")).alias("cluster"))
-
-
-def _settle_level(edges: DataFrame) -> tuple[DataFrame, float]:
-    """Clusters of one level, moved until two rounds in a row gain nothing, and their modularity."""
-    degrees = materialize(edges.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("degree")), "degrees")
-    total = degrees.agg(F.sum("degree")).first()[0]
-    hubs = hot_keys(edges, "dst", HUB_SHARE)
-    best = materialize(degrees.select("id", F.col("id").alias("cluster")), "labels")
-    score = modularity(edges, best, hubs).first()["modularity"]
-    labels, quiet, number = best, 0, 0
-    while quiet < 2:
-        # half of the nodes move at a time, so that neighbours do not only swap places
-        turn = F.pmod(F.xxhash64("id", F.lit(number // 2)), F.lit(2)) == number % 2
-        labels = materialize(_moves(edges, labels, degrees, total, turn, hubs), "labels")
-        reached = modularity(edges, labels, hubs).first()["modularity"]
-        quiet = 0 if reached > score + MIN_GAIN else quiet + 1
-        if reached > score:
-            best, score = labels, reached
-        number += 1
-    return best, score
-
-
-def cluster_graph(edges: DataFrame) -> DataFrame:
-    """Communities of a symmetric edge table (src, dst, weight) by modularity: (id, cluster).
-
-    Nodes move to the neighbouring cluster with the largest gain, clusters become
-    the nodes of the next level, and levels follow until modularity stops rising,
-    which bounds the rounds.  A cluster is named by its smallest node.  Every
-    round is written, so lineage stays short.
-    """
-    found, score = _settle_level(edges)
-    while True:
-        names = found.groupBy("cluster").agg(F.min("id").alias("name"))
-        found = materialize(found.join(names, "cluster").select("id", F.col("name").alias("cluster")), "clusters")
-        start = found.select(F.col("id").alias("src"), F.col("cluster").alias("a"))
-        end = found.select(F.col("id").alias("dst"), F.col("cluster").alias("b"))
-        merged = (
-            edges.join(start, "src")
-            .join(end, "dst")
-            .groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
-            .agg(F.sum("weight").alias("weight"))
-        )
-        coarse, reached = _settle_level(materialize(merged, "edges"))
-        if reached <= score + MIN_GAIN:
-            return found
-        score = reached
-        upper = coarse.withColumnRenamed("cluster", "upper").withColumnRenamed("id", "cluster")
-        found = found.join(upper, "cluster").select("id", F.col("upper").alias("cluster"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.arrays import bytes_to_floats
 from millrace.functions.dates import month_text
-from millrace.operators import aggregates, counts, evaluation, filters, joins, linear, markers, models, moving, neighbours, splits
+from millrace.operators import aggregates, communities, counts, evaluation, filters, joins, linear, markers, models, moving, neighbours, splits
 from millrace.operators.onehot import signed_one_hot
 from millrace.operators.sequences import number_rows
 from millrace.sources import files, matrix_market
@@ -242,7 +242,7 @@ def single_cell(
         neighbours.undirected(neighbours.nearest_neighbours(stored, "id", "scores", near), "id", "neighbour"),
         f"{out}/graph",
     )
-    communities = neighbours.cluster_graph(graph)
+    communities = communities.cluster_graph(graph)
     clusters = _store(
         stored.join(communities, "id").select("cell", F.col("cluster").cast("string").alias("group")), f"{out}/clusters"
     )

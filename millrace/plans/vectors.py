@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import evaluation, linear, neighbours, signals
+from millrace.operators import communities, evaluation, linear, neighbours, signals
 from millrace.operators.sequences import with_ordinal
 from millrace.plans.registry import bound, fixed, fixed_sql
 from millrace.sources.storage import materialize
@@ -254,7 +254,7 @@ def modularity(spark: SparkSession, root: str) -> DataFrame:
 def graph_clusters(spark: SparkSession, root: str) -> DataFrame:
     """Communities of the neighbour graph with their sizes, and the modularity they reach."""
     graph = materialize(neighbour_graph(spark, root), "graph")
-    clusters = neighbours.cluster_graph(graph)
+    clusters = communities.cluster_graph(graph)
     reached = neighbours.modularity(graph, clusters).select("modularity").scalar()
     return clusters.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("modularity", reached)
 
@@ -266,7 +266,7 @@ def graph_clusters(spark: SparkSession, root: str) -> DataFrame:
 def cluster_quality(spark: SparkSession, root: str) -> DataFrame:
     """What must hold for any clustering worth its name: every node once, and better than the given labels."""
     graph = materialize(neighbour_graph(spark, root), "graph")
-    clusters = neighbours.cluster_graph(graph)
+    clusters = communities.cluster_graph(graph)
     labels = table(spark, root, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("cluster"))
     score = lambda found: neighbours.modularity(graph, found).first()
     reached, given = score(clusters), score(labels)

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import counts, linear, markers, mergeable, metric_tree, neighbours, primes, signals
+from millrace.operators import communities, counts, linear, markers, mergeable, metric_tree, neighbours, primes, signals
 
 CELLS, GENES = 40, 12
 
@@ -437,8 +437,69 @@ def test_modularity_of_two_cliques(spark):
 
 
 def test_clusters_are_the_cliques(spark):
-    got = neighbours.cluster_graph(two_cliques(spark)).collect()
+    got = communities.cluster_graph(two_cliques(spark)).collect()
     groups = {}
     for r in got:
         groups.setdefault(r["cluster"], set()).add(r["id"])
     assert sorted(map(sorted, groups.values())) == [list(range(5)), list(range(5, 10))]
+
+
+def pieces_of(edges, labels):
+    """How many connected pieces the clusters fall into."""
+    parent = {i: i for i in labels}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        if labels[a] == labels[b]:
+            parent[root(a)] = root(b)
+    return len({root(i) for i in labels})
+
+
+def plain_modularity(edges, labels):
+    degree, inside = {}, 0
+    for a, b in edges:
+        degree[labels[a]] = degree.get(labels[a], 0) + 1
+        degree[labels[b]] = degree.get(labels[b], 0) + 1
+        inside += labels[a] == labels[b]
+    return inside / len(edges) - sum((d / (2 * len(edges))) ** 2 for d in degree.values())
+
+
+@pytest.mark.parametrize("blocks", ["one", "many"])
+def test_clusters_are_connected_and_better_than_the_planted(spark, blocks, monkeypatch):
+    draw = np.random.default_rng(12)
+    group = {i: i // 25 for i in range(150)}
+    edges = [(a, b) for a in range(150) for b in range(a) if draw.random() < (0.3 if group[a] == group[b] else 0.01)]
+    edges += [(0, i) for i in range(1, 150, 4)] + [(200, 201), (300, 301)]
+    edges = sorted({tuple(sorted(e)) for e in edges})
+    if blocks == "many":
+        monkeypatch.setattr(communities, "BLOCK_EDGES", 300)
+        monkeypatch.setattr(communities, "HUB_EDGES", 30)
+    graph = neighbours.undirected(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b")
+    labels = {r["id"]: r["cluster"] for r in communities.cluster_graph(graph).collect()}
+    assert labels.keys() == {i for e in edges for i in e}
+    assert all(labels[c] == c and c <= i for i, c in labels.items())
+    assert pieces_of(edges, labels) == len(set(labels.values()))
+    planted = {i: group.get(i, i // 100 * 100) for i in labels}
+    assert plain_modularity(edges, labels) >= plain_modularity(edges, planted) - (0.02 if blocks == "many" else 0)
+
+
+def test_disconnected_clusters_are_split(spark):
+    edges = [(1, 2), (2, 3), (7, 8), (3, 20)]
+    graph = neighbours.undirected(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (7, 1), (8, 1), (20, 5)], "id bigint, cluster bigint")
+    got = communities._connected(graph, labels).collect()
+    assert sorted((r["id"], r["cluster"]) for r in got) == [(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (20, 20)]
+
+
+def test_moves_in_turn_only_gain():
+    rows = [(a, b) for a in range(6) for b in range(6) if a != b and a // 3 == b // 3] + [(2, 3), (3, 2)]
+    frame = pd.DataFrame([(a, b, 1.0, a, 2.0 + (a in (2, 3)), 2.0 + (a in (2, 3)), b, 2.0 + (b in (2, 3)), 14.0) for a, b in rows])
+    frame.columns = ["src", "dst", "weight", "src_cluster", "src_size", "degree", "dst_cluster", "dst_size", "total"]
+    moved = dict(communities._settle_block(frame).itertuples(index=False, name=None))
+    labels = {n: moved.get(n, n) for n in range(6)}
+    assert len({labels[n] for n in (0, 1, 2)}) == len({labels[n] for n in (3, 4, 5)}) == 1
+    assert labels[0] != labels[5]
