@@ -1,13 +1,15 @@
 """Mergeable moments of vectors, and the linear models that follow from them.
 
 Sums of products are built per task with numpy over Arrow batches and then added
-up by (kind, i, j); rows never leave their partition.  What reaches the driver
-is one number per pair of features, whatever the row count.
+up block by block; rows never leave their partition.  What reaches the driver
+is one number per pair of features, whatever the number of rows and labels.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,11 +19,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.sources.storage import materialize
+
 # The ridge strengths fitted side by side.
 RIDGES = (0.0, 1.0, 10.0, 100.0, 500.0)
 
-_MOMENTS = "kind string, i int, j int, value double"
-
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     widths = np.unique(pc.list_value_length(column).to_numpy(zero_copy_only=False))
@@ -31,19 +33,55 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
-def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int | None = None) -> DataFrame:
-    """Sums over rows: n, x_i, x_i x_j (i <= j), and per label its count and x_j.
+BAND = 64  # rows of X'X in one array
+_BLOCKS = "kind string, i int, width int, numbers array<double>"
+
+
+def _block_batch(kind: str, i: Sequence[int], width: int, numbers: Sequence[np.ndarray]) -> pa.RecordBatch:
+    flat = np.concatenate([np.ravel(part) for part in numbers])
+    offsets = np.concatenate([[0], np.cumsum([np.size(part) for part in numbers])]).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([kind] * len(numbers), pa.string()),
+            pa.array(np.asarray(i, np.int32)),
+            pa.array(np.full(len(numbers), width, np.int32)),
+            pa.ListArray.from_arrays(offsets, pa.array(flat)),
+        ],
+        names=["kind", "i", "width", "numbers"],
+    )
+
+
+def _added(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Arrays of a key added number by number; arrays of different lengths raise an error."""
+    sums = parts.groupBy(*by).agg(Summarizer.sum(array_to_vector("numbers")).alias("_sum"))
+    return sums.select(*by, vector_to_array("_sum").alias("numbers"))
 
-    Columns kind ('n', 'x', 'xx', 'yy', 'xy'), i, j, value; for 'xy' i is the
-    label and j the feature.  Labels are arrays of distinct label numbers, so
-    only labels that occur take room.  Splits are folded into at most `tasks`
-    (default: the cluster's cores), since each task emits a whole matrix.
+
+def _per_task(
+    df: DataFrame, vector: str, fold: Callable, schema: str, others: Sequence[str] = (), tasks: int | None = None
+) -> DataFrame:
+    """What `fold` gives for each of at most `tasks` tasks, with the `part` of the first level it is added in."""
+    # a vector with a missing element is missing
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda v: v.isNull())
+    width = tasks or df.sparkSession.sparkContext.defaultParallelism
+    partials = df.where(whole).select(vector, *others).coalesce(width).mapInArrow(fold, schema)
+    return partials.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(max(1, math.isqrt(width)))))
+
+
+def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int | None = None) -> DataFrame:
+    """Sums over rows as a block matrix: kind, i, width (of a vector), numbers.
+
+    'n' holds the count, 'x' the sum of the vectors, 'xx' band i of X'X (BAND of its
+    rows, one after the other), 'xy' for label i its count and then the sum of its
+    vectors.  Labels are arrays of distinct label numbers, so only labels that
+    occur take room.  Splits are folded into at most `tasks` (default: the
+    cluster's cores), since each task emits a whole matrix; the arrays are added
+    in two levels, so a band is not one task's while there are many tasks.
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xx = x = None
         n = 0
-        counts: dict[int, float] = {}
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             if batch.num_rows == 0:
@@ -66,103 +104,92 @@ def moments(df: DataFrame, vector: str, labels: str | None = None, tasks: int |
                 if len(found):
                     parts = np.add.reduceat(rows[owner[order]], first, axis=0)
                     sizes = np.diff(np.append(first, len(flat)))
-                    for label, size, part in zip(found.tolist(), sizes.tolist(), parts):
-                        counts[label] = counts.get(label, 0.0) + size
+                    for label, part in zip(found.tolist(), np.column_stack([sizes, parts])):
                         sums[label] = sums[label] + part if label in sums else part
         if xx is None:
             return
-        upper = np.triu_indices(len(x))
-        yield _moment_batch("n", [0], [0], [float(n)])
-        yield _moment_batch("x", np.arange(len(x)), np.zeros(len(x)), x)
-        yield _moment_batch("xx", *upper, xx[upper])
-        for label, total in sums.items():
-            yield _moment_batch("yy", [label], [label], [counts[label]])
-            yield _moment_batch("xy", np.full(len(total), label), np.arange(len(total)), total)
-
-    # a vector with a missing element is missing
-    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda v: v.isNull())
-    chosen = df.where(whole).select(
-        F.col(vector).alias("x"), *([F.col(labels).alias("y")] if labels else [])
-    )
-    width = tasks or df.sparkSession.sparkContext.defaultParallelism
-    partials = chosen.coalesce(width).mapInArrow(fold, _MOMENTS)
-    return partials.groupBy("kind", "i", "j").agg(F.sum("value").alias("value"))
-
-
-def _moment_batch(kind: str, i: Sequence, j: Sequence, value: Sequence) -> pa.RecordBatch:
-    size = len(value)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind] * size, pa.string()),
-            pa.array(np.asarray(i, np.int32)),
-            pa.array(np.asarray(j, np.int32)),
-            pa.array(np.asarray(value, np.float64)),
-        ],
-        names=["kind", "i", "j", "value"],
+        yield _block_batch("n", [0], len(x), [np.array([float(n)])])
+        yield _block_batch("x", [0], len(x), [x])
+        bands = range(0, len(x), BAND)
+        yield _block_batch("xx", range(len(bands)), len(x), [xx[at : at + BAND] for at in bands])
+        for at in range(0, len(sums), 1000):
+            some = sorted(sums)[at : at + 1000]
+            yield _block_batch("xy", some, len(x), [sums[label] for label in some])
+
+    partials = _per_task(df, vector, fold, _BLOCKS, [labels] if labels else [], tasks)
+    level = _added(partials, ["kind", "i", "width", "part"]).withColumn("numbers", F.concat("numbers", F.array(F.col("width").cast("double"), F.lit(1.0))))
+    # the width goes along as a sum, so that vectors of different lengths in different tasks are noticed
+    sums = _added(level, ["kind", "i"])
+    size = F.size("numbers")
+    width = F.element_at("numbers", -2) / F.element_at("numbers", -1)
+    return sums.select("kind", "i", width.cast("int").alias("width"), F.slice("numbers", 1, size - 2).alias("numbers"))
+
+
+def entries(sums: DataFrame) -> DataFrame:
+    """Blocks number by number: 'n', 'x' (i), 'xx' (i <= j), 'yy' (label) and 'xy' (label, feature)."""
+    each = sums.select("kind", "i", "width", F.posexplode("numbers").alias("at", "value"))
+    kind, at, width = F.col("kind"), F.col("at"), F.col("width")
+    label = kind == "xy"
+    row = F.when(kind == "xx", F.col("i") * BAND + F.floor(at / width)).when(kind == "x", at).otherwise(F.col("i"))
+    column = F.when(kind == "xx", at % width).when(label & (at > 0), at - 1).when(label, F.col("i")).otherwise(0)
+    named = each.select(
+        F.when(label & (at == 0), "yy").otherwise(kind).alias("kind"), row.cast("int").alias("i"), column.cast("int").alias("j"), "value"
     )
+    return named.where((F.col("kind") != "xx") | (F.col("i") <= F.col("j")))
 
 
 class Moments:
-    """Moments on the driver: n, x (d), xx (d x d), labels, yy (L), xy (L x d).
+    """The part of the moments that every model needs, on the driver: n, x (d), xx (d x d), 8 d^2 bytes.
 
-    The algebra that follows needs them in one place: about 40 (d^2 / 2 + L d)
-    bytes while they arrive, whatever the number of rows.
+    What grows with the labels stays in the table.
     """
 
     def __init__(self, table: DataFrame):
-        rows = table.toArrow().to_pandas()
-        parts = {kind: part for kind, part in rows.groupby("kind")}
-        if "n" not in parts:
+        rows = table.where("kind <> 'xy'").collect()
+        parts = {(row["kind"], row["i"]): np.array(row["numbers"]) for row in rows}
+        widths = sorted({row["width"] for row in rows})
+        if not rows:
             raise ValueError("no rows with a vector")
-        self.n = float(parts["n"]["value"].iloc[0])
-        d = len(parts["x"])
-        self.x = np.zeros(d)
-        self.x[parts["x"]["i"]] = parts["x"]["value"]
-        self.xx = np.zeros((d, d))
-        i, j, v = (parts["xx"][c].to_numpy() for c in ("i", "j", "value"))
-        self.xx[i, j] = v
-        self.xx[j, i] = v
-        self.labels = np.array(sorted(parts["yy"]["i"])) if "yy" in parts else np.array([], int)
-        place = {label: at for at, label in enumerate(self.labels)}
-        self.yy = np.zeros(len(self.labels))
-        self.xy = np.zeros((len(self.labels), d))
-        if len(self.labels):
-            self.yy[[place[l] for l in parts["yy"]["i"]]] = parts["yy"]["value"]
-            rows_at = [place[l] for l in parts["xy"]["i"]]
-            self.xy[rows_at, parts["xy"]["j"]] = parts["xy"]["value"]
-
-
-def ridge_coefficients(sums: Moments, ridge: float) -> np.ndarray:
-    """pinv(X'X + ridge n I) X'Y, one row per label, no intercept."""
-    penalised = sums.xx + ridge * sums.n * np.identity(len(sums.xx))
-    return (np.linalg.pinv(penalised, hermitian=True) @ sums.xy.T).T
-
-
-def in_sample_r2(sums: Moments, beta: np.ndarray) -> np.ndarray:
-    """Uncentred (2 b'X'y - b'X'X b) / y'y per label."""
-    return (2 * np.sum(beta * sums.xy, axis=1) - np.sum((beta @ sums.xx) * beta, axis=1)) / sums.yy
+        if len(widths) > 1:
+            raise ValueError(f"vectors of {widths[0]} and of {widths[-1]} numbers")
+        self.n = float(parts["n", 0][0])
+        self.x = parts["x", 0]
+        bands = [parts[key] for key in sorted(key for key in parts if key[0] == "xx")]
+        self.xx = np.concatenate(bands).reshape(len(self.x), -1)
+
+
+def ridge_solver(sums: Moments, ridge: float) -> np.ndarray:
+    """pinv(X'X + ridge n I), which gives any label's weights from its X'y."""
+    return np.linalg.pinv(sums.xx + ridge * sums.n * np.identity(len(sums.xx)), hermitian=True)
 
 
 def ridge_fit(df: DataFrame, vector: str, labels: str, ridges: Sequence[float] = RIDGES) -> DataFrame:
-    """Coefficients (ridge, label, feature, weight, r2) of all ridges from one pass over the data."""
-    sums = Moments(moments(df, vector, labels))
-    frames = []
-    for ridge in ridges:
-        beta = ridge_coefficients(sums, ridge)
-        at_label, at_feature = np.indices(beta.shape)
-        frames.append(
-            pd.DataFrame(
-                {
-                    "ridge": float(ridge),
-                    "label": sums.labels[at_label.ravel()].astype(np.int32),
-                    "feature": at_feature.ravel().astype(np.int32),
-                    "weight": beta.ravel(),
-                    "r2": np.repeat(in_sample_r2(sums, beta), beta.shape[1]),
-                }
-            )
-        )
-    schema = "ridge double, label int, feature int, weight double, r2 double"
-    return df.sparkSession.createDataFrame(pd.concat(frames), schema)
+    """Coefficients (ridge, label, feature, weight, r2) of all ridges from one pass over the data.
+
+    r2 is uncentred, (2 b'X'y - b'X'X b) / y'y.  One factorisation per ridge (8 d^2
+    bytes, sent to the tasks) serves all labels, which are solved where their sums are.
+    """
+    table = materialize(moments(df, vector, labels), "moments")
+    sums = Moments(table)
+    shared = df.sparkSession.sparkContext.broadcast((sums.xx, {float(r): ridge_solver(sums, r) for r in ridges}))
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xx, solvers = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = _matrix(batch.column("numbers"))
+            yy, xy = numbers[:, 0], numbers[:, 1:]
+            for ridge, solver in solvers.items():
+                beta = xy @ solver
+                r2 = (2 * np.sum(beta * xy, axis=1) - np.sum((beta @ xx) * beta, axis=1)) / yy
+                weights = pa.ListArray.from_arrays(np.arange(len(beta) + 1, dtype=np.int32) * beta.shape[1], pa.array(beta.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(beta), ridge)), batch.column("i"), weights, pa.array(r2)], ["ridge", "label", "weights", "r2"]
+                )
+
+    solved = table.where("kind = 'xy'").select("i", "numbers").mapInArrow(solve, "ridge double, label int, weights array<double>, r2 double")
+    return solved.select("ridge", "label", F.posexplode("weights").alias("feature", "weight"), "r2")
 
 
 def group_means(df: DataFrame, by: Sequence[str], vector: str, name: str = "mean") -> DataFrame:
@@ -172,14 +199,13 @@ def group_means(df: DataFrame, by: Sequence[str], vector: str, name: str = "mean
     return means.select(*by, vector_to_array("_mean").alias(name))
 
 
-def model_arrays(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Model table (label, feature, weight) to its labels and a label-by-feature matrix."""
-    arrow = model.select("label", "feature", "weight").toArrow()
-    table = {name: arrow.column(name).to_numpy() for name in arrow.column_names}
-    labels, at = np.unique(table["label"], return_inverse=True)
-    beta = np.zeros((len(labels), int(table["feature"].max()) + 1))
-    beta[at, table["feature"]] = table["weight"]
-    return labels, beta
+def model_rows(model: DataFrame) -> DataFrame:
+    """Model table (label, feature, weight) as one row of weights per label: label, weights; absent ones are 0."""
+    pairs = F.map_from_entries(F.collect_list(F.struct("feature", "weight")))
+    last = model.agg(F.max("feature")).first()[0]
+    weight = lambda at: F.coalesce(F.element_at("pairs", at), F.lit(0.0))
+    places = F.sequence(F.lit(0), F.lit(last or 0))
+    return model.groupBy("label").agg(pairs.alias("pairs")).select("label", F.transform(places, weight).alias("weights"))
 
 
 def _present(batch: pd.Series) -> pd.Series:
@@ -211,13 +237,50 @@ def _best(scores: np.ndarray, top: int) -> np.ndarray:
     return near[np.argsort(-scores[near], kind="stable")][:top]
 
 
+SHARED_BYTES = 64 << 20  # of weights that are broadcast at once
+
+
+def _label_blocks(model: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Labels and their weights in blocks of at most SHARED_BYTES, by label; the driver holds one or two."""
+    rows = materialize(model_rows(model).orderBy("label"), "weights")
+    labels: list[int] = []
+    weights: list[list[float]] = []
+    for row in rows.orderBy("label").toLocalIterator():
+        if labels and (len(labels) + 1) * len(row["weights"]) * 8 > SHARED_BYTES:
+            yield np.array(labels), np.array(weights)
+            labels, weights = [], []
+        labels.append(row["label"])
+        weights.append(row["weights"])
+    if labels:
+        yield np.array(labels), np.array(weights)
+
+
 def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None = None) -> DataFrame:
     """Columns of `df` with `scores`: array of (label, score), best first, all labels or the best `keep`.
 
-    The weights are broadcast once per executor; equal scores go to the smaller
-    label; a missing vector has no scores.
+    Weights of at most SHARED_BYTES are broadcast; more labels are scored block by block,
+    each row keeping its best.  Equal scores go to the smaller label; a missing
+    vector has no scores.
     """
-    labels, beta = model_arrays(model)
+    blocks = _label_blocks(model)
+    block = next(blocks, None)
+    if block is None:
+        raise ValueError("a model without labels")
+    scored = df.withColumn("scores", _block_scores(df, vector, *block, keep))
+    for block in blocks:
+        # a block's scores are written before the next block's weights are sent
+        scored = materialize(scored, "scores").withColumn("_scores", _block_scores(df, vector, *block, keep))
+        both = F.array_sort(F.concat("scores", "_scores"), _by_score)
+        scored = scored.withColumn("scores", both if keep is None else F.slice(both, 1, keep)).drop("_scores")
+    return scored
+
+
+def _by_score(left: Column, right: Column) -> Column:
+    ahead = (left["score"] > right["score"]) | ((left["score"] == right["score"]) & (left["label"] < right["label"]))
+    return F.when(ahead, -1).otherwise(1)
+
+
+def _block_scores(df: DataFrame, vector: str, labels: np.ndarray, beta: np.ndarray, keep: int | None) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(beta)
     top = len(labels) if keep is None else min(keep, len(labels))
     item = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("score", T.DoubleType())])
@@ -233,27 +296,103 @@ def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None
                 items += [[{"label": int(labels[i]), "score": float(row[i])} for i in _best(row, top)] for row in table]
             yield _placed(items, batch)
 
-    return df.withColumn("scores", score(F.col(vector)))
+    return score(F.col(vector))
 
 
+@dataclass
 class Components:
     """Principal components: mean (d), loadings (k x d), variance per component and its share."""
 
-    def __init__(self, sums: Moments, k: int | None = None):
-        self.mean = sums.x / sums.n
-        centred = (sums.xx - sums.n * np.outer(self.mean, self.mean)) / (sums.n - 1)
-        values, vectors = np.linalg.eigh(centred)
-        order = np.argsort(values)[::-1][:k]
-        loadings = vectors[:, order].T
-        largest = loadings[np.arange(len(loadings)), np.abs(loadings).argmax(axis=1)]
-        self.loadings = loadings * np.where(largest < 0, -1.0, 1.0)[:, None]
-        self.variance = np.maximum(values[order], 0.0)
-        self.share = self.variance / np.maximum(values, 0.0).sum()
-
-
-def principal_components(df: DataFrame, vector: str, k: int | None = None) -> Components:
-    """Components of the centred covariance; the largest loading of each is positive."""
-    return Components(Moments(moments(df, vector)), k)
+    mean: np.ndarray
+    loadings: np.ndarray
+    variance: np.ndarray
+    share: np.ndarray
+
+
+def _total(df: DataFrame, vector: str, step: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum of `step` over all rows, a matrix of vectors at a time; its size is what reaches the driver."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = step(_matrix(batch.column(0)))
+                if total is not None and part.shape != total.shape:
+                    raise ValueError("vectors of different lengths")
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["numbers"])
+
+    sums = _added(_added(_per_task(df, vector, fold, "numbers array<double>"), ["part"]), []).first()["numbers"]
+    if sums is None:
+        raise ValueError("no rows with a vector")
+    return np.array(sums)
+
+
+def _triangle(rows: np.ndarray, above: np.ndarray | None = None) -> np.ndarray:
+    """The square R of the QR factors of all rows, those of `above` first."""
+    stacked = rows if above is None else np.concatenate([above, rows])
+    wide = stacked.shape[1]
+    if len(stacked) < wide:
+        stacked = np.concatenate([stacked, np.zeros((wide - len(stacked), wide))])
+    return np.linalg.qr(stacked, mode="r")
+
+
+def _tall_triangle(df: DataFrame, vector: str, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """R of the rows on the basis, by QR per task, then per group of tasks, then of the groups' factors."""
+    wide = basis.shape[1]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = None
+        for batch in batches:
+            if batch.num_rows:
+                r = _triangle((_matrix(batch.column(0)) - mean) @ basis, r)
+        if r is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([r.ravel()], pa.list_(pa.float64()))], ["numbers"])
+
+    def together(parts: pd.DataFrame) -> pd.DataFrame:
+        r = None
+        for numbers in parts["numbers"]:
+            r = _triangle(np.reshape(numbers, (-1, wide)), r)
+        return pd.DataFrame({"numbers": [r.ravel()]})
+
+    factors = _per_task(df, vector, fold, "numbers array<double>")
+    rows = factors.groupBy("part").applyInPandas(together, "numbers array<double>").collect()  # the root of the tasks
+    return _triangle(np.concatenate([np.reshape(row["numbers"], (-1, wide)) for row in rows]))
+
+
+def principal_components(
+    df: DataFrame, vector: str, k: int | None = None, oversample: int = 10, rounds: int = 4
+) -> Components:
+    """The k first components of the centred rows (all by default); the largest loading of each is positive.
+
+    A random basis of k + `oversample` directions is turned towards the rows by
+    `rounds` passes and made orthonormal after each; the components are those of
+    the rows on this basis.  Scores on them are uncorrelated whatever the rounds; the
+    variances are lower bounds, exact where the basis spans everything.  The largest
+    thing on the driver and in a task is d x (k + oversample) numbers, not d x d.
+    """
+    sums = _total(df, vector, lambda rows: np.concatenate([[float(len(rows))], rows.sum(axis=0)]))
+    n, mean = sums[0], sums[1:] / sums[0]
+    d = len(mean)
+    wide = d if k is None else min(d, k + oversample)
+    if wide < d:
+        basis = np.linalg.qr(np.random.default_rng(0).normal(size=(d, wide)))[0]
+        for _ in range(rounds):
+            turned = _total(df, vector, lambda rows, q=basis: (rows - mean).T @ ((rows - mean) @ q))
+            basis = np.linalg.qr(turned.reshape(d, wide))[0]
+    else:
+        basis = np.identity(d)
+    _, singular, directions = np.linalg.svd(_tall_triangle(df, vector, mean, basis))
+    whole = _total(df, vector, lambda rows: np.array([((rows - mean) ** 2).sum()]))[0]
+    loadings = (directions @ basis.T)[:k]
+    largest = loadings[np.arange(len(loadings)), np.abs(loadings).argmax(axis=1)]
+    return Components(
+        mean=mean,
+        loadings=loadings * np.where(largest < 0, -1.0, 1.0)[:, None],
+        variance=singular[:k] ** 2 / (n - 1),
+        share=singular[:k] ** 2 / whole,
+    )
 
 
 def project(vector: Column, components: Components) -> Column:

@@ -25,7 +25,7 @@ ENTRIES_SQL = """
     """,
 )
 def gram_matrix(spark: SparkSession, root: str) -> DataFrame:
-    sums = linear.moments(table(spark, root, "embeddings"), "embedding")
+    sums = linear.entries(linear.moments(table(spark, root, "embeddings"), "embedding"))
     return sums.where("kind = 'xx'").select("i", "j", fixed("value", 6).alias("value"))
 
 
@@ -39,7 +39,7 @@ def gram_matrix(spark: SparkSession, root: str) -> DataFrame:
 def label_moments(spark: SparkSession, root: str) -> DataFrame:
     """Label-by-feature sums X'Y and label counts, the other half of the shared moments."""
     frames = table(spark, root, "embeddings").withColumn("labels", F.array("label"))
-    sums = linear.moments(frames, "embedding", "labels")
+    sums = linear.entries(linear.moments(frames, "embedding", "labels"))
     counts = sums.where("kind = 'yy'").select(F.col("i").alias("label"), F.col("value").cast("bigint").alias("frames"))
     cross = sums.where("kind = 'xy'").select(F.col("i").alias("label"), F.col("j").alias("feature"), "value")
     return cross.join(counts, "label").select("label", "feature", "frames", fixed("value", 6).alias("value"))
@@ -127,7 +127,7 @@ def ridge_normal(spark: SparkSession, root: str) -> DataFrame:
     """
     frames = table(spark, root, "embeddings").withColumn("labels", F.array("label"))
     model = linear.ridge_fit(frames, "embedding", "labels")
-    sums = linear.moments(frames, "embedding", "labels")
+    sums = linear.entries(linear.moments(frames, "embedding", "labels"))
     upper = sums.where("kind = 'xx'")
     square = upper.select("i", "j", "value").unionByName(
         upper.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "value")
@@ -182,6 +182,29 @@ def pca_scores(spark: SparkSession, root: str) -> DataFrame:
     return frames.select("vec_id", linear.project(F.col("embedding"), found).alias("scores"))
 
 
+@bound(
+    "pca_uncorrelated",
+    """
+    SELECT i::INTEGER AS component, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS covariance, true AS falling
+    FROM (SELECT unnest(range(0, 40)) AS i)
+    """,
+)
+def pca_uncorrelated(spark: SparkSession, root: str) -> DataFrame:
+    """What holds of scores on principal components: means of 0, no covariance with any other, variances in falling order."""
+    scores = materialize(pca_scores(spark, root), "scores")
+    sums = materialize(linear.entries(linear.moments(scores, "scores")), "moments")
+    n = sums.where("kind = 'n'").select("value").scalar()
+    means = sums.where("kind = 'x'").select(F.col("i").alias("component"), (F.col("value") / n).alias("mean"))
+    products = sums.where("kind = 'xx'").select("i", "j", (F.col("value") / n).alias("value"))
+    apart = products.where("i <> j").select(F.explode(F.array("i", "j")).alias("component"), F.abs("value").alias("value"))
+    others = apart.groupBy("component").agg(F.max("value").alias("covariance"))
+    own = products.where("i = j").select(F.col("i").alias("component"), F.col("value").alias("variance"))
+    after = own.select((F.col("component") - 1).alias("component"), F.col("variance").alias("after"))
+    falling = F.coalesce(F.col("variance") >= F.col("after"), F.lit(True))
+    joined = means.join(others, "component").join(own, "component").join(after, "component", "left")
+    return joined.select("component", fixed("mean", 6).alias("mean"), fixed("covariance", 6).alias("covariance"), falling.alias("falling"))
+
+
 KNN_SQL = """
     pairs AS (
       SELECT a.vec_id, b.vec_id AS neighbour,

@@ -129,16 +129,18 @@ def test_more_genes_groups_and_categories_than_any_list_would_hold(spark):
 def test_moments_refuse_ragged_vectors(spark, rows, message):
     from millrace.operators import linear
 
-    df = spark.createDataFrame([(r,) for r in rows], "v array<double>").coalesce(1)
+    df = spark.createDataFrame([(r,) for r in rows], "v array<double>")
     with pytest.raises(Exception, match=message):
-        linear.moments(df, "v").collect()
+        linear.moments(df.repartition(1), "v").collect()
+    with pytest.raises(Exception, match="(?i)dimension"):  # in different tasks
+        linear.moments(df.repartition(2), "v", tasks=2).collect()
 
 
 def test_moments_leave_out_vectors_with_a_missing_element(spark):
     from millrace.operators import linear
 
     df = spark.createDataFrame([([1.0, 2.0], [3]), ([None, 1.0], [3]), (None, [3]), ([3.0, 5.0], [3, 4])], "v array<double>, l array<int>")
-    got = {(r["kind"], r["i"], r["j"]): r["value"] for r in linear.moments(df, "v", "l").collect()}
+    got = {(r["kind"], r["i"], r["j"]): r["value"] for r in linear.entries(linear.moments(df, "v", "l")).collect()}
     assert got["n", 0, 0] == 2 and got["xx", 0, 1] == 17 and got["xy", 3, 1] == 7 and got["xy", 4, 0] == 3 and got["yy", 3, 3] == 2
 
 
@@ -254,10 +256,34 @@ def frames(spark):
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_moments_do_not_depend_on_partitions(frames, parts):
     df, x, hot = frames
-    sums = linear.Moments(linear.moments(df.repartition(parts), "x", "y", tasks=parts))
+    table = linear.moments(df.repartition(parts), "x", "y", tasks=parts).cache()
+    sums = linear.Moments(table)
     assert sums.n == 300
     assert np.allclose(sums.xx, x.T @ x) and np.allclose(sums.x, x.sum(axis=0))
-    assert np.allclose(sums.xy, hot.T @ x) and np.allclose(sums.yy, hot.sum(axis=0))
+    numbers = {r["i"]: r["numbers"] for r in table.where("kind = 'xy'").collect()}
+    assert all(np.allclose(numbers[label], [hot[:, label].sum(), *(hot.T @ x)[label]]) for label in range(4))
+    xx = {(r["i"], r["j"]): r["value"] for r in linear.entries(table).where("kind = 'xx'").collect()}
+    assert len(xx) == 21 and np.allclose(xx[2, 5], (x.T @ x)[2, 5])
+
+
+def test_bands_of_a_wide_matrix(spark, monkeypatch):
+    monkeypatch.setattr(linear, "BAND", 4)
+    x = np.random.default_rng(1).normal(size=(20, 10))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(5)
+    table = linear.moments(df, "x")
+    assert table.where("kind = 'xx'").count() == 3
+    assert np.allclose(linear.Moments(table).xx, x.T @ x)
+
+
+def test_labels_are_scored_in_blocks(spark, frames, monkeypatch):
+    df, x, hot = frames
+    model = linear.ridge_fit(df, "x", "y", [0.0])
+    whole = {r["id"]: r["scores"] for r in linear.linear_scores(df, "x", model, 3).collect()}
+    monkeypatch.setattr(linear, "SHARED_BYTES", 6 * 8)  # one label at a time
+    parts = {r["id"]: r["scores"] for r in linear.linear_scores(df, "x", model, 3).collect()}
+    for row, best in whole.items():
+        assert [b["label"] for b in best] == [b["label"] for b in parts[row]]
+        assert np.allclose([b["score"] for b in best], [b["score"] for b in parts[row]])
 
 
 def test_moments_leave_out_missing_vectors_and_empty_partitions(spark):
@@ -306,6 +332,20 @@ def test_components_match_numpy(frames):
     assert (largest > 0).all()
 
 
+def test_few_components_of_many_features(spark):
+    draw = np.random.default_rng(5)
+    x = 1e3 + draw.normal(size=(400, 3)) @ (draw.normal(size=(3, 50)) * 4) + 0.1 * draw.normal(size=(400, 50))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)] + [(999, None)], "id int, x array<double>").repartition(7)
+    found = linear.principal_components(df, "x", 5, oversample=3)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    assert np.allclose(found.variance[:3], values[::-1][:3], rtol=1e-6)
+    assert np.allclose(found.variance, values[::-1][:5], rtol=0.1)
+    assert np.allclose(found.share, found.variance / values.sum())
+    assert np.allclose(np.abs(np.sum(found.loadings[:3] * vectors[:, ::-1][:, :3].T, axis=1)), 1, atol=1e-6)
+    scores = (x - x.mean(axis=0)) @ found.loadings.T
+    assert np.allclose(np.cov(scores.T), np.diag(found.variance), atol=1e-6)
+
+
 @pytest.mark.parametrize("tasks", [1, 3, 20])
 def test_states_merge_in_any_order(spark, tasks):
     draw = np.random.default_rng(7)
