@@ -309,7 +309,7 @@ class Components:
     share: np.ndarray
 
 
-def _total(df: DataFrame, vector: str, step: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+def total_of(df: DataFrame, vector: str, step: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Sum of `step` over all rows, a matrix of vectors at a time; its size is what reaches the driver."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,19 +372,19 @@ def principal_components(
     variances are lower bounds, exact where the basis spans everything.  The largest
     thing on the driver and in a task is d x (k + oversample) numbers, not d x d.
     """
-    sums = _total(df, vector, lambda rows: np.concatenate([[float(len(rows))], rows.sum(axis=0)]))
+    sums = total_of(df, vector, lambda rows: np.concatenate([[float(len(rows))], rows.sum(axis=0)]))
     n, mean = sums[0], sums[1:] / sums[0]
     d = len(mean)
     wide = d if k is None else min(d, k + oversample)
     if wide < d:
         basis = np.linalg.qr(np.random.default_rng(0).normal(size=(d, wide)))[0]
         for _ in range(rounds):
-            turned = _total(df, vector, lambda rows, q=basis: (rows - mean).T @ ((rows - mean) @ q))
+            turned = total_of(df, vector, lambda rows, q=basis: (rows - mean).T @ ((rows - mean) @ q))
             basis = np.linalg.qr(turned.reshape(d, wide))[0]
     else:
         basis = np.identity(d)
     _, singular, directions = np.linalg.svd(_tall_triangle(df, vector, mean, basis))
-    whole = _total(df, vector, lambda rows: np.array([((rows - mean) ** 2).sum()]))[0]
+    whole = total_of(df, vector, lambda rows: np.array([((rows - mean) ** 2).sum()]))[0]
     loadings = (directions @ basis.T)[:k]
     largest = loadings[np.arange(len(loadings)), np.abs(loadings).argmax(axis=1)]
     return Components(

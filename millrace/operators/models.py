@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,10 +14,11 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.evaluation import r_squared
+from millrace.operators.linear import total_of
 from millrace.operators.sequences import running_sums
 from millrace.operators.splits import ordered_split
 
@@ -162,36 +164,120 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 3, seed:
     return dealt.withColumn("fold", ((F.col("_i") - 1) % folds).cast("int")).drop("_h", "_i")
 
 
+@dataclass
+class Search:
+    """The settings tried, their mean accuracies over the folds, and the best one refitted on all rows."""
+
+    settings: list[dict]
+    avgMetrics: list[float]
+    bestModel: Model
+
+
+NEWTON_PASSES = 30
+FLAT = 1e-9  # gradient per row at which a fit is done
+
+
+def stacked_logistic(rows: DataFrame, penalties: np.ndarray, folds: int) -> np.ndarray:
+    """Weights (penalty, fold, feature and intercept) of logistic fits that leave out one fold each.
+
+    A penalty is that of Spark's regParam, per row of a fit's own rows.
+    `rows` has `packed`: features, then label and fold.  All fits share every pass over
+    the rows: a pass adds the gradients and second derivatives of each, 8 d^2
+    bytes per fit, and all take their Newton step, halved where the last one
+    went too far.  The intercept is not penalised.
+    """
+    width = len(rows.first()["packed"]) - 1  # features and intercept
+    fold = np.tile(np.arange(folds), len(penalties))
+    per_row = np.repeat(penalties, folds)[:, None] * np.append(np.ones(width - 1), 0.0)
+    fits = len(fold)
+
+    def sums(packed: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        x = np.column_stack([packed[:, :-2], np.ones(len(packed))])
+        inside = packed[:, -1][:, None] != fold
+        margin = x @ weights.T
+        chance = 0.5 * (1 + np.tanh(margin / 2))
+        loss = (np.logaddexp(0, margin) - packed[:, -2][:, None] * margin) * inside
+        slope = x.T @ ((chance - packed[:, -2][:, None]) * inside)
+        bend = chance * (1 - chance) * inside
+        curves = np.stack([(x * bend[:, m : m + 1]).T @ x for m in range(fits)])
+        return np.concatenate([loss.sum(axis=0), inside.sum(axis=0), slope.T.ravel(), curves.ravel()])
+
+    weights, step, before = np.zeros((fits, width)), np.zeros((fits, width)), np.full(fits, np.inf)
+    for _ in range(NEWTON_PASSES):
+        found = total_of(rows, "packed", lambda packed, w=weights: sums(packed, w))
+        loss, counted, slope, curves = np.split(found, np.cumsum([fits, fits, fits * width]))
+        strength = per_row * counted[:, None]
+        loss = loss + 0.5 * (strength * weights**2).sum(axis=1)
+        slope = slope.reshape(fits, width) + strength * weights
+        curves = curves.reshape(fits, width, width) + strength[:, :, None] * np.identity(width)
+        failed = loss > before * (1 + 1e-12)
+        ahead = -np.stack([np.linalg.lstsq(c, s, rcond=None)[0] for c, s in zip(curves, slope)])
+        done = ~failed & (np.abs(slope).max(axis=1) <= FLAT * np.maximum(counted, 1))
+        if done.all():
+            break
+        # back to half of the last step, or on with the next one
+        base = np.where(failed[:, None], weights - step, weights)
+        step = np.where(failed[:, None], step / 2, np.where(done[:, None], 0.0, ahead))
+        before = np.where(failed, before, loss)
+        weights = base + step
+    return weights.reshape(len(penalties), folds, width)
+
+
+def logistic_accuracies(rows: DataFrame, weights: np.ndarray) -> list[float]:
+    """Mean over the folds of the share of rows that the fits without them get right, per penalty."""
+    settings, folds, width = weights.shape
+
+    def hits(packed: np.ndarray) -> np.ndarray:
+        x = np.column_stack([packed[:, :-2], np.ones(len(packed))])
+        right = (x @ weights.reshape(-1, width).T > 0) == (packed[:, -2][:, None] > 0.5)
+        own = packed[:, -1][:, None] == np.arange(folds)
+        return np.concatenate([(right & np.tile(own, settings)).sum(axis=0), own.sum(axis=0)]).astype(float)
+
+    found = total_of(rows, "packed", hits)
+    return (found[:-folds].reshape(settings, folds) / found[-folds:]).mean(axis=1).tolist()
+
+
 def random_search(
     rows: DataFrame, kind: str, key: str, draws: int = 10, folds: int = 3, seed: int = 7, parallelism: int = 8
-) -> CrossValidatorModel:
+) -> Search:
     """Best of `draws` settings by cross-validated accuracy, refitted on all rows.
 
-    `rows` has columns features (vector), label and the key.
+    `rows` has columns features (vector), label and the key.  All logistic fits
+    are one stack of models that share each pass; the trees are fitted one by one.
     """
     folded = stratified_folds(rows, "label", key, folds, seed).cache()
     n = folded.count()
     width = folded.select("features").first()["features"].size
     estimator, settings = search_space(kind, n, width, draws, seed)
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=settings,
-        evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
     try:
-        return validator.fit(folded)
+        if kind == "logistic":
+            packed = folded.select(
+                F.concat(vector_to_array("features"), F.array("label", F.col("fold").cast("double"))).alias("packed")
+            ).cache()
+            weights = stacked_logistic(packed, np.array([s[estimator.regParam] for s in settings]), folds)
+            metrics = logistic_accuracies(packed, weights)
+            packed.unpersist()
+            best = estimator.fit(folded, settings[int(np.argmax(metrics))])
+            return Search(settings, metrics, best)
+        validator = CrossValidator(
+            estimator=estimator,
+            estimatorParamMaps=settings,
+            evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"),
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+            seed=seed,
+        )
+        found = validator.fit(folded)
+        return Search(settings, list(found.avgMetrics), found.bestModel)
     finally:
         folded.unpersist()
 
 
-def best_setting(search: CrossValidatorModel) -> tuple[float, dict[str, object]]:
+def best_setting(search: Search) -> tuple[float, dict[str, object]]:
     """Best mean accuracy and its parameters by name."""
     best = int(np.argmax(search.avgMetrics))
-    return search.avgMetrics[best], {p.name: v for p, v in search.getEstimatorParamMaps()[best].items()}
+    return search.avgMetrics[best], {p.name: v for p, v in search.settings[best].items()}
 
 
 def backtest(model: Model, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

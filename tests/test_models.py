@@ -3,7 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from millrace.operators import models
@@ -104,3 +107,36 @@ def test_logistic_markers_point_at_the_right_gene(spark):
     got = models.logistic_markers(df, ["ga", "gb", "gc", "gd"]).toPandas()
     best = got.loc[got.groupby("group")["score"].idxmax()].set_index("group")["gene"]
     assert best.to_dict() == {"a": "ga", "b": "gb", "c": "gc"}
+
+
+def test_stacked_fits_equal_separate_ones(spark):
+    draw = np.random.default_rng(21)
+    x = draw.normal(size=(240, 4)) * [1, 3, 0.2, 1]
+    y = (x @ [1.5, -0.5, 2.0, 0.0] + 0.7 + draw.logistic(size=240) > 0).astype(float)
+    people = spark.createDataFrame([(i, float(y[i]), *map(float, x[i])) for i in range(240)], "id bigint, label double, a double, b double, c double, d double")
+    rows = models.feature_vector(people, ["a", "b", "c", "d"]).select("id", "label", "features")
+    folded = models.stratified_folds(rows, "label", "id")
+    packed = folded.select(F.concat(vector_to_array("features"), F.array("label", F.col("fold").cast("double"))).alias("packed")).cache()
+    penalties = [0.01, 1.0, 50.0]
+    weights = models.stacked_logistic(packed, np.array(penalties), 3)
+    for s, penalty in enumerate(penalties[:2]):
+        for fold in range(2):
+            one = LogisticRegression(labelCol="label", standardization=False, regParam=penalty, tol=1e-10, maxIter=500).fit(folded.where(F.col("fold") != fold))
+            assert np.allclose(weights[s, fold], [*one.coefficients, one.intercept], atol=1e-4)
+    search = models.random_search(rows, "logistic", "id", draws=3)
+    validator = CrossValidator(
+        estimator=LogisticRegression(labelCol="label", standardization=False, maxIter=250), estimatorParamMaps=search.settings,
+        evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"), numFolds=3, foldCol="fold",
+    )
+    estimator, settings = models.search_space("logistic", 240, 4, 3, 7)
+    validator.setEstimator(estimator).setEstimatorParamMaps(settings)
+    separate = validator.fit(folded).avgMetrics
+    assert np.allclose(search.avgMetrics, separate, atol=0.01)
+    assert np.argmax(search.avgMetrics) == np.argmax(separate)
+
+
+def test_separable_classes_still_end(spark):
+    rows = spark.createDataFrame([([float(i), float(i > 20), float(i % 3)],) for i in range(40)], "packed array<double>")
+    weights = models.stacked_logistic(rows, np.array([1e-3]), 3)
+    assert np.isfinite(weights).all()
+    assert models.logistic_accuracies(rows, weights)[0] > 0.9
