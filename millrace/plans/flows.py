@@ -242,16 +242,16 @@ def single_cell(
         neighbours.undirected(neighbours.nearest_neighbours(stored, "id", "scores", near), "id", "neighbour"),
         f"{out}/graph",
     )
-    communities = communities.cluster_graph(graph)
+    groups = communities.cluster_graph(graph)
     clusters = _store(
-        stored.join(communities, "id").select("cell", F.col("cluster").cast("string").alias("group")), f"{out}/clusters"
+        stored.join(groups, "id").select("cell", F.col("cluster").cast("string").alias("group")), f"{out}/clusters"
     )
     return {
         "quality": quality,
         "genes": genes,
         "variance": variance,
         "clusters": clusters,
-        "modularity": neighbours.modularity(graph, communities),
+        "modularity": neighbours.modularity(graph, groups),
         "t_markers": markers.top_markers(markers.welch_scores(logged, clusters)),
         "ranksum_markers": markers.top_markers(markers.rank_sum_scores(logged, clusters)),
         "logistic_markers": markers.top_markers(
