@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -23,13 +24,17 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from millrace.llm.common import give_back, smaller_batches, texts_of
 
 CONTEXTS = (1024, 512, 256, 128)
 END = 0
 RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary as byte_bpe_50k.json
+TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = {"<|endoftext|>": 50256}
+LONG_SPACE = 100_000  # characters of a white-space run from which the tokenizer file is used
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 STEP_TOKENS = 1 << 16
 
 SCHEMA = (
@@ -45,9 +50,21 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+@functools.cache
+def whole_tokenizer(name: str = TOKENIZER) -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def tokens(text: str, path: str) -> np.ndarray:
-    """Ids of the text and the id that ends it."""
-    ids = encoder(path).encode_to_numpy(text, allowed_special="all")
+    """Ids of the text and the id that ends it.
+
+    The rank file's pattern runs out of stack on very long white space; a text with
+    such a run goes through the tokenizer file itself, which gives the same ids.
+    """
+    if len(text) > LONG_SPACE and _LONG_SPACE.search(text):
+        ids = np.array(whole_tokenizer().encode(text, add_special_tokens=False).ids, np.uint32)
+    else:
+        ids = encoder(path).encode_to_numpy(text, allowed_special="all")
     return np.append(ids, END).astype("<u4")
 
 

@@ -283,3 +283,17 @@ def test_the_last_stage_returns_the_packed_tokens_and_op6_drops_them(spark, smal
 def test_the_pipeline_runs_on_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, " " * 150_000 + "word", "word" + " \n" * 100_000 + "<|endoftext|> x", " " * 99_999 + "é"]
+)
+def test_ids_of_very_long_runs_are_those_of_the_tokenizer_file(text):
+    expected = packing.whole_tokenizer().encode(text, add_special_tokens=False).ids
+    assert packing.tokens(text, public_tokenizers.path(packing.RANKS)).tolist() == expected + [packing.END]
+
+
+def test_a_document_of_spaces_is_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "two words")], "doc_id long, text string")
+    pieces = packing.pack_documents(docs).select("doc_id", "length", "doc_tokens").collect()
+    assert sum(r["length"] for r in pieces if r["doc_id"] == 1) == 1_000_001
