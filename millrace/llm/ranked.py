@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window as W, functions as F
 
 from millrace.llm.common import give_back, smaller_batches, weighed
+from millrace.operators.sequences import running_sums
 from millrace.sources.storage import materialize
 
 TOP = 20
@@ -248,18 +249,18 @@ def term_weight(documents: int, holders: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * holders + 1)))
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[Row]]:
-    """The queries in blocks of bounded size; the driver holds one or two partitions of them at a time."""
-    block, size = [], 0
-    for row in items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).toLocalIterator():
-        length = len(row["text"] or "")
-        if block and (len(block) >= BLOCK_ITEMS or size + length > BLOCK_BYTES):
+def _blocks(items: DataFrame) -> Iterator[list[Row]]:
+    """The queries (item, text) in blocks of bounded size; the driver holds one block at a time."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    placed = running_sums(items, [], ["item", "text"], {"count": F.lit(1), "size": size})
+    # queries that begin in the same stretch of both sums are one block
+    begun = F.floor((F.col("count") - 1) / BLOCK_ITEMS) + F.floor((F.col("size") - size) / BLOCK_BYTES)
+    blocks = materialize(placed.select("item", "text", begun.alias("block")), "queries")
+    last = blocks.agg(F.max("block")).first()[0]
+    for number in range(0 if last is None else last + 1):
+        block = blocks.where(F.col("block") == number).collect()
+        if block:
             yield block
-            block, size = [], 0
-        block.append(row)
-        size += length
-    if block:
-        yield block
 
 
 def _search_block(docs: DataFrame, block: list[Row], id_col: str, text_col: str, k: int) -> DataFrame:
@@ -323,9 +324,9 @@ def top_documents(
     rows.  Very long texts make shards of their own.  Other columns are not read.
     Items are searched in blocks of bounded size, each against all documents.
     """
-    item_rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
+    item_rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text"))
     done = None
-    for block in _blocks(item_rows, "item", "text"):
+    for block in _blocks(item_rows):
         found = _search_block(docs, block, id_col, text_col, k)
         done = found if done is None else done.unionByName(found)
     if done is None:
