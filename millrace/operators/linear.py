@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.operators.sequences import running_sums
 from millrace.sources.storage import materialize
 
 # The ridge strengths fitted side by side.
@@ -241,18 +242,13 @@ SHARED_BYTES = 64 << 20  # of weights that are broadcast at once
 
 
 def _label_blocks(model: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Labels and their weights in blocks of at most SHARED_BYTES, by label; the driver holds one or two."""
-    rows = materialize(model_rows(model).orderBy("label"), "weights")
-    labels: list[int] = []
-    weights: list[list[float]] = []
-    for row in rows.orderBy("label").toLocalIterator():
-        if labels and (len(labels) + 1) * len(row["weights"]) * 8 > SHARED_BYTES:
-            yield np.array(labels), np.array(weights)
-            labels, weights = [], []
-        labels.append(row["label"])
-        weights.append(row["weights"])
-    if labels:
-        yield np.array(labels), np.array(weights)
+    """Labels and their weights in blocks of at most SHARED_BYTES, by label; the driver holds one."""
+    rows = materialize(running_sums(model_rows(model), [], ["label"], {"place": F.lit(1)}), "weights")
+    sizes = rows.agg(F.count("*").alias("labels"), F.max(F.size("weights")).alias("width")).first()
+    many = max(1, SHARED_BYTES // (8 * (sizes["width"] or 1)))
+    for start in range(0, sizes["labels"], many):
+        block = rows.where(F.col("place").between(start + 1, start + many)).orderBy("label").collect()
+        yield np.array([row["label"] for row in block]), np.array([row["weights"] for row in block])
 
 
 def linear_scores(df: DataFrame, vector: str, model: DataFrame, keep: int | None = None) -> DataFrame:
