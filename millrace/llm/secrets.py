@@ -49,31 +49,58 @@ BINS_PER_DECADE = 8  # of the p-values that the step-up procedure counts
 LEAST_LOG = -30  # p-values below 10^-30 count as that
 
 
+def _running(steps: Column) -> Column:
+    """Running sums of an array of at least two numbers, by adding what lies 1, 2, 4, ... places before."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(steps))).cast("int") - 1)
+
+    def add(sums: Column, i: Column) -> Column:
+        shift = F.call_function("shiftleft", F.lit(1), i)
+        moved = F.concat(F.array_repeat(F.lit(0), shift), F.slice(sums, F.lit(1), F.size(sums) - shift))
+        return F.zip_with(sums, moved, lambda a, b: a + b)
+
+    return F.aggregate(rounds, steps, add)
+
+
+def _untouched(tokens: Column, spans: Column) -> Column:
+    """The tokens, in order and apart, that no span overlaps.
+
+    In the merged order of starts (or ends) of both, a token's place less its
+    number is how many spans start before its end (or end by its start); a span
+    overlaps it if the first is more.
+    """
+
+    def places(own: str, other: str, first: int) -> Column:
+        mine = F.transform(tokens, lambda t: F.struct(t[own].alias("at"), F.lit(first).alias("side")))
+        theirs = F.transform(spans, lambda s: F.struct(s[other].alias("at"), F.lit(1 - first).alias("side")))
+        merged = F.sort_array(F.concat(mine, theirs))
+        placed = F.transform(merged, lambda m, i: F.when(m["side"] == first, i))
+        return F.filter(placed, lambda i: i.isNotNull())
+
+    touched = F.zip_with(places("end", "start", 0), places("start", "end", 1), lambda started, ended: started > ended)
+    marked = F.zip_with(tokens, touched, lambda t, over: F.struct(t.alias("token"), over.alias("over")))
+    free = F.transform(F.filter(marked, lambda m: ~m["over"]), lambda m: m["token"])
+    return F.when((F.size(tokens) > 0) & (F.size(spans) > 0), free).otherwise(tokens)
+
+
 def _spans(text: Column, pattern: str, keep=None) -> Column:
     """Array of (start, end, text) of the leftmost non-overlapping matches, in code points."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else hits
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    pairs = F.zip_with(F.arrays_zip(hits.alias("hit"), values.alias("value")), gaps, lambda h, g: F.struct(h["hit"].alias("hit"), h["value"].alias("value"), g.alias("gap")))
+    steps = F.zip_with(hits, gaps, lambda h, g: F.coalesce(F.length(h), F.lit(0)) + g)
+    found = F.zip_with(hits, values, lambda h, v: F.struct(h.alias("hit"), v.alias("value")))
     # the last gap has no match
-    pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string,value:string>>)")
-    walked = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["hit"])).alias("at"),
-            F.array_append(
-                acc["spans"],
-                F.struct(
-                    (acc["at"] + p["gap"]).alias("start"),
-                    (acc["at"] + p["gap"] + F.length(p["hit"])).alias("end"),
-                    p["hit"].alias("hit"),
-                    p["value"].alias("value"),
-                ),
-            ).alias("spans"),
+    walked = F.filter(
+        F.zip_with(
+            found,
+            _running(steps),
+            lambda p, end: F.struct(
+                (end - F.length(p["hit"])).alias("start"), end.alias("end"), p["hit"].alias("hit"), p["value"].alias("value")
+            ),
         ),
-    )["spans"]
+        lambda s: s["hit"].isNotNull(),
+    )
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string,value:string>>)")
     spans = F.when(F.size(hits) > 0, walked).otherwise(empty)
     return F.filter(spans, keep) if keep else spans
 
@@ -148,8 +175,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         )
     )
     found = rows.select("doc_id", base.alias("base"), _tested(_spans(F.col("text"), TOKEN)).alias("tokens"))
-    free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return materialize(found.withColumn("tokens", free).withColumn("row", F.monotonically_increasing_id()), "spans")
+    return materialize(found.withColumn("tokens", _untouched(F.col("tokens"), F.col("base"))).withColumn("row", F.monotonically_increasing_id()), "spans")
 
 
 def threshold(tested: DataFrame) -> tuple[float, float]:
@@ -176,7 +202,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     `base` are the spans of the patterns, `found` those and the random tokens.
     Kinds are numbers in `KINDS`.  Null and empty texts have none.  Repeated rows
-    and null ids are rows like others.  Other columns are not read.
+    and null ids are rows like others.  Other columns are not read.  Very long
+    texts take time by n log n in their n matches.
     """
     spans = scan(docs, id_col, text_col)
     tokens = spans.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -106,6 +107,81 @@ def test_uniform_tokens_are_seldom_rejected_and_prose_nearly_always(spark):
     assert counts[True] > 380 and counts.get(False, 0) < 8
 
 
+def plain_tests(token):
+    """p-value and bits of a token, one test after the other."""
+    letters = next((a for pattern, a in secrets.ENCODINGS if re.search(pattern, token)), None)
+    bare = token.rstrip("=") if letters else token
+    letters = letters or "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
+    codes, n, width = [letters.index(c) + 1 for c in bare], len(bare), len(letters)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    expected = n / width
+    chi = sum((Counter(codes)[c] - expected) ** 2 / expected for c in range(1, width + 1))
+    ps = [tail((chi - width + 1) / math.sqrt(2 * (width - 1) * (n - 1) / n))]
+    sides = [c > width / 2 for c in codes]
+    high, low = sum(sides), n - sum(sides)
+    runs = 1 + sum(a != b for a, b in zip(sides, sides[1:]))
+    spread = 2 * high * low * (2 * high * low - n) / (n * n * (n - 1))
+    ps.append(2 * tail(abs((runs - 2 * high * low / n - 1) / math.sqrt(spread) if spread > 0 else 8)))
+    mean = sum(codes) / n
+    around = sum((c - mean) ** 2 for c in codes)
+    lagged = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:]))
+    ps.append(2 * tail(abs((lagged / around + 1 / n) * math.sqrt(n) if around > 0 else 8)))
+    return min(1, 3 * min(ps)), n * math.log2(width)
+
+
+def test_added_spans_match_a_plain_version(spark):
+    rng = np.random.default_rng(16)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    some = lambda: draw("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"[: int(rng.choice([10, 36, 62, 64]))], int(rng.integers(15, 70)))
+    parts = [some, lambda: draw("0123456789abcdef", 30), lambda: "token=" + some(), lambda: "the-path-of-all-the-pages", lambda: "é " + "ab" * 15, lambda: "password"]
+    docs = [(i, " ".join(parts[int(k)]() for k in rng.integers(0, 6, int(rng.integers(0, 40))))) for i in range(60)]
+    tested = []
+    for i, t in docs:
+        base = plain_spans(t)
+        for m in re.finditer(secrets.TOKEN, t):
+            if not any(a < m.end() and m.start() < b for a, _, b in base):
+                tested.append((i, m.start(), m.end(), *plain_tests(m[0]), bool(re.fullmatch("[a-z]+|[A-Z]+", m[0]))))
+    mean = sum(t[4] for t in tested) / len(tested)
+    bins = Counter(math.ceil(max(math.log10(max(p * mean / bits, 1e-300)), secrets.LEAST_LOG) * secrets.BINS_PER_DECADE) for *_, p, bits, _ in tested)
+    limits = [10 ** (b / secrets.BINS_PER_DECADE) for b in bins]
+    below = lambda x: sum(n for b, n in bins.items() if 10 ** (b / secrets.BINS_PER_DECADE) <= x)
+    limit = max([x for x in limits if x <= secrets.FALSE_DISCOVERY * below(x) / len(tested)], default=-1)
+    least = lambda wordy: secrets.WORD_BITS if wordy else secrets.MIN_BITS
+    want = {i: plain_spans(t) for i, t in docs}
+    for i, a, b, p, bits, wordy in tested:
+        if p * mean / bits > limit and bits >= least(wordy):
+            want[i].append((a, 3, b))
+    rows = secrets.find_secrets(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert sum(len(v) for v in want.values()) > sum(len(plain_spans(t)) for _, t in docs) and limit > 0
+    for r in rows:
+        assert [tuple(s) for s in r.found] == sorted(want[r.doc_id])
+
+
+def test_tokens_that_no_span_touches(spark):
+    rng = np.random.default_rng(17)
+    cases = []
+    for i in range(80):
+        cuts = sorted(rng.choice(60, 2 * int(rng.integers(0, 6)), replace=False).tolist())
+        spans = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 58, i % 7), rng.integers(1, 9, i % 7))]
+        cases.append((i, list(zip(cuts[::2], cuts[1::2])), spans))
+    shape = "array<struct<start:int,end:int>>"
+    frame = spark.createDataFrame(cases, f"i int, tokens {shape}, spans {shape}")
+    for r in frame.withColumn("free", secrets._untouched(F.col("tokens"), F.col("spans"))).collect():
+        want = [t for t in r.tokens if not any(s.start < t.end and t.start < s.end for s in r.spans)]
+        assert r.free == want
+
+
+def test_many_matches_in_one_text_take_no_quadratic_time(spark):
+    letters = np.array(list("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+    drawn = np.random.default_rng(18).integers(0, 62, (20_000, 32))
+    text = " ".join(hashlib.md5(str(i).encode()).hexdigest() + " " + "".join(row) for i, row in enumerate(letters[drawn]))
+    began = time.monotonic()
+    row = secrets.find_secrets(spark.createDataFrame([(1, text)], SCHEMA)).first()
+    # the quadratic form took 106 s for half as many
+    assert time.monotonic() - began < 60
+    assert [tuple(s) for s in row.base] == plain_spans(text) and len(row.found) > 39_000
+
+
 def test_the_normal_tail(spark):
     zs = [-3.0, -1.0, 0.0, 0.5, 2.0, 5.0]
     rows = spark.createDataFrame([(z,) for z in zs], "z double").select("z", secrets._tail(F.col("z")).alias("p")).collect()
@@ -414,7 +490,7 @@ def test_every_operator_has_one_query():
     import __spark_entry__ as contract
 
     numbers = sorted(int(k[2:].split("_")[0]) for k in contract.queries() if re.match(r"op\d+_", k))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in contract.queries() and "op2_line_dedup" in contract.oracle_sql()
 
 
