@@ -4,6 +4,9 @@ First pass: what surrounds a block (menus, forms, adverts, ... or the article
 element), its link density, its length and its share of stop words decide it or
 leave it open.  Second pass: open blocks, which are short or hardly prose,
 inherit from the nearest decided blocks before and after them.
+
+Where a page's prose holds hardly any known stop word, its language is another
+one; length, sentence ends and link density decide alone there.
 """
 
 from __future__ import annotations
@@ -29,16 +32,29 @@ HOLDERS = frozenset(
     "section table ul".split()
 )
 RAW = frozenset("script style title textarea template iframe svg annotation annotation-xml select canvas audio video".split())
-FURNITURE = frozenset("nav aside footer form menu dialog head header fieldset".split())
+FURNITURE = frozenset("nav aside footer form menu dialog head fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+# Names of classes and ids, as a whole or as a part of a compound (see `_named`).
 COMMENT_NAMES = frozenset("comment comments commentlist commentary disqus replies reply respond discussion".split())
-FURNITURE_NAMES = COMMENT_NAMES | frozenset(
-    "ad ads adbox adsense advert adverts advertisement advertising banner banners breadcrumb breadcrumbs consent cookie "
-    "cookies copyright disclaimer footer gdpr header legal login masthead menu modal nav navbar navigation newsletter "
+HEADER_NAMES = frozenset("header masthead banner".split())
+FURNITURE_NAMES = frozenset(
+    "ad ads adbox adsense advert adverts advertisement advertising banners breadcrumb breadcrumbs consent cookie "
+    "cookies copyright disclaimer footer gdpr legal login menu modal nav navbar navigation newsletter "
     "notice notices notification overlay pager pagination popup promo promotion promoted recommended recommendations "
     "related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar "
     "topbar widget widgets".split()
 )
+# A class that begins so tells how a page is laid out, not what the element holds.
+LAYOUT_WORDS = frozenset("has no not with without is show hide".split())
+# A header after one of these is that of the article (article-header).
+CONTENT_WORDS = frozenset("article entry post story".split())
+READERS = frozenset("article blog child guest post reader single user visitor".split())
+# A name before one of these is that of the container.
+PART_WORDS = frozenset(
+    "actions area articles bar blocks block body bottom box button buttons col column container content entries footer form "
+    "group head header heading holder icons inner item items label left line link links list main message module outer "
+    "panel posts primary right row secondary section slot space stories strip text title top tray unit wrap wrapper".split()
+)
 STOP_WORDS = frozenset(VOCABULARY)
 
 SHORT, LONG = 70, 200
@@ -52,7 +68,10 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
+_HEADING = re.compile(r"h[1-6]$|hgroup$")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
+_SENTENCE_END = re.compile(r"[.!?…][\"'»”’)]*(?:\s|$)|[。！？؟।]")
+_WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # one character says as much as some letters
 _NOTICE = re.compile(r"\W*(?:©|\(c\)\s*\d|copyright\b\s*(?:©|\(c\)|\d|by\b|notice\b|$))", re.I)
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
@@ -66,24 +85,44 @@ class Block:
         self.text, self.linked, self.place, self.heading = text, linked, place, heading
 
 
+def _named(name: str) -> str:
+    """What one class or id says: '', 'header', 'furniture' or 'comment'."""
+    words = _NAME.findall(_CAMEL.sub(r"\1 \2", name).lower())
+    if not words or words[0] in LAYOUT_WORDS:
+        return ""
+    first, last = words[0], words[-1]
+    if len(words) == 1:
+        parts = [first]
+    else:
+        parts = [first] if last in PART_WORDS else []
+        if last == "comment":
+            parts += [last] if first in READERS else []
+        elif first not in CONTENT_WORDS or last not in HEADER_NAMES:
+            parts.append(last)
+        if first in COMMENT_NAMES and first != "discussion":
+            return "comment"
+    for kind, names in (("comment", COMMENT_NAMES), ("furniture", FURNITURE_NAMES), ("header", HEADER_NAMES)):
+        if any(p in names for p in parts):
+            return kind
+    return ""
+
+
 def _standing(name: str, attributes: str) -> str:
-    """What an element says of its content: '', 'main', 'furniture' or 'comment'."""
+    """What an element says of its content: '', 'main', 'header', 'furniture' or 'comment'."""
     found = {}
     for key, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         found.setdefault(key.lower(), "".join(values))
-    names = set()
-    for key in ("class", "id"):
-        if key in found:
-            names.update(_NAME.findall(_CAMEL.sub(r"\1 \2", found[key]).lower()))
-    if names & COMMENT_NAMES:
+    said = {_named(n) for key in ("class", "id") for n in found.get(key, "").split()}
+    role = found.get("role", "").lower()
+    if "comment" in said:
         return "comment"
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return "furniture"
-    if name in ("article", "main") or found.get("role") in ("main", "article"):
+    if name in ("article", "main") or role in ("main", "article"):
         return "main"
-    if name in FURNITURE or found.get("role", "").lower() in ROLES or names & FURNITURE_NAMES:
+    if name in FURNITURE or role in ROLES or "furniture" in said:
         return "furniture"
-    return ""
+    return "header" if name == "header" or ("header" in said and not _HEADING.match(name)) else ""
 
 
 def blocks(html: str) -> list[Block]:
@@ -92,15 +131,17 @@ def blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked = links = 0
     heading = False
+    own = ""  # standing of a block that is no holder
     stack: list[tuple[str, str]] = []  # open holders and their standing
     at, size = 0, len(html)
 
     def place() -> str:
         inside = ""
-        for name, standing in stack:
-            if standing == "comment" or (standing == "furniture" and not (name == "header" and inside == "main")):
+        for standing in (*(s for _, s in stack), own):
+            # the header of an article is a part of it
+            if standing in ("comment", "furniture") or (standing == "header" and inside != "main"):
                 return "furniture"
-            inside = standing or inside
+            inside = "main" if "main" in (standing, inside) else ""
         return inside
 
     def close() -> None:
@@ -138,6 +179,7 @@ def blocks(html: str) -> list[Block]:
             close()
             links = 0
             heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
+            own = "" if closing or name in HOLDERS or name == "body" else _standing(name, tag[3] or tag[6] or "")
             if name == "body":
                 stack.clear()
             elif name in HOLDERS:
@@ -145,7 +187,7 @@ def blocks(html: str) -> list[Block]:
                     standing = _standing(name, tag[3] or tag[6] or "")
                     if standing == "main" and not any(s == "comment" for _, s in stack):
                         # whatever furniture is still open was never closed
-                        stack[:] = [x for x in stack if x[1] != "furniture"]
+                        stack[:] = [x for x in stack if x[1] not in ("furniture", "header")]
                     stack.append((name, standing))
                 elif any(x[0] == name for x in stack):
                     while stack.pop()[0] != name:
@@ -154,20 +196,37 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block) -> int:
+def _letters(block: Block) -> int:
+    return max(1, len(block.text) - block.text.count(" "))
+
+
+def _stops(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"()") in STOP_WORDS for w in words) / len(words)
+
+
+def _foreign(found: list[Block]) -> bool:
+    """Whether the page's sentences, menus aside, are in a language without known stop words."""
+    prose = [b.text for b in found if b.place != "furniture" and not b.linked and len(b.text) >= SHORT and _SENTENCE_END.search(b.text)]
+    prose += [b.text for b in found if _WIDE.search(b.text) and not b.linked and b.place != "furniture"]
+    return bool(prose) and _stops(" ".join(prose)) < LOW_STOP
+
+
+def _first_pass(block: Block, foreign: bool = False) -> int:
     text = block.text
-    letters = max(1, len(text) - text.count(" "))
-    if block.place == "furniture" or block.linked / letters > MAX_LINKS:
+    if block.place:
+        return GOOD if block.place == "main" else BAD
+    if block.linked / _letters(block) > MAX_LINKS and not block.heading:
         return BAD
-    if block.place == "main":
-        return GOOD
     # a notice, or a short line that names one; prose about copyright is judged as prose
     if _NOTICE.match(text) or (len(text) < SHORT and "copyright" in text.lower()):
         return BAD
-    if len(text) < SHORT or block.heading:
+    size = len(text) + 2 * len(_WIDE.findall(text)) if foreign else len(text)
+    if size < SHORT or block.heading:
         return BAD if block.linked and not block.heading else SHORT_OPEN
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"()") in STOP_WORDS for w in words) / len(words)
+    if foreign:
+        return GOOD if size > LONG and _SENTENCE_END.search(text) else PROSE_OPEN
+    stops = _stops(text)
     if stops >= HIGH_STOP and len(text) > LONG:
         return GOOD
     return PROSE_OPEN if stops >= LOW_STOP else BAD
@@ -175,7 +234,8 @@ def _first_pass(block: Block) -> int:
 
 def classify(found: list[Block]) -> list[bool]:
     """Whether each block belongs to the main text."""
-    first = [_first_pass(b) for b in found]
+    foreign = _foreign(found)
+    first = [_first_pass(b, foreign) for b in found]
     n = len(found)
     before, after = [(n + 1, BAD)] * n, [(n + 1, BAD)] * n
     for i in range(1, n):
@@ -215,7 +275,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Null and empty pages give the empty text.  Broken markup is read as far as
     it goes: open comments and tags end with the page, open scripts take the
-    rest of it.  Rows are read one by one, so ids may be null or repeated.
+    rest of it.  Very long pages take linear time.  Rows are read one by one, so
+    ids may be null or repeated.
     Other columns are not read.
     """
     chosen = pages.select(

@@ -238,6 +238,53 @@ def test_prose_on_copyright_and_fallback_content_stay(html, text):
     assert html_blocks.main_text(html) == text
 
 
+RUSSIAN = "Мы пришли к реке рано утром, и вода была ещё холодной. Потом солнце поднялось над лесом, и все стали петь. "
+ITALIAN = "Siamo arrivati al fiume di mattina presto e l'acqua era ancora fredda. Poi il sole si alzò sopra il bosco e tutti cantarono. "
+CHINESE = "我们清晨来到河边，水还很冷。后来太阳升到树林上面，大家都开始唱歌。" * 4
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<div class='wrap has-sidebar'><p>{LONG * 2}</p></div>", (LONG * 2).strip()),
+        (f"<div id=page class='no-sidebar'><p>{LONG * 2}</p></div><div class='sidebar-left'><p>{LONG * 2}</p></div>", (LONG * 2).strip()),
+        ("<article><div class='article-header'><h1>T</h1></div><h2><a href=x>Linked</a></h2><p>b</p></article>", "T\n\nLinked\n\nb"),
+        ("<article><section class='related-work'><p>a</p></section><p class='press-comment'>b</p></article>", "a\n\nb"),
+        ("<article><ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul></article>", "one\n\ntwo"),
+        ("<article><p hidden>x</p><p class='advert'>buy</p><p style='display: none'>y</p><p>kept</p></article>", "kept"),
+        ("<article><header><h1>T</h1></header><p>a</p><div class='post-comments'><p>b</p></div><p class=user-comment>c</p></article>", "T\n\na"),
+        (f"<div class='main-nav'><p>{LONG * 2}</p></div><div class=page-header>{LONG * 2}</div><p>{LONG * 2}</p>", (LONG * 2).strip()),
+        *((f"<div><a href=x>m</a></div><h1>T</h1><p>{t * 3}</p><p>{t}</p>", f"T\n\n{(t * 3).strip()}\n\n{t.strip()}") for t in (RUSSIAN, ITALIAN, CHINESE)),
+        (f"<p>{'shoes red cheap size '* 20}</p><p>{LONG * 2}</p>", (LONG * 2).strip()),
+    ],
+)
+def test_names_hidden_blocks_linked_headings_and_other_languages(html, text):
+    assert html_blocks.main_text(html) == text
+
+
+def test_generated_pages_give_exactly_their_article():
+    rng = np.random.default_rng(19)
+    pick = lambda *values: values[int(rng.integers(len(values)))]
+    for _ in range(300):
+        prose = pick(LONG, RUSSIAN, ITALIAN)
+        wanted = [f"Title {rng.integers(99)}"] + [prose * int(rng.integers(2, 4)) + f"End {i}." for i in range(rng.integers(2, 6))]
+        wanted = [" ".join(w.split()) for w in wanted]
+        body = "".join(f"<h1>{w}</h1>" if i == 0 else f"<p>{w}</p>" for i, w in enumerate(wanted))
+        junk = lambda: pick(
+            f"<div class='{pick('ad-slot', 'cookie-notice', 'site-footer', 'share-buttons', 'newsletter signup')}'><p>{prose * 2}</p></div>",
+            f"<{pick('nav', 'aside', 'footer')}><ul><li>{prose}</li><li><a href=x>y</a></li></ul></{pick('nav', 'aside', 'footer')}>",
+            "<ul><li><a href=1>Home page</a></li><li><a href=2>All about the news</a></li></ul>",
+            f"<form><p>{prose}</p></form>",
+            f"<div class='comment-list'><article><p>{prose * 2}</p></article></div>",
+            f"<p hidden>{prose * 2}</p>",
+            f"<script>var a = '<p>{prose}</p>'</script>",
+        )
+        junk_well = lambda: "".join(j for j in (junk() for _ in range(int(rng.integers(0, 4)))) if not re.match(r"<(nav|aside|footer)", j) or j.endswith(f"</{j[1:j.index('>')]}>"))
+        holder = pick("<article>{}</article>", "<main class='no-sidebar'>{}</main>", "<div class='layout has-sidebar'>{}</div>")
+        html = f"<html><head><title>x</title></head><body>{junk_well()}{holder.format(body)}{junk_well()}</body></html>"
+        assert html_blocks.main_text(html) == "\n\n".join(wanted)
+
+
 def test_short_blocks_inherit_from_the_nearest_decided_block():
     block = lambda text, place="": html_blocks.Block(text, 0, place, False)
     good, bad = block(LONG * 2), block("menu", "furniture")
