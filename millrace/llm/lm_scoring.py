@@ -2,9 +2,11 @@
 
 Word counts over all training documents give the base score and the words a
 recurrent model predicts one by one; all other words share one symbol, whose
-mass is divided by the same counts.  The recurrent model is trained where the
-data lies: each task trains on all segments of its training documents, and the
-tasks' parameters are averaged.
+mass is divided by the same counts.  The recurrent model is trained in rounds,
+each on its own share of the training documents.  In a round every part of the
+documents, chosen by their hash, trains on from the parameters of the round
+before; the mean of the parts begins the next round.  Rounds and parts follow from
+the documents alone, not from how their table is cut.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from millrace.sources.storage import materialize
 FOLDS, HELD = 5, 1
 KNOWN = 1 << 18  # frequent words that every task holds; the others are joined
 SEGMENT = 64  # tokens of a training segment
-TRAIN_LANES = 512  # segments side by side
+TRAIN_LANES = 1024  # segments side by side
+ROUNDS = 4  # of training; each document takes part in one
+PART_TOKENS = 1 << 18  # of a round with one part; parts grow with the square root of the tokens
 TEXTS = 4096  # texts that are trained on, or scored, side by side
 SLICES = 32  # of the parameter vector, when it is averaged
 SIDE = 256  # at most so many classes of so many words are predicted one by one
@@ -114,6 +118,34 @@ def lexicon(counts: DataFrame) -> Lexicon:
     )
 
 
+def _weighted(trainer: recurrent.Trainer, start: dict[str, np.ndarray]) -> np.ndarray:
+    """How far parameters moved times their weight, then the weights of the rows of the sparse ones.
+
+    A row weighs as many windows as had to do with it, so that parts which never
+    met a word don't dilute what others learned of it; the rest weighs its tokens.
+    """
+    moved = {}
+    for n, values in trainer.params.items():
+        weight = np.float32(trainer.tokens)
+        if n in recurrent.SPARSE:
+            weight = trainer.touched[n].astype(np.float32).reshape(-1, *[1] * (values.ndim - 1))
+        moved[n] = (values - start[n]) * weight
+    return np.concatenate([recurrent.flat(moved), *(trainer.touched[n].astype(np.float32) for n in recurrent.SPARSE)])
+
+
+def _mean(start: np.ndarray, mass: np.ndarray, tokens: int, symbols: int) -> np.ndarray:
+    """The parameters that all parts come to, from the sum of their `_weighted`."""
+    moved, at = recurrent.unflat(mass[: len(start)], symbols), len(start)
+    for n, values in moved.items():
+        if n in recurrent.SPARSE:
+            weight = np.maximum(mass[at : at + len(values)], 1)
+            values /= weight.reshape(-1, *[1] * (values.ndim - 1))
+            at += len(values)
+        else:
+            values /= np.float32(tokens)
+    return start + recurrent.flat(moved)
+
+
 def _train_task(words: Lexicon, start: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = recurrent.Trainer(recurrent.unflat(start, words.symbols))
@@ -125,7 +157,7 @@ def _train_task(words: Lexicon, start: np.ndarray):
             trainer.train([text[at : at + SEGMENT] for text in texts for at in range(0, len(text), SEGMENT)], TRAIN_LANES)
         if trainer.tokens:
             # what no window has changed is zero, and small when shuffled
-            parts = np.array_split((recurrent.flat(trainer.params) - start) * np.float32(trainer.tokens), SLICES)
+            parts = np.array_split(_weighted(trainer, recurrent.unflat(start, words.symbols)), SLICES)
             task = TaskContext.get().partitionId()
             arrays = [pa.array([task] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32())]
             arrays += [pa.array([trainer.tokens] * SLICES, pa.int64()), pa.array(parts, pa.list_(pa.float32()))]
@@ -148,19 +180,31 @@ def _add_slices(rows: pa.Table) -> pa.Table:
     return pa.table(arrays, ["task", "slice", "tokens", "mass"])
 
 
+def _training(docs: DataFrame) -> DataFrame:
+    """Training documents with a `key` that says their round and part; rows without an id are dealt out by place."""
+    remainder = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
+    row = F.coalesce("doc_id", F.monotonically_increasing_id())
+    return docs.where(remainder != HELD).withColumn("key", F.xxhash64(row, "text"))
+
+
 def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
-    """Parameters averaged over the tasks, weighted by their tokens; the start if there are none."""
-    start = recurrent.flat(recurrent.initial(words.symbol_counts()))
+    """Parameters after all rounds; the start if there are no training documents."""
+    vector = recurrent.flat(recurrent.initial(words.symbol_counts()))
     schema = "task int, slice int, tokens long, mass array<float>"
     smaller_batches(docs.sparkSession)
-    parts = docs.mapInArrow(_train_task(words, start), schema)
-    # two levels: as many first groups as the root of the number of tasks, with at most twice as many members
-    some = parts.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
-    rows = some.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
-    if not rows.num_rows:
-        return start
-    moved = rows.column("mass").combine_chunks().flatten().to_numpy()
-    return start + moved / np.float32(rows.column("tokens")[0].as_py())
+    keyed = _training(docs)
+    parts = max(1, math.ceil(math.sqrt(words.tokens / ROUNDS / PART_TOKENS)))
+    for turn in range(ROUNDS):
+        mine = keyed.where(F.pmod("key", F.lit(ROUNDS)) == turn)
+        dealt = mine.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "text").drop("key")
+        trained = dealt.mapInArrow(_train_task(words, vector), schema)
+        # two levels: as many first groups as the root of the number of parts, with at most twice as many members
+        some = trained.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
+        rows = some.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
+        if rows.num_rows:
+            mass = rows.column("mass").combine_chunks().flatten().to_numpy()
+            vector = _mean(vector, mass, rows.column("tokens")[0].as_py(), words.symbols)
+    return vector
 
 
 def _score_batch(words: Lexicon, vector: np.ndarray):

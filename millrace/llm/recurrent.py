@@ -1,14 +1,15 @@
 """A small gated recurrent language model in numpy, with a class-factored softmax.
 
 Symbols 0 and 1 are the end of a text and any word outside the vocabulary; the
-others are the most frequent words.  A symbol's probability is that of its class
-times its own within the class.
+others are the most frequent words.  Symbols belong to classes and classes to
+groups; a symbol's probability is that of its group, times that of its class within
+the group, times its own within the class.  Three quarters of the classes hold one
+frequent symbol each, so that most tokens need no third step.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
 
 import numpy as np
 
@@ -19,33 +20,61 @@ WINDOW = 16  # steps that gradients run back
 SCORE_WINDOW = 64
 ROWS = 512  # of a softmax, computed at a time
 RATE = 0.01
-NAMES = ("table", "inner", "bias", "class_w", "class_b", "word_w", "word_b")
+ROW_RATE = 0.1  # of the large parameters
+BLOCK = 1 << 17  # numbers of a softmax within classes, computed at a time
+ABSENT = -20.0  # bias of a place without a symbol
+NAMES = ("table", "inner", "bias", "group_w", "group_b", "class_w", "class_b", "word_w", "word_b")
 SPARSE = ("table", "word_w", "word_b")  # a window changes the rows of its own words and classes only
 
 
+def tree(symbols: int) -> tuple[int, int, int]:
+    """Classes of a group (and groups), classes of one symbol, and members of the other classes."""
+    side = max(2, round(symbols ** (1 / 3)))
+    singles = side * side * 3 // 4
+    return side, singles, max(1, -(-(symbols - singles) // (side * side - singles)))
+
+
+def paths(targets: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each symbol and its place there; the place is -1 in a class of one symbol."""
+    _, singles, members = tree(symbols)
+    beyond = targets - singles
+    return np.where(beyond < 0, targets, singles + beyond // members), np.where(beyond < 0, -1, beyond % members)
+
+
 def shapes(symbols: int) -> dict[str, tuple[int, ...]]:
-    """Shapes of the parameters for `symbols` words, a square number: as many classes as members of each."""
-    side = math.isqrt(symbols)
+    """Shapes of the parameters for so many symbols."""
+    side, singles, members = tree(symbols)
     return {
-        "table": (side * side, 3 * HIDDEN),
+        "table": (symbols, 3 * HIDDEN),
         "inner": (HIDDEN, 3 * HIDDEN),
         "bias": (3 * HIDDEN,),
-        "class_w": (HIDDEN, side),
-        "class_b": (side,),
-        "word_w": (side, HIDDEN, side),
-        "word_b": (side, side),
+        "group_w": (HIDDEN, side),
+        "group_b": (side,),
+        "class_w": (side, HIDDEN, side),
+        "class_b": (side, side),
+        "word_w": (side * side - singles, HIDDEN, members),
+        "word_b": (side * side - singles, members),
     }
 
 
+def _log_shares(mass: np.ndarray) -> np.ndarray:
+    """Logs of the shares along the last axis, ABSENT where there is no mass."""
+    total = np.maximum(mass.sum(axis=-1, keepdims=True), 1e-300)
+    return np.where(mass > 0, np.log(np.maximum(mass, 1e-300) / total), ABSENT).astype(np.float32)
+
+
 def initial(counts: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     """Parameters whose first predictions are the symbols' shares in `counts`."""
     rng = np.random.default_rng(seed)
-    params = {n: (rng.standard_normal(shapes(len(counts))[n]) * 0.1).astype(np.float32) for n in NAMES}
+    params = {n: (rng.standard_normal(shape) * 0.1).astype(np.float32) for n, shape in shapes(len(counts)).items()}
     params["bias"][:] = 0
-    shares = (counts + 0.5).reshape(params["word_b"].shape)
-    params["class_b"] = np.log(shares.sum(axis=1) / shares.sum()).astype(np.float32)
-    params["word_b"] = np.log(shares / shares.sum(axis=1, keepdims=True)).astype(np.float32)
-    for name in ("class_w", "word_w"):
+    side, singles, _ = tree(len(counts))
+    mass = np.zeros(singles + params["word_b"].size)
+    mass[: len(counts)] = np.asarray(counts) + 0.5
+    within = mass[singles:].reshape(params["word_b"].shape)
+    classes = np.concatenate([mass[:singles], within.sum(axis=1)]).reshape(side, side)
+    params["group_b"], params["class_b"], params["word_b"] = _log_shares(classes.sum(axis=1)), _log_shares(classes), _log_shares(within)
+    for name in ("group_w", "class_w", "word_w"):
         params[name] *= 0.1
     return params
 
@@ -99,14 +128,23 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return exps, exps.sum(axis=1)
 
 
-def _by_class(targets: np.ndarray, members: int):
-    """Positions of the targets of each class that occurs."""
-    owner = (targets // members).astype(np.uint16)
-    order = np.argsort(owner, kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(owner))])
-    for c in range(len(edges) - 1):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+def _by_owner(owner: np.ndarray, members: int):
+    """Positions by owner, a block at a time: positions, their owners, and (owner, begin, end) of each run."""
+    order = np.argsort(owner.astype(np.uint16), kind="stable")
+    step = max(1, BLOCK // members)
+    for k in range(0, len(order), step):
+        at = order[k : k + step]
+        own = owner[at]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        yield at, own, list(zip(own[first].tolist(), first.tolist(), [*first[1:].tolist(), len(at)]))
+
+
+def _logits_within(rows, weights, bias, own, runs) -> np.ndarray:
+    logits = np.empty((len(rows), bias.shape[1]), rows.dtype)
+    for node, begin, end in runs:
+        np.matmul(rows[begin:end], weights[node], out=logits[begin:end])
+    logits += bias[own]
+    return logits
 
 
 def _log_picked(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -121,12 +159,25 @@ def _log_picked(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, wante
     return result
 
 
+def _log_within(states, weights, bias, owner, wanted) -> np.ndarray:
+    """Natural log of the softmax of each row's owner at its wanted column."""
+    result = np.empty(len(owner), states.dtype)
+    for at, own, runs in _by_owner(owner, bias.shape[1]):
+        logits = _logits_within(states[at], weights, bias, own, runs)
+        _, total = _softmax(logits)
+        result[at] = logits[np.arange(len(at)), wanted[at]] - np.log(total)
+    return result
+
+
 def _log_probabilities(params, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability; states are (n x hidden)."""
-    members = params["word_b"].shape[1]
-    result = _log_picked(states, params["class_w"], params["class_b"], targets // members)
-    for c, at in _by_class(targets, members):
-        result[at] += _log_picked(states[at], params["word_w"][c], params["word_b"][c], targets[at] % members)
+    symbols = len(params["table"])
+    side, singles, _ = tree(symbols)
+    classes, member = paths(targets, symbols)
+    result = _log_picked(states, params["group_w"], params["group_b"], classes // side)
+    result += _log_within(states, params["class_w"], params["class_b"], classes // side, classes % side)
+    deep = np.flatnonzero(member >= 0)
+    result[deep] += _log_within(states[deep], params["word_w"], params["word_b"], classes[deep] - singles, member[deep])
     return result
 
 
@@ -146,6 +197,28 @@ def _pull(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.
     return w_grad, b_grad, back
 
 
+def _pull_within(states, weights, bias, owner, wanted, scale):
+    """Owners, gradients of their weights and biases, and of the states."""
+    seen = np.unique(owner)
+    place = {int(node): i for i, node in enumerate(seen)}
+    w_grad, b_grad = np.zeros((len(seen), *weights.shape[1:]), np.float32), np.zeros((len(seen), bias.shape[1]), np.float32)
+    back = np.empty_like(states)
+    for at, own, runs in _by_owner(owner, bias.shape[1]):
+        rows = states[at]
+        logits = _logits_within(rows, weights, bias, own, runs)
+        over, total = _softmax(logits)
+        over *= (scale[at] / total)[:, None]
+        over[np.arange(len(at)), wanted[at]] -= scale[at]
+        pulled = np.empty_like(rows)
+        for node, begin, end in runs:
+            part = over[begin:end]
+            w_grad[place[node]] += rows[begin:end].T @ part
+            b_grad[place[node]] += np.add.reduce(part, axis=0)
+            np.matmul(part, weights[node].T, out=pulled[begin:end])
+        back[at] = pulled
+    return seen, w_grad, b_grad, back
+
+
 def _gradients(params, inputs, resets, targets, weights, state):
     """Gradients of the window's mean loss, and the state after it."""
     changed, last = _changes(params, inputs, resets, targets, weights, state)
@@ -157,20 +230,24 @@ def _gradients(params, inputs, resets, targets, weights, state):
 
 def _changes(params, inputs, resets, targets, weights, state):
     """The gradients as (rows, values): only the rows of `SPARSE` parameters that the window has to do with."""
-    h, members, whole = HIDDEN, params["word_b"].shape[1], slice(None)
+    h, whole, symbols = HIDDEN, slice(None), len(params["table"])
     grads = {"inner": np.zeros(params["inner"].shape, np.float32)}
     kept, last = _forward(params, inputs, resets, state)
     steps, lanes = inputs.shape
     states = np.concatenate([k[5] for k in kept])
     wanted, scale = targets.ravel(), (weights.ravel() / max(1.0, weights.sum())).astype(np.float32)
-    grads["class_w"], grads["class_b"], back = _pull(states, params["class_w"], params["class_b"], wanted // members, scale)
-    seen, word_w, word_b = [], [], []
-    for c, at in _by_class(wanted, members):
-        w_grad, b_grad, pulled = _pull(states[at], params["word_w"][c], params["word_b"][c], wanted[at] % members, scale[at])
-        back[at] += pulled
-        seen.append(c)
-        word_w.append(w_grad)
-        word_b.append(b_grad)
+    side, singles, _ = tree(symbols)
+    classes, member = paths(wanted, symbols)
+    group, deep = classes // side, np.flatnonzero(member >= 0)
+    grads["group_w"], grads["group_b"], back = _pull(states, params["group_w"], params["group_b"], group, scale)
+    groups, class_w, class_b, pulled = _pull_within(
+        states, params["class_w"], params["class_b"], group, classes % side, scale
+    )
+    back += pulled
+    seen, word_w, word_b, pulled = _pull_within(
+        states[deep], params["word_w"], params["word_b"], classes[deep] - singles, member[deep], scale[deep]
+    )
+    back[deep] += pulled
     back = back.reshape(steps, lanes, h)
     carry = np.zeros((lanes, h), np.float32)
     outer = np.empty((steps, lanes, 3 * h), np.float32)
@@ -192,7 +269,8 @@ def _changes(params, inputs, resets, targets, weights, state):
     edges = np.flatnonzero(np.concatenate([[True], sorted_inputs[1:] != sorted_inputs[:-1]]))
     changed = {n: (whole, g) for n, g in grads.items()}
     changed["table"] = sorted_inputs[edges], np.add.reduceat(flat_outer[order], edges, axis=0)
-    changed["word_w"], changed["word_b"] = (np.array(seen), np.stack(word_w)), (np.array(seen), np.stack(word_b))
+    changed["class_w"], changed["class_b"] = (groups, class_w), (groups, class_b)
+    changed["word_w"], changed["word_b"] = (seen, word_w), (seen, word_b)
     return changed, last
 
 
@@ -251,15 +329,16 @@ def score_texts(params, texts: list[np.ndarray], lanes: int = 4 * LANES) -> np.n
 class Trainer:
     """Truncated backpropagation with Adam over segments of texts, in order of arrival.
 
-    Rows of `SPARSE` parameters have moments and step counts of their own, which
-    stand still while no window has to do with them.
+    The large `SPARSE` parameters take steps by their summed squared gradients
+    instead, which stand still in rows that no window has to do with; `touched`
+    counts the windows that had to do with a row.
     """
 
     def __init__(self, params: dict[str, np.ndarray]):
         self.params = {n: p.copy() for n, p in params.items()}
-        self.first = {n: np.zeros(p.shape, np.float32) for n, p in params.items()}
+        self.first = {n: np.zeros(p.shape, np.float32) for n, p in params.items() if n not in SPARSE}
         self.second = {n: np.zeros(p.shape, np.float32) for n, p in params.items()}
-        self.rows = {n: np.zeros(len(params[n]), np.int64) for n in SPARSE}
+        self.touched = {n: np.zeros(len(params[n]), np.int64) for n in SPARSE}
         self.steps = self.tokens = 0
 
     def train(self, texts: list[np.ndarray], lanes: int = LANES) -> None:
@@ -278,14 +357,31 @@ class Trainer:
 
     def _step(self, changed) -> None:
         self.steps += 1
+        rate = np.float32(RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps))
         for n, (at, grad) in changed.items():
-            steps = np.array(self.steps)
             if n in SPARSE:
-                self.rows[n][at] += 1
-                steps = self.rows[n][at].reshape(-1, *[1] * (grad.ndim - 1))
-            rate = (RATE * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)).astype(np.float32)
-            first, second = self.first[n][at], self.second[n][at]
+                self._step_rows(n, at, grad)
+                continue
+            if not isinstance(at, slice):
+                full = np.zeros(self.params[n].shape, np.float32)
+                full[at] = grad
+                grad = full
+            first, second = self.first[n], self.second[n]
             first += np.float32(0.1) * (grad - first)
             second += np.float32(0.001) * (grad * grad - second)
-            self.first[n][at], self.second[n][at] = first, second
-            self.params[n][at] -= rate * first / (np.sqrt(second) + np.float32(1e-8))
+            self.params[n] -= rate * first / (np.sqrt(second) + np.float32(1e-8))
+
+    def _step_rows(self, n: str, at: np.ndarray, grad: np.ndarray) -> None:
+        self.touched[n][at] += 1
+        if len(at) == len(self.params[n]):
+            at = slice(None)  # a view, so nothing is copied
+        square = grad * grad
+        second = self.second[n][at]
+        second += square
+        np.sqrt(second, out=square)
+        square += np.float32(1e-8)
+        grad /= square
+        grad *= np.float32(ROW_RATE)
+        self.params[n][at] -= grad
+        if not isinstance(at, slice):
+            self.second[n][at] = second

@@ -508,6 +508,40 @@ def test_held_out_documents_score_better_than_by_counts(spark, small):
     assert np.mean([r.score > r.base_score for r in rows]) > 0.7
 
 
+def test_scores_do_not_follow_the_partitions_and_beat_the_counts(spark, small, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", 2048)  # several parts, as in a large corpus
+    docs = spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet")
+    seen = []
+    for parts in (1, 16, 128):
+        rows = lm_scoring.score_documents(docs.repartition(parts)).collect()
+        seen.append({r.doc_id: r.score for r in rows})
+        held = [r for r in rows if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    for other in seen[1:]:
+        assert other == pytest.approx(seen[0], rel=1e-4)
+
+
+def test_scores_are_those_of_the_model_token_by_token():
+    rng = np.random.default_rng(20)
+    params = {n: v.astype(np.float64) * 2 for n, v in recurrent.initial(rng.random(400) * 9).items()}
+    text = rng.integers(0, 400, 90).astype(np.int32)
+    side, singles, members = recurrent.tree(400)
+    sigmoid, h = lambda x: 1 / (1 + np.exp(-x)), recurrent.HIDDEN
+    log_softmax = lambda x: x - np.log(np.exp(x).sum())
+    state, total, before = np.zeros(h), 0.0, recurrent.END
+    for symbol in text.tolist():
+        outer, inner = params["table"][before] + params["bias"], state @ params["inner"]
+        update, reset = sigmoid(outer[:h] + inner[:h]), sigmoid(outer[h : 2 * h] + inner[h : 2 * h])
+        state = update * state + (1 - update) * np.tanh(outer[2 * h :] + reset * inner[2 * h :])
+        node = symbol if symbol < singles else singles + (symbol - singles) // members
+        total += log_softmax(state @ params["group_w"] + params["group_b"])[node // side]
+        total += log_softmax(state @ params["class_w"][node // side] + params["class_b"][node // side])[node % side]
+        if symbol >= singles:
+            total += log_softmax(state @ params["word_w"][node - singles] + params["word_b"][node - singles])[(symbol - singles) % members]
+        before = symbol
+    assert recurrent.score_texts(params, [text])[0] == pytest.approx(total, rel=1e-4)
+
+
 def test_every_training_token_reaches_a_gradient_and_frequent_words_have_symbols(spark, monkeypatch):
     docs = [(i, " ".join(f"w{(i * 7 + j) % 3000}" for j in range(10 + i % 150))) for i in range(300)]
     counts = Counter(w for i, t in docs if not lm_scoring.held_out(i) for w in t.split())
