@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import recurrent
-from millrace.llm.common import give_back, map_batches, sized, smaller_batches
+from millrace.llm.common import give_back, map_batches, release_shuffles, sized, smaller_batches
 from millrace.sources.storage import materialize
 
 FOLDS, HELD = 5, 1
@@ -31,7 +31,9 @@ SEGMENT = 64  # tokens of a training segment
 TRAIN_LANES = 1024  # segments side by side
 ROUNDS = 4  # of training; each document takes part in one
 PART_TOKENS = 1 << 18  # of a round with one part; parts grow with the square root of the tokens
+SCORE_LANES = 1024  # texts side by side, when they are scored
 TEXTS = 4096  # texts that are trained on, or scored, side by side
+FAN = 16  # parts that are added up in one step
 SLICES = 32  # of the parameter vector, when it is averaged
 SIDE = 256  # at most so many classes of so many words are predicted one by one
 
@@ -198,9 +200,11 @@ def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
         mine = keyed.where(F.pmod("key", F.lit(ROUNDS)) == turn)
         dealt = mine.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "text").drop("key")
         trained = dealt.mapInArrow(_train_task(words, vector), schema)
-        # two levels: as many first groups as the root of the number of parts, with at most twice as many members
-        some = trained.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
-        rows = some.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
+        if parts > FAN:
+            # two levels: as many first groups as the root of the number of parts, with at most twice as many members
+            trained = trained.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
+        rows = trained.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
+        release_shuffles(docs.sparkSession)
         if rows.num_rows:
             mass = rows.column("mass").combine_chunks().flatten().to_numpy()
             vector = _mean(vector, mass, rows.column("tokens")[0].as_py(), words.symbols)
@@ -214,7 +218,7 @@ def _score_batch(words: Lexicon, vector: np.ndarray):
         params = recurrent.unflat(vector, words.symbols)
         found, ends = words_of(batch.column("text"))
         places = words.places(found)
-        model = recurrent.score_texts(params, symbols(places, ends, words.vocabulary)) / np.log(10)
+        model = recurrent.score_texts(params, symbols(places, ends, words.vocabulary), SCORE_LANES) / np.log(10)
         rare, outside = places < 0, (places < 0) | (places >= words.vocabulary)
         known = np.where(rare, 0.0, logs[places] if len(logs) else 0.0)
         upto = lambda values: np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(values)])[ends]]))
