@@ -6,7 +6,8 @@ mass is divided by the same counts.  The recurrent model is trained in rounds,
 each on its own share of the training documents.  In a round every part of the
 documents, chosen by their hash, trains on from the parameters of the round
 before; the mean of the parts begins the next round.  Rounds and parts follow from
-the documents alone, not from how their table is cut.
+the documents alone, not from how their table is cut.  Texts are split and looked up
+once; training and scoring read their symbols.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ TEXTS = 4096  # texts that are trained on, or scored, side by side
 FAN = 16  # parts that are added up in one step
 SLICES = 32  # of the parameter vector, when it is averaged
 SIDE = 256  # at most so many classes of so many words are predicted one by one
+CODE = "<u2"  # of a symbol, of which there are at most SIDE squared
 
 
 def held_out(doc_id) -> bool:
@@ -126,18 +128,23 @@ def _weighted(trainer: recurrent.Trainer, start: dict[str, np.ndarray]) -> np.nd
     A row weighs as many windows as had to do with it, so that parts which never
     met a word don't dilute what others learned of it; the rest weighs its tokens.
     """
-    moved = {}
-    for n, values in trainer.params.items():
+    made = np.empty(sum(v.size for v in start.values()) + sum(len(start[n]) for n in recurrent.SPARSE), np.float32)
+    at = 0
+    for n in recurrent.NAMES:
+        values = made[at : at + start[n].size].reshape(start[n].shape)
         weight = np.float32(trainer.tokens)
         if n in recurrent.SPARSE:
             weight = trainer.touched[n].astype(np.float32).reshape(-1, *[1] * (values.ndim - 1))
-        moved[n] = (values - start[n]) * weight
-    return np.concatenate([recurrent.flat(moved), *(trainer.touched[n].astype(np.float32) for n in recurrent.SPARSE)])
+        np.subtract(trainer.params[n], start[n], out=values)
+        values *= weight
+        at += values.size
+    made[at:] = np.concatenate([trainer.touched[n] for n in recurrent.SPARSE])
+    return made
 
 
 def _mean(start: np.ndarray, mass: np.ndarray, tokens: int, symbols: int) -> np.ndarray:
     """The parameters that all parts come to, from the sum of their `_weighted`."""
-    moved, at = recurrent.unflat(mass[: len(start)], symbols), len(start)
+    moved, at = recurrent.unflat(mass[: len(start)].copy(), symbols), len(start)
     for n, values in moved.items():
         if n in recurrent.SPARSE:
             weight = np.maximum(mass[at : at + len(values)], 1)
@@ -148,18 +155,59 @@ def _mean(start: np.ndarray, mass: np.ndarray, tokens: int, symbols: int) -> np.
     return start + recurrent.flat(moved)
 
 
-def _train_task(words: Lexicon, start: np.ndarray):
+def _code_batch(words: Lexicon):
+    """Each row's symbols, and all that its scores need besides the model: later steps read no text."""
+    logs = np.log10(words.counts + 0.5)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found, ends = words_of(batch.column("text"))
+        places = words.places(found)
+        rare, outside = places < 0, (places < 0) | (places >= words.vocabulary)
+        known = np.where(rare, 0.0, logs[places] if len(logs) else 0.0)
+        upto = lambda values: np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(values)])[ends]]))
+        n, n_rare, n_outside = np.diff(np.concatenate([[0], ends])), upto(rare), upto(outside)
+        end_log = np.log10(words.ends + 0.5)
+        base = upto(known) + end_log - (n + 1) * np.log10(words.total)
+        rest = upto(np.where(outside & ~rare, known, 0.0)) - n_outside * np.log10(max(words.rare_total, 0.5))
+        spelled = found.filter(pa.array(rare))
+        spelled = spelled.combine_chunks() if isinstance(spelled, pa.ChunkedArray) else spelled
+        offsets = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
+        coded = [part.astype(CODE).tobytes() for part in symbols(places, ends, words.vocabulary)]
+        arrays = {
+            "doc_id": batch.column("doc_id"),
+            "held_out": pa.array([held_out(i) for i in batch.column("doc_id").to_pylist()], pa.bool_()),
+            "n_tokens": pa.array(n + 1, pa.int64()),
+            "n_known": pa.array(n - n_rare + (words.ends > 0), pa.int64()),
+            "base_score": pa.array(base),
+            "score": pa.array(rest),
+            "rare": pa.ListArray.from_arrays(pa.array(offsets), spelled.cast(pa.string())),
+            "symbols": pa.array(coded, pa.binary()),
+        }
+        if "key" in batch.schema.names:
+            arrays["key"] = batch.column("key")
+        return pa.RecordBatch.from_pydict(arrays)
+
+    return work
+
+
+def _decoded(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Each row's symbols, without a copy."""
+    return [np.frombuffer(text.as_buffer(), CODE) for text in batch.column("symbols")]
+
+
+def _train_task(words: Lexicon, start: np.ndarray, coded: bool = False):
+    """A part's training on rows of texts, or on coded ones, for which tasks need no words."""
+    code, count = (lambda batch: batch) if coded else _code_batch(words), words.symbols
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = recurrent.Trainer(recurrent.unflat(start, words.symbols))
-        for batch in sized(batches, TEXTS):
-            ids = batch.column("doc_id").to_pylist()
-            train = [not held_out(i) for i in ids]
-            found, ends = words_of(batch.column("text").filter(pa.array(train)))
-            texts = symbols(words.places(found), ends, words.vocabulary)
+        trainer = recurrent.Trainer(recurrent.unflat(start, count))
+        for batch in map(code, sized(batches, TEXTS)):
+            texts = _decoded(batch.filter(pc.invert(batch.column("held_out"))))
             trainer.train([text[at : at + SEGMENT] for text in texts for at in range(0, len(text), SEGMENT)], TRAIN_LANES)
         if trainer.tokens:
+            trainer.release()
             # what no window has changed is zero, and small when shuffled
-            parts = np.array_split(_weighted(trainer, recurrent.unflat(start, words.symbols)), SLICES)
+            parts = np.array_split(_weighted(trainer, recurrent.unflat(start, count)), SLICES)
             task = TaskContext.get().partitionId()
             arrays = [pa.array([task] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32())]
             arrays += [pa.array([trainer.tokens] * SLICES, pa.int64()), pa.array(parts, pa.list_(pa.float32()))]
@@ -182,29 +230,31 @@ def _add_slices(rows: pa.Table) -> pa.Table:
     return pa.table(arrays, ["task", "slice", "tokens", "mass"])
 
 
-def _training(docs: DataFrame) -> DataFrame:
-    """Training documents with a `key` that says their round and part; rows without an id are dealt out by place."""
-    remainder = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
-    row = F.coalesce("doc_id", F.monotonically_increasing_id())
-    return docs.where(remainder != HELD).withColumn("key", F.xxhash64(row, "text"))
+def deal(coded: DataFrame, turn: int, parts: int) -> DataFrame:
+    """The round's training rows, a part to a partition and in a fixed order.
+
+    The part is the partition's number itself, so there are as many partitions with
+    rows as parts, each of which gives one vector, whatever the session's settings.
+    """
+    mine = coded.where(~F.col("held_out") & (F.pmod("key", F.lit(ROUNDS)) == turn))
+    part = F.pmod(F.hash("key"), F.lit(parts))
+    rows = mine.select("key", "doc_id", "held_out", "symbols").repartitionById(parts, part)
+    return rows.sortWithinPartitions("key", "doc_id", "symbols").select("held_out", "symbols")
 
 
-def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
+def train(coded: DataFrame, words: Lexicon) -> np.ndarray:
     """Parameters after all rounds; the start if there are no training documents."""
     vector = recurrent.flat(recurrent.initial(words.symbol_counts()))
     schema = "task int, slice int, tokens long, mass array<float>"
-    smaller_batches(docs.sparkSession)
-    keyed = _training(docs)
+    smaller_batches(coded.sparkSession)
     parts = max(1, math.ceil(math.sqrt(words.tokens / ROUNDS / PART_TOKENS)))
     for turn in range(ROUNDS):
-        mine = keyed.where(F.pmod("key", F.lit(ROUNDS)) == turn)
-        dealt = mine.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "text").drop("key")
-        trained = dealt.mapInArrow(_train_task(words, vector), schema)
+        trained = deal(coded, turn, parts).mapInArrow(_train_task(words, vector, coded=True), schema)
         if parts > FAN:
             # two levels: as many first groups as the root of the number of parts, with at most twice as many members
             trained = trained.groupBy(F.floor(F.sqrt("task")).alias("fan"), "slice").applyInArrow(_add_slices, schema)
         rows = trained.groupBy("slice").applyInArrow(_add_slices, schema).toArrow().sort_by("slice")
-        release_shuffles(docs.sparkSession)
+        release_shuffles(coded.sparkSession)
         if rows.num_rows:
             mass = rows.column("mass").combine_chunks().flatten().to_numpy()
             vector = _mean(vector, mass, rows.column("tokens")[0].as_py(), words.symbols)
@@ -212,34 +262,13 @@ def train(docs: DataFrame, words: Lexicon) -> np.ndarray:
 
 
 def _score_batch(words: Lexicon, vector: np.ndarray):
-    logs = np.log10(words.counts + 0.5)
+    count = words.symbols  # tasks need no words
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        params = recurrent.unflat(vector, words.symbols)
-        found, ends = words_of(batch.column("text"))
-        places = words.places(found)
-        model = recurrent.score_texts(params, symbols(places, ends, words.vocabulary), SCORE_LANES) / np.log(10)
-        rare, outside = places < 0, (places < 0) | (places >= words.vocabulary)
-        known = np.where(rare, 0.0, logs[places] if len(logs) else 0.0)
-        upto = lambda values: np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(values)])[ends]]))
-        n, n_rare, n_outside = np.diff(np.concatenate([[0], ends])), upto(rare), upto(outside)
-        end_log = np.log10(words.ends + 0.5)
-        base = upto(known) + end_log - (n + 1) * np.log10(words.total)
-        score = model + upto(np.where(outside & ~rare, known, 0.0)) - n_outside * np.log10(max(words.rare_total, 0.5))
-        ids = batch.column("doc_id").to_pylist()
-        spelled = found.filter(pa.array(rare))
-        spelled = spelled.combine_chunks() if isinstance(spelled, pa.ChunkedArray) else spelled
-        offsets = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
-        arrays = [
-            batch.column("doc_id"),
-            pa.array([held_out(i) for i in ids], pa.bool_()),
-            pa.array(n + 1, pa.int64()),
-            pa.array(n - n_rare + (words.ends > 0), pa.int64()),
-            pa.array(base),
-            pa.array(score),
-            pa.ListArray.from_arrays(pa.array(offsets), spelled.cast(pa.string())),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+        params = recurrent.unflat(vector, count)
+        model = recurrent.score_texts(params, _decoded(batch), SCORE_LANES) / np.log(10)
+        columns = {n: batch.column(n) for n in batch.schema.names if n != "symbols"}
+        return pa.RecordBatch.from_pydict(columns | {"score": pc.add(columns["score"], pa.array(model))})
 
     return work
 
@@ -253,14 +282,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     documents every count is zero and the model predicts evenly.
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counts = map_batches(chosen, _count_batch, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = map_batches(chosen, _count_batch, "word string, n long", TEXTS).groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialize(counts.where("n > 0"), "counts")
     words = lexicon(counts)
-    vector = train(chosen, words)
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<string>"
-    scored = map_batches(chosen, _score_batch(words, vector), schema, TEXTS)
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.where(F.size("rare") > 0).select("row", F.explode("rare").alias("word"))
+    # rows without an id are dealt out by place
+    keyed = chosen.withColumn("key", F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), "text"))
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    coded = map_batches(keyed, _code_batch(words), f"{schema}, rare array<string>, symbols binary, key long")
+    coded = materialize(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
+    vector = train(coded, words)
+    scored = map_batches(coded.drop("rare", "key"), _score_batch(words, vector), f"{schema}, row long", TEXTS)
+    scored = materialize(scored, "scored")
+    rare = coded.where(F.size("rare") > 0).select("row", F.explode("rare").alias("word"))
     found = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("logs"), F.count("n").alias("seen")
     )

@@ -521,6 +521,41 @@ def test_scores_do_not_follow_the_partitions_and_beat_the_counts(spark, small, m
         assert other == pytest.approx(seen[0], rel=1e-4)
 
 
+def test_a_part_gives_one_vector_however_many_partitions_the_session_asks_for(spark, small, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", 2048)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plain = {r.doc_id: r.score for r in lm_scoring.score_documents(docs).collect()}
+    frame = type(docs)
+    monkeypatch.setattr(
+        frame, "repartition", lambda self, n, *cols, f=frame.repartition: f(self, max(n, 97) if cols else n, *cols)
+    )
+    raised = {r.doc_id: r.score for r in lm_scoring.score_documents(docs).collect()}
+    assert raised == pytest.approx(plain, rel=1e-4)
+    coded = spark.range(5000).select(F.col("id").alias("key"), F.col("id").alias("doc_id"), F.lit(False).alias("held_out"), F.lit(b"").alias("symbols"))
+    for parts in (1, 5, 40):
+        dealt = lm_scoring.deal(coded, 0, parts).groupBy(F.spark_partition_id()).count().collect()
+        assert sorted(r[0] for r in dealt) == list(range(parts))
+
+
+def test_logits_beyond_the_range_of_exponentials_give_the_same_probabilities():
+    rng = np.random.default_rng(6)
+    params = recurrent.initial(rng.random(1024) * 9)
+    texts = [rng.integers(0, 1024, 70).astype(np.int32) for _ in range(5)]
+    plain = recurrent.score_texts(params, texts)
+    for shift in (-300, 300):
+        moved = {n: v + np.float32(shift) if n in ("group_b", "class_b", "word_b") else v for n, v in params.items()}
+        assert recurrent.score_texts(moved, texts) == pytest.approx(plain, rel=1e-3)
+
+
+def test_sums_of_runs_add_up_all_rows_of_a_key():
+    rng = np.random.default_rng(7)
+    keys = np.sort(np.concatenate([rng.integers(0, 50, 400), np.full(333, 7), [99]]))
+    rows = rng.standard_normal((len(keys), 3))
+    seen, sums = recurrent._sums_of_runs(keys, rows.copy())
+    assert seen.tolist() == sorted(set(keys.tolist()))
+    assert sums == pytest.approx(np.array([rows[keys == k].sum(axis=0) for k in seen]))
+
+
 def test_scores_are_those_of_the_model_token_by_token():
     rng = np.random.default_rng(20)
     params = {n: v.astype(np.float64) * 2 for n, v in recurrent.initial(rng.random(400) * 9).items()}
