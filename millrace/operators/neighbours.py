@@ -29,7 +29,9 @@ def nearest_neighbours(
     the leaves gives approximate answers.  Result: key, neighbour, distance, rank; rows
     without a vector take no part.
     """
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    # single precision is half as much to shuffle
+    kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast(kind).alias("v"))
     points = materialize(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points")
     best = metric_tree.neighbours(points.select("id", "v"), k, block_rows, fanout, share)
     copied = points.where("copies > 1").select("v", F.col("id").alias("point"))

@@ -459,6 +459,79 @@ def test_a_share_of_the_leaves_finds_most_neighbours(spark):
     assert len({(r["id"], r["neighbour"]) for r in found} & truth) >= 0.9 * len(truth)
 
 
+def test_a_share_is_of_the_leaves_nearest_to_the_point(spark, monkeypatch):
+    draw = np.random.default_rng(10)
+    x = draw.normal(size=(300, 4)) + 8 * draw.normal(size=(6, 4))[draw.integers(0, 6, 300)]
+    points = spark.createDataFrame([(i, x[i].tolist()) for i in range(300)], "id bigint, v array<double>")
+    monkeypatch.setattr(metric_tree, "COARSE", 10_000)
+    monkeypatch.setattr(metric_tree, "QUERY_ROWS", 2)  # blocks of 35 queries
+    monkeypatch.setattr(metric_tree, "TILE", 16)
+    monkeypatch.setattr(metric_tree, "PIECE_PARTNERS", 3)
+    got = {}
+    for r in metric_tree.neighbours(points, 5, 20, 4, 0.4).collect():
+        got.setdefault(r["id"], []).append((r["distance"], r["neighbour"]))
+    tree = metric_tree.build(points, 20, 4)
+    leaf_of = {r["id"]: r["leaf"] for r in tree.rows.collect()}
+    shapes = {r["node"]: (np.array(r["centre"]), r["radius"]) for r in tree.levels[-1].collect()}
+    bound = {r["q"]: r["reach"] for r in metric_tree.leaf_pairs(tree, 5).collect()}
+    for i in range(300):
+        distance = np.linalg.norm(x - x[i], axis=1)
+        own = sorted(distance[[j for j in range(300) if leaf_of[j] == leaf_of[i]]])
+        reach = min(own[4] if len(own) >= 5 else np.inf, bound[leaf_of[i]])
+        gaps = sorted((np.linalg.norm(x[i] - c) - r, n) for n, (c, r) in shapes.items() if n != leaf_of[i])
+        gaps = [g for g in gaps if g[0] - 1e-6 <= reach]
+        seen = {leaf_of[i]} | {n for _, n in gaps[: int(np.ceil(len(gaps) * 0.4))]}
+        expected = sorted((distance[j], j) for j in range(300) if leaf_of[j] in seen)[:5]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in expected]
+
+
+def test_rows_are_sent_once_to_a_block_of_queries(spark):
+    # without clusters every point may have neighbours in every leaf
+    x = np.random.default_rng(11).normal(size=(600, 24))
+    points = spark.createDataFrame([(i, x[i].tolist()) for i in range(600)], "id bigint, v array<double>")
+    tree = metric_tree.build(points, 20, 16)
+    leaves = tree.levels[-1].count()
+    laid = metric_tree._laid_out(tree, 5)
+    sent = {r["kind"]: r["count"] for r in laid.groupBy("kind").count().collect()}
+    blocks = laid.agg(F.count_distinct("block")).first()[0]
+    assert leaves > 50 and blocks <= np.sqrt(600) / metric_tree.QUERY_ROWS + 1
+    assert sent == {metric_tree.QUERY: 600, metric_tree.LEAF: leaves * blocks, metric_tree.TARGET: 600 * blocks}
+
+
+@pytest.mark.parametrize("shape", ["spread", "offset", "near", "tiny", "huge"])
+def test_a_block_of_queries_finds_what_all_pairs_find(shape):
+    draw = np.random.default_rng(13)
+    x = draw.normal(size=(1500, 6))
+    x = {
+        "spread": x,
+        "offset": x + 1e5,  # single precision cannot tell these apart
+        "near": np.repeat(x[:50], 30, axis=0) + 1e-5 * x,
+        "tiny": x * 1e-30,
+        "huge": x * 1e20,
+    }[shape]
+    ids, leaves = draw.permutation(1500), np.arange(1500) // 100
+    queries = metric_tree._Queries(ids[200:900], x[200:900], leaves[200:900], np.full(700, np.inf), 7, 1.0)
+    shapes = {n: (x[100 * n], np.linalg.norm(x[100 * n : 100 * n + 100] - x[100 * n], axis=1).max()) for n in range(15)}
+    for start in range(0, 1500, 400):
+        some = slice(start, start + 400)
+        queries.meet(ids[some], x[some], leaves[some], shapes)
+    got = [np.concatenate(c) for c in zip(*queries.found())]
+    for a, b in zip(got, metric_tree.closest(ids[200:900], x[200:900], ids, x, 7)):
+        assert np.array_equal(a, b)
+
+
+def test_ids_may_be_text_or_missing(spark, monkeypatch):
+    monkeypatch.setattr(metric_tree, "QUERY_ROWS", 1)
+    for kind, names in (("string", [f"n{i:02d}" for i in range(40)]), ("int", [None, *range(1, 40)])):
+        df = spark.createDataFrame([(n, [float(i), 0.0]) for i, n in enumerate(names)], f"id {kind}, v array<float>")
+        found = {}
+        for r in neighbours.nearest_neighbours(df, "id", "v", 3, block_rows=8, fanout=3).orderBy("rank").collect():
+            found.setdefault(r["id"], []).append(r["neighbour"])
+        assert len(found) == 40
+        assert found[names[0]] == names[:3]
+        assert found[names[20]] == [names[20], names[19], names[21]]  # a tie goes to the smaller id
+
+
 def test_more_neighbours_than_rows(spark):
     df = spark.createDataFrame([(i, [float(i)]) for i in range(3)], "id bigint, v array<double>")
     assert neighbours.nearest_neighbours(df, "id", "v", 10).count() == 9
