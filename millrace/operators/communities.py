@@ -9,44 +9,60 @@ the last level has one part per cluster.
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.joins import hot_keys, inner_join
 from millrace.operators.neighbours import HUB_SHARE, modularity
 from millrace.sources.storage import materialize
 
-BLOCK_EDGES = 200_000  # mean edges of the nodes that one group moves in turn
+BLOCK_EDGES = 4_000_000  # mean edges of the nodes that one group moves in turn
 HUB_EDGES = 100_000  # a node with more edges stays, others come to it
 REFINE_ROUNDS = 4  # of joins, in which each half of the nodes moves twice
 NOISE = 1e-10  # relative to the weight of a node or the whole graph: gains below this are rounding
 
 
 class _Block:
-    """The nodes of a block with their edges, and what they see of all others."""
-
-    def __init__(self, rows: pd.DataFrame):
-        columns = {name: rows[name].tolist() for name in rows.columns if name != "total"}
-        self.total = float(rows["total"].iloc[0])
-        self.cluster = dict(zip(columns["dst"], columns["dst_cluster"])) | dict(zip(columns["src"], columns["src_cluster"]))
-        self.size = dict(zip(columns["dst_cluster"], columns["dst_size"])) | dict(zip(columns["src_cluster"], columns["src_size"]))
-        self.degree = dict(zip(columns["src"], columns["degree"]))
-        self.near: dict = {}
-        for src, dst, weight in zip(columns["src"], columns["dst"], columns["weight"]):
-            self.near.setdefault(src, []).append((dst, weight))
+    """The nodes of a block with their edges, and what they see of all others.
+
+    Nodes and clusters are numbered in the order of their names, edges lie in arrays by
+    node: about 100 bytes an edge while the block is read, 12 after that.
+    """
+
+    def __init__(self, rows: pa.Table | pd.DataFrame):
+        column = lambda name: np.asarray(rows[name])
+        self.total = float(rows["total"][0].as_py() if isinstance(rows, pa.Table) else rows["total"].iloc[0])
+        self.ids = _names(column("src"), column("dst"))
+        src = np.searchsorted(self.ids, column("src")).astype(np.int32)
+        dst = np.searchsorted(self.ids, column("dst")).astype(np.int32)
+        self.names = _names(column("src_cluster"), column("dst_cluster"))
+        cluster, size = np.zeros(len(self.ids), np.int64), np.zeros(len(self.names))
+        degree, own = np.zeros(len(self.ids)), np.zeros(len(self.ids), bool)
+        for end, name in ((dst, "dst"), (src, "src")):
+            held = np.searchsorted(self.names, column(f"{name}_cluster"))
+            cluster[end], size[held] = held, column(f"{name}_size")
+        degree[src], own[src] = column("degree"), True
+        order = np.lexsort((dst, src))
+        self.near, self.weight = dst[order], column("weight")[order].astype(float)
+        self.start = np.searchsorted(src[order], np.arange(len(self.ids) + 1)).tolist()
+        self.cluster, self.size, self.degree, self.own = cluster.tolist(), size.tolist(), degree.tolist(), own.tolist()
 
     def settle(self) -> None:
         """Move the nodes one after the other to their best cluster until none gains."""
-        cluster, size, degree, total = self.cluster, self.size, self.degree, self.total
-        queue = deque(sorted(degree))
-        waiting = set(queue)
+        cluster, size, degree, total, start, near = self.cluster, self.size, self.degree, self.total, self.start, self.near
+        waiting = list(self.own)
+        queue = deque(node for node, own in enumerate(self.own) if own)
         while queue:
             node = queue.popleft()
-            waiting.discard(node)
+            waiting[node] = False
             own, weight = cluster[node], degree[node]
             pulls = {own: 0.0}
-            for other, w in self.near[node]:
+            others = near[start[node] : start[node + 1]].tolist()
+            for other, w in zip(others, self.weight[start[node] : start[node + 1]].tolist()):
                 c = cluster[other]
                 pulls[c] = pulls.get(c, 0.0) + w
             size[own] -= weight
@@ -54,34 +70,35 @@ class _Block:
             gain, best = max((pull - weight * size[c] / total, -c) for c, pull in pulls.items())
             if gain > stay + NOISE * weight:
                 cluster[node] = own = -best
-                for other, _ in self.near[node]:
-                    if other in degree and other not in waiting and cluster[other] != own:
-                        waiting.add(other)
+                for other in others:
+                    if self.own[other] and not waiting[other] and cluster[other] != own:
+                        waiting[other] = True
                         queue.append(other)
             size[own] += weight
 
-    def parts(self) -> dict:
-        """Well-connected parts of the clusters, where the block holds all nodes: node to one node of its part.
+    def parts(self) -> np.ndarray:
+        """Well-connected parts of the clusters, where the block holds all nodes: of each node one node of its part.
 
         Nodes that are still alone join, in turn, the part of their cluster with the
         largest gain; a part that was joined stays, so parts are connected.
         """
-        degree, total = self.degree, self.total
-        part = {node: node for node in degree}
-        inner = {node: [(o, w) for o, w in edges if self.cluster[o] == self.cluster[node]] for node, edges in self.near.items()}
-        whole: dict = {}
-        for node, weight in degree.items():
-            whole[self.cluster[node]] = whole.get(self.cluster[node], 0.0) + weight
-        size, members = dict(degree), dict.fromkeys(degree, 1)
-        outward = {node: sum(w for _, w in edges) for node, edges in inner.items()}
-        for node in sorted(degree):
-            rest = whole[self.cluster[node]]
+        degree, total, start, cluster = self.degree, self.total, self.start, self.cluster
+        own = np.array(cluster)
+        inside = np.repeat(own, np.diff(start)) == own[self.near]
+        nodes = len(degree)
+        outward = np.bincount(np.repeat(np.arange(nodes), np.diff(start)), np.where(inside, self.weight, 0.0), nodes).tolist()
+        whole = np.bincount(own, degree, len(self.names)).tolist()
+        part, size, members = list(range(nodes)), list(degree), [1] * nodes
+        for node in range(nodes):
+            rest = whole[cluster[node]]
             held = lambda p: outward[p] >= size[p] * (rest - size[p]) / total
             if members[node] != 1 or part[node] != node or not held(node):
                 continue
             pulls: dict = {}
-            for other, w in inner[node]:
-                pulls[part[other]] = pulls.get(part[other], 0.0) + w
+            edges = slice(start[node], start[node + 1])
+            for other, w, within in zip(self.near[edges].tolist(), self.weight[edges].tolist(), inside[edges].tolist()):
+                if within:
+                    pulls[part[other]] = pulls.get(part[other], 0.0) + w
             options = [(pull - degree[node] * size[p] / total, -p) for p, pull in pulls.items() if p != node and held(p)]
             gain, best = max(options, default=(0.0, 0))
             if gain > NOISE * degree[node]:
@@ -91,24 +108,32 @@ class _Block:
                 members[to] += 1
                 members[node] = 0
                 part[node] = to
-        return part
+        return self.ids[part]
+
 
+def _names(*columns: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([np.unique(c) for c in columns]))
 
-def _settle_block(rows: pd.DataFrame) -> pd.DataFrame:
+
+def _settle_block(rows: pa.Table | pd.DataFrame) -> pd.DataFrame:
     """Moves within one of several blocks: id, cluster of the nodes that moved."""
     block = _Block(rows)
-    before = {node: block.cluster[node] for node in block.degree}
+    before = np.array(block.cluster)
     block.settle()
-    moved = [(node, block.cluster[node]) for node, start in before.items() if block.cluster[node] != start]
-    return pd.DataFrame(moved, columns=["id", "cluster"], dtype="int64")
+    moved = np.flatnonzero(before != np.array(block.cluster))
+    return pd.DataFrame({"id": block.ids[moved], "cluster": block.names[np.array(block.cluster)[moved]]})
 
 
-def _settle_whole(rows: pd.DataFrame) -> pd.DataFrame:
+def _settle_whole(rows: pa.Table | pd.DataFrame) -> pd.DataFrame:
     """Clusters and their parts where one block holds the graph: id, cluster, part."""
     block = _Block(rows)
     block.settle()
-    found = [(node, block.cluster[node], part) for node, part in block.parts().items()]
-    return pd.DataFrame(found, columns=["id", "cluster", "part"], dtype="int64")
+    return pd.DataFrame({"id": block.ids, "cluster": block.names[block.cluster], "part": block.parts()})
+
+
+def _by_block(seen: DataFrame, settle: Callable, schema: str) -> DataFrame:
+    run = lambda rows: pa.Table.from_pandas(settle(rows), preserve_index=False)
+    return seen.groupBy("block").applyInArrow(run, schema)
 
 
 def _seen(edges: DataFrame, nodes: DataFrame, movers: DataFrame, hubs: list) -> DataFrame:
@@ -127,7 +152,7 @@ def settled_whole(edges: DataFrame, nodes: DataFrame, total: float) -> DataFrame
     """Clusters and parts of a graph of at most BLOCK_EDGES edges, from those of `nodes` on: id, part, cluster, degree."""
     movers = nodes.withColumn("block", F.lit(0))
     seen = _seen(edges, nodes, movers, []).withColumn("total", F.lit(total))
-    found = seen.groupBy("block").applyInPandas(_settle_whole, "id bigint, cluster bigint, part bigint")
+    found = _by_block(seen, _settle_whole, "id bigint, cluster bigint, part bigint")
     found = found.select("id", F.col("cluster").alias("to"), "part")
     # nodes without an edge to another are not in the block
     placed = nodes.join(found, "id", "left")
@@ -152,7 +177,7 @@ def settled(edges: DataFrame, whole: DataFrame, nodes: DataFrame, total: float,
         turn = F.pmod(F.xxhash64(block, F.lit(number // 2)) + F.lit(number), F.lit(2)) == 0
         movers = state.where(F.col("active") & turn).select("id", "cluster", "degree", block.alias("block"))
         seen = _seen(edges, state.select("id", "cluster", "degree"), movers, hubs).withColumn("total", F.lit(total))
-        moved = materialize(seen.groupBy("block").applyInPandas(_settle_block, "id bigint, cluster bigint"), "moved")
+        moved = materialize(_by_block(seen, _settle_block, "id bigint, cluster bigint"), "moved")
         touched = edges.join(moved.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
         after = state.join(moved.select("id", F.col("cluster").alias("to")), "id", "left").join(
             touched.withColumn("touched", F.lit(True)), "id", "left"
