@@ -46,7 +46,7 @@ class _Block:
             held = np.searchsorted(self.names, column(f"{name}_cluster"))
             cluster[end], size[held] = held, column(f"{name}_size")
         degree[src], own[src] = column("degree"), True
-        order = np.lexsort((dst, src))
+        order = np.argsort(src, kind="stable")
         self.near, self.weight = dst[order], column("weight")[order].astype(float)
         self.start = np.searchsorted(src[order], np.arange(len(self.ids) + 1)).tolist()
         self.cluster, self.size, self.degree, self.own = cluster.tolist(), size.tolist(), degree.tolist(), own.tolist()
